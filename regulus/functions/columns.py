@@ -206,3 +206,7 @@ def confidence_label(c: str | Column) -> Column:
     v = col(c)
     return (F.when(v.isNull() | (v >= 1.0), "Confirmed").when(v >= 0.85, "Declared")
             .otherwise("Likely"))
+
+
+def with_default(c: str | Column, default: float = 0.0) -> Column:
+    return F.coalesce(col(c), F.lit(default))

@@ -18,13 +18,15 @@ def latest_state(df: DataFrame, keys: list[str], order: list[str | Column]) -> D
 
 
 def nth_latest(df: DataFrame, keys: list[str], order: str, n: int) -> DataFrame:
-    """The n-th newest row per key, kept by a bounded top-n list per task and key."""
-    rest = [c for c in df.columns if c not in keys and c != order]
-    newest = F.expr(f"max_by(struct({', '.join([order, *rest])}), {order}, {n})")
-    return (df.groupBy(*keys).agg(newest.alias("_top"))
-            .filter(F.size("_top") >= n)
-            .select(*keys, F.element_at("_top", n).alias("_s")).select(*keys, "_s.*")
-            .select(*df.columns))
+    """The n-th newest row per key; order values are unique per key.
+
+    Each round drops the newest row of every key with a combining aggregate, so no key is sorted in
+    one place. Meant for a small n such as the previous state.
+    """
+    for _ in range(n - 1):
+        newest = df.groupBy(*keys).agg(F.max(order).alias("_newest"))
+        df = df.join(newest, keys).filter(F.col(order) < F.col("_newest")).drop("_newest")
+    return latest_state(df, keys, [order])
 
 
 def state_as_of(df: DataFrame, keys: list[str], order: list[str | Column], cutoff_ms: int,

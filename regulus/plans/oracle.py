@@ -17,8 +17,10 @@ def text(value: object) -> str:
         return "NULL"
     if isinstance(value, bool):
         return "true" if value else "false"
-    if isinstance(value, (int, float)):
-        return repr(value)
+    if isinstance(value, float):
+        return f"{value!r}e0"
+    if isinstance(value, int):
+        return str(value)
     if isinstance(value, (tuple, list)):
         return "CAST([" + ", ".join(text(v) for v in value) + "] AS VARCHAR[])"
     return "'" + str(value).replace("'", "''") + "'"

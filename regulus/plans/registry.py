@@ -10,7 +10,7 @@ from regulus.session import use_business_time
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+_BODIES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -26,6 +26,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         run.__doc__ = function.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = oracle.complete(sql)
+            _BODIES[name] = sql
         return function
     return wrap
+
+
+def oracles() -> dict[str, str]:
+    """The complete SQL of every query that has a twin."""
+    return {name: oracle.complete(body) for name, body in _BODIES.items()}

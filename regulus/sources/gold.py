@@ -19,13 +19,22 @@ from regulus.sources import tables
 _written: dict[tuple[str, str, str], tuple[str, object]] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
+           partition: str | None = None) -> DataFrame:
+    """The named table, written on first use.
+
+    A partitioned table is rebalanced on its partition column first: small months share a file and
+    a month with much of the data is split over several.
+    """
     use_business_time(spark)
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         frame = build()
         path = f"{scratch_dir(spark)}/gold-{name}-{uuid.uuid4().hex}"
-        frame.write.parquet(path)
+        if partition:
+            frame.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+        else:
+            frame.write.parquet(path)
         _written[key] = (path, frame.schema)
     path, schema = _written[key]
     return spark.read.schema(schema).parquet(path)
@@ -51,3 +60,8 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "measurements",
                   lambda: fan_out(valid_activities(spark, sf_dir)))
+
+
+def cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activities partitioned by their immutable cohort month."""
+    return stored(spark, sf_dir, "cohorts", lambda: activities(spark, sf_dir), "cohort_month")

@@ -184,7 +184,7 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dossiers(spark, sf_dir).select(
         F.col("application_id").alias("record_id"), *_SHARED,
         F.lit("application").alias("activity_type"), _route("o_custkey").alias("route"),
-        ordered.alias("received_at"), (ordered + F.lit(90) * DAY_MS).alias("due_at"),
+        ordered.alias("received_at"), (ordered + 90 * DAY_MS).alias("due_at"),
         completed.alias("completed_at"), F.coalesce(completed, ordered).alias("updated_at"),
         F.when(done, "COMPLETED").when(F.col("o_orderstatus") == "P", "IN_REVIEW")
         .otherwise("RECEIVED").alias("status"),
