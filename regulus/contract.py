@@ -309,6 +309,7 @@ ENTITLEMENTS = {
     "executive": (_ALL, (), (), ("*",), True, 0),
     "gmp-analysts": (("GMP",), ("silver", "gold"), ("csv", "xlsx"), ("*",), False, 250_000),
     "ma-analysts": (("MA",), ("silver", "gold"), ("csv", "xlsx"), ("*",), False, 250_000),
+    "platform-services": (_ALL, ("bronze", "silver", "gold"), ("csv", "xlsx"), ("*",), True, 1_000_000),
     "public": (_ALL, (), (), (
         "pct_new_apps_evaluated_on_time", "pct_granted_within_90_days",
         "pct_new_apps_evaluated_on_time_ct", "pct_registry_submissions_on_time",

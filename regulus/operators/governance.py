@@ -3,12 +3,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regulus import contract as c
 from regulus.functions.columns import masked
 from regulus.operators.measurements import inline
+from regulus.operators.quantiles import running_total_before
 
 
 # ---- masking ------------------------------------------------------------------------------------
@@ -63,22 +64,23 @@ def effective_entitlements(memberships: DataFrame, group_table: DataFrame) -> Da
         .withColumn("can_export", F.size("layers") > 0))
 
 
-def visible_points(points: DataFrame, rights: DataFrame) -> DataFrame:
-    """Indicator points per user after redaction.
+def visible_points(points: DataFrame, group_table: DataFrame) -> DataFrame:
+    """Indicator points as each group may see them.
 
-    Rights are exploded to (user, process) and the points meet them on the process; the indicator
-    list is a residual test.
+    The group table has fixed size. It is exploded to (group, process) and broadcast; the indicator
+    list is a residual test of that join.
     """
-    allowed = rights.select("user_name", "indicators", F.explode("processes").alias("process_code"))
+    allowed = F.broadcast(group_table.select(
+        "group_name", "indicators", F.explode("processes").alias("process_code")))
     return points.join(allowed, "process_code").filter(
         F.array_contains("indicators", "*") | F.array_contains("indicators", F.col("kpi_id"))
     ).drop("indicators")
 
 
-def visible_operations(rows: DataFrame, rights: DataFrame) -> DataFrame:
-    """Operational sections are blank unless the user has the full dashboard or may export rows."""
-    allowed = rights.filter(F.col("full_dashboard") | (F.col("row_limit") > 0)).select(
-        "user_name", F.explode("processes").alias("process_code"))
+def visible_operations(rows: DataFrame, group_table: DataFrame) -> DataFrame:
+    """Operational sections per group: blank without the full dashboard and without a row limit."""
+    allowed = F.broadcast(group_table.filter(F.col("full_dashboard") | (F.col("row_limit") > 0))
+                          .select("group_name", F.explode("processes").alias("process_code")))
     return rows.join(allowed, "process_code")
 
 
@@ -142,7 +144,7 @@ def declaration(spark: SparkSession) -> DataFrame:
 
 def classification_drift(observed: DataFrame, declared: DataFrame) -> DataFrame:
     """Columns that reached the lake without a class."""
-    return observed.select("scope", "column_name").distinct().join(
+    return observed.join(
         F.broadcast(declared.select("scope", "column_name")), ["scope", "column_name"], "left_anti")
 
 
@@ -169,25 +171,20 @@ def retention_plan(batches: DataFrame, as_of_day: str) -> DataFrame:
 def sandbox_plan(items: DataFrame, as_of_ms: int, ttl_days: int, quota_mb: float) -> DataFrame:
     """Tables to drop per sandbox: the old ones, then the oldest others until the quota fits.
 
-    The size of tables dropped for age is not taken off the total before the quota pass. Running
-    sums are taken per sandbox over its table list, which is a listing and not data.
+    The size of tables dropped for age is not taken off the total before the quota pass.
     """
-    tables = items.filter(F.col("kind") == "TABLE")
-    old = F.col("last_changed").isNotNull() & (
-        F.col("last_changed") < as_of_ms - ttl_days * c.DAY_MS)
-    sandbox = Window.partitionBy("schema_name")
-    rest = (Window.partitionBy("schema_name").orderBy(
-        F.coalesce("last_changed", F.lit(-(2 ** 62))), "name")
-        .rowsBetween(Window.unboundedPreceding, -1))
-    kept_size = F.when(~F.col("old"), F.col("megabytes")).otherwise(0.0)
-    rows = (tables.withColumn("old", F.coalesce(old, F.lit(False)))
-            .withColumn("total", F.sum("megabytes").over(sandbox))
-            .withColumn("freed", F.coalesce(F.sum(kept_size).over(rest), F.lit(0.0))))
-    over = ~F.col("old") & (F.col("total") > quota_mb) & (F.col("total") - F.col("freed") > quota_mb)
-    return rows.select(
+    old = F.coalesce(F.col("last_changed") < as_of_ms - ttl_days * c.DAY_MS, F.lit(False))
+    rows = items.filter(F.col("kind") == "TABLE").withColumn("old", old)
+    totals = rows.groupBy("schema_name").agg(F.sum("megabytes").alias("total"))
+    changed = F.coalesce("last_changed", F.lit(-c.DAY_MS))
+    freed = running_total_before(
+        rows.withColumn("_at", changed), ["schema_name"], F.floor(F.col("_at") / c.DAY_MS),
+        ["_at", "name"], F.when(F.col("old"), 0.0).otherwise(F.col("megabytes")), "freed")
+    over = (F.col("total") > quota_mb) & (F.col("total") - F.col("freed") > quota_mb)
+    return (freed.join(totals, "schema_name").select(
         "schema_name", "name", "megabytes",
-        F.when(F.col("old"), "untouched").when(over, "over quota").alias("reason")
-    ).filter(F.col("reason").isNotNull())
+        F.when(F.col("old"), "untouched").when(over, "over quota").alias("reason"))
+        .filter(F.col("reason").isNotNull()))
 
 
 def sandbox_report(items: DataFrame) -> DataFrame:

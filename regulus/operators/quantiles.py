@@ -1,7 +1,7 @@
-"""Exact quantiles that never bring one group together in one task."""
+"""Exact quantiles and running totals that never bring one group together in one task."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS_PER_UNIT = 1440  # one bin per minute when the value is in days
@@ -39,3 +39,22 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
     high = F.max(F.when(holds("_hi", "_start", "_n"), F.col("_v")))
     share = F.max(F.col("_pos") - F.col("_lo"))
     return ranked.groupBy(*keys).agg((low + (high - low) * share).alias(out))
+
+
+def running_total_before(df: DataFrame, keys: list[str], bucket: Column, order: list[str],
+                         value: Column, out: str) -> DataFrame:
+    """Sum of ``value`` over the earlier rows of each group, ordered by bucket and then ``order``.
+
+    The order must agree with the bucket. Totals per bucket are summed first, and rows are only
+    ordered within their bucket, so a group with most of the rows is spread over its buckets.
+    """
+    rows = df.withColumn("_b", bucket).withColumn("_v", value)
+    earlier = Window.unboundedPreceding, -1
+    over_buckets = Window.partitionBy(*keys).orderBy("_b").rowsBetween(*earlier)
+    starts = (rows.groupBy(*keys, "_b").agg(F.sum("_v").alias("_bv"))
+              .withColumn("_start", F.coalesce(F.sum("_bv").over(over_buckets), F.lit(0)))
+              .drop("_bv"))
+    inside = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(*earlier)
+    return (rows.join(starts, [*keys, "_b"])
+            .withColumn(out, F.col("_start") + F.coalesce(F.sum("_v").over(inside), F.lit(0)))
+            .drop("_b", "_v", "_start"))

@@ -29,7 +29,7 @@ o.register("f_intake", f"""SELECT CASE WHEN event_id%17=0 THEN 'x' ELSE 'APP-' |
    WHEN 'purchase' THEN 'amendment' ELSE 'inspection' END AS application_type,
   CASE WHEN event_id%19=0 THEN 'by_post' ELSE {o.case('event_id', c.ROUTES)} END AS route,
   CASE WHEN event_id%13=0 THEN 'Bad Tenant' ELSE 'partner_alpha' END AS tenant_id,
-  CAST(user_id AS VARCHAR) AS entity_id, epoch_ms(ts) AS received_at, event_id FROM events""")
+  CAST(user_id AS VARCHAR) AS entity_id, epoch_us(ts)//1000 AS received_at, event_id FROM events""")
 o.register("f_registry", "SELECT application_id, process_code FROM f_applications WHERE CAST(application_id AS BIGINT)%4<>0")
 
 

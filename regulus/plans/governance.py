@@ -1,0 +1,295 @@
+"""Entitlements, audiences, exports, classification, retention and erasure."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from regulus import contract as c
+from regulus.functions import columns as x
+from regulus.operators import governance as g
+from regulus.plans import oracle as o
+from regulus.plans import reports as r
+from regulus.plans.indicators import points
+from regulus.plans.registry import query
+from regulus.sources import gold, tables
+
+GROUPS = (*c.ENTITLEMENTS, "contractors", "alumni")
+LAYERS, FORMATS = ("bronze", "silver", "gold"), ("csv", "xlsx", "pdf")
+SUBJECT = "7"
+
+
+def pick(index, names):
+    """The name at a numeric column's position."""
+    return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
+
+
+def sql_pick(index, names):
+    return "(" + o.text(tuple(names)) + f")[{index} + 1]"
+
+
+def memberships(spark, d):
+    e = tables.read(spark, d, "events")
+    return e.select(F.col("user_id").cast("string").alias("user_name"),
+                    pick((F.col("user_id") + F.col("event_id") % 2) % len(GROUPS), GROUPS)
+                    .alias("group_name"))
+
+
+o.register("g_members", f"""SELECT CAST(user_id AS VARCHAR) AS user_name,
+ {sql_pick(f'(user_id + event_id%2)%{len(GROUPS)}', GROUPS)} AS group_name FROM events""")
+o.register("g_groups", "SELECT * FROM (" + o.values((k, *v) for k, v in c.ENTITLEMENTS.items())
+           + ") AS t(group_name,processes,layers,formats,indicators,full_dashboard,row_limit)")
+
+
+def _union(name):
+    return f"list_sort(list_distinct(flatten(coalesce(list({name}) FILTER (WHERE {name} IS NOT NULL), []))))"
+
+
+o.register("g_rights", f"""SELECT user_name, list_sort(coalesce(list(DISTINCT known) FILTER (WHERE known IS NOT NULL), [])) AS groups,
+ {_union('processes')} AS processes, {_union('layers')} AS layers, {_union('formats')} AS formats,
+ CASE WHEN list_contains({_union('indicators')}, '*') THEN ['*'] ELSE {_union('indicators')} END AS indicators,
+ coalesce(bool_or(full_dashboard),false) AS full_dashboard, CAST(coalesce(max(row_limit),0) AS INT) AS row_limit
+ FROM (SELECT DISTINCT m.user_name, g.group_name AS known, g.* FROM g_members m LEFT JOIN g_groups g ON m.group_name=g.group_name)
+ GROUP BY 1""")
+
+
+def rights(spark, d):
+    return g.effective_entitlements(memberships(spark, d), g.entitlements(spark))
+
+
+_LISTS = ("groups", "processes", "layers", "formats", "indicators")
+
+
+@query("a37_effective_entitlement", "SELECT user_name, " + ", ".join(
+    f"array_to_string({n}, ',') AS {n}" for n in _LISTS)
+    + ", full_dashboard, row_limit, len(layers)>0 AS can_export FROM g_rights")
+def _(spark, d):
+    return rights(spark, d).select("user_name", *[F.array_join(n, ",").alias(n) for n in _LISTS],
+                                   "full_dashboard", "row_limit", "can_export")
+
+
+@query("j06_known_groups", "SELECT m.group_name, count(DISTINCT user_name) AS users FROM g_members m JOIN g_groups g ON m.group_name=g.group_name GROUP BY 1")
+def _(spark, d):
+    pairs = memberships(spark, d).distinct()
+    return pairs.join(F.broadcast(g.entitlements(spark).select("group_name")), "group_name",
+                      "left_semi").groupBy("group_name").agg(F.count(F.lit(1)).alias("users"))
+
+
+@query("u08_shared_groups", """SELECT a.user_name, array_to_string(list_sort(list_intersect(a.groups, ['executive','public','data-science'])), ',') AS shared
+ FROM g_rights a WHERE len(list_intersect(a.groups, ['executive','public','data-science']))>0""")
+def _(spark, d):
+    wanted = F.array(F.lit("executive"), F.lit("public"), F.lit("data-science"))
+    shared = F.array_sort(F.array_intersect("groups", wanted))
+    return rights(spark, d).filter(F.size(shared) > 0).select(
+        "user_name", F.array_join(shared, ",").alias("shared"))
+
+
+@query("p17_redacted_points", f"""SELECT g.group_name, p.process_code, p.kpi_id, p.reporting_quarter, {o.rnd('p.value')} AS value
+ FROM f_points p JOIN g_groups g ON list_contains(g.processes, p.process_code)
+ WHERE list_contains(g.indicators,'*') OR list_contains(g.indicators, p.kpi_id)""")
+def _(spark, d):
+    return g.visible_points(points(spark, d), g.entitlements(spark)).select(
+        "group_name", "process_code", "kpi_id", "reporting_quarter", x.rounded("value").alias("value"))
+
+
+@query("p17_redacted_volumes", """SELECT g.group_name, v.process_code, v.quarter, v.metric, v.value FROM f_volumes v
+ JOIN g_groups g ON list_contains(g.processes, v.process_code) WHERE g.full_dashboard OR g.row_limit>0""")
+def _(spark, d):
+    return g.visible_operations(r.volumes(spark, d), g.entitlements(spark)).select(
+        "group_name", "process_code", "quarter", "metric", "value")
+
+
+def export_requests(spark, d):
+    e = F.col("event_id")
+    return tables.read(spark, d, "events").select(
+        e, F.col("user_id").cast("string").alias("user_name"), pick(e % 3, LAYERS).alias("layer"),
+        pick(e % 5 % 3, FORMATS).alias("format"),
+        F.concat(F.lit("fact_"), pick(e % 7 % 4, ("ma", "ct", "gmp", "hr")), F.lit("_"),
+                 pick(e % 3, c.FAMILIES)).alias("table_name"),
+        (F.floor("value") * 10000).cast("long").alias("requested_rows"))
+
+
+@query("g07_export_decisions", f"""SELECT q.*, coalesce(list_contains(layers,layer) AND list_contains(formats,format)
+  AND list_contains(processes, upper(split_part(table_name,'_',2))), false) AS allow,
+ least(requested_rows, CAST(coalesce(row_limit,0) AS BIGINT)) AS row_cap FROM (SELECT event_id, CAST(user_id AS VARCHAR) AS user_name,
+ {sql_pick('event_id%3', LAYERS)} AS layer, {sql_pick('event_id%5%3', FORMATS)} AS format,
+ 'fact_'||{sql_pick('event_id%7%4', ('ma', 'ct', 'gmp', 'hr'))}||'_'||{sql_pick('event_id%3', c.FAMILIES)} AS table_name,
+ CAST(floor(value) AS BIGINT)*10000 AS requested_rows FROM events) q LEFT JOIN g_rights r ON q.user_name=r.user_name""")
+def _(spark, d):
+    return g.export_decisions(export_requests(spark, d), rights(spark, d))
+
+
+ROLE_NAMES = (*c.ROLES, "guest")
+o.register("g_roles", f"SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_name, {sql_pick('user_id%6', ROLE_NAMES)} AS role FROM events")
+o.register("g_audience", "SELECT * FROM (" + o.values(
+    (p, role) for p, roles in c.PRODUCT_AUDIENCE.items() for role in roles) + ") AS t(product,role)")
+
+
+def user_roles(spark, d):
+    return tables.read(spark, d, "events").select(
+        F.col("user_id").cast("string").alias("user_name"),
+        pick(F.col("user_id") % 6, ROLE_NAMES).alias("role"))
+
+
+@query("j20_readable_products", "SELECT DISTINCT user_name, product FROM g_roles JOIN g_audience USING (role)")
+def _(spark, d):
+    return g.readable_products(user_roles(spark, d), g.product_audience(spark))
+
+
+@query("j20_access_matrix", """SELECT user_name, 'quality_metrics' AS product, 1::INT AS expected, 0::INT AS actual
+ FROM g_roles WHERE role='business_user'""")
+def _(spark, d):
+    """Decisions against the expectation that every known role reads every product."""
+    roles = user_roles(spark, d).distinct()
+    expected = roles.filter(F.col("role").isin(*c.ROLES)).select(
+        "user_name", F.explode(F.array(*[F.lit(p) for p in c.PRODUCT_AUDIENCE])).alias("product"))
+    return g.access_mismatches(expected, g.readable_products(roles, g.product_audience(spark)))
+
+
+@query("j18_tenant_roles", f"""SELECT tenant, role, count(DISTINCT user_name) AS members FROM (SELECT
+ {sql_pick('user_id%3', ('internal', 'partner_alpha', 'partner_beta'))} AS tenant, {sql_pick('user_id%6', ROLE_NAMES)} AS role,
+ CAST(user_id AS VARCHAR) AS user_name, value>20 AS enabled FROM events) WHERE enabled AND role<>'guest' GROUP BY 1,2""")
+def _(spark, d):
+    members = tables.read(spark, d, "events").select(
+        pick(F.col("user_id") % 3, ("internal", "partner_alpha", "partner_beta")).alias("tenant"),
+        pick(F.col("user_id") % 6, ROLE_NAMES).alias("role"),
+        F.col("user_id").cast("string").alias("user_name"), (F.col("value") > 20).alias("enabled"))
+    return g.tenant_roles(members).groupBy("tenant", "role").agg(F.count(F.lit(1)).alias("members"))
+
+
+# ---- classification -----------------------------------------------------------------------------
+_FILLED = " UNION ALL ".join(
+    f"SELECT 'fact' AS scope, '{n}' AS column_name, count({n}) AS filled FROM f_activities" for n in c.FACT_COLUMNS)
+
+
+@query("s06_observed_columns", _FILLED)
+def _(spark, d):
+    return g.observed_columns(spark, {"fact": gold.activities(spark, d)}).select(
+        "scope", "column_name", "filled")
+
+
+@query("g01_classification_drift", """SELECT 'fact' AS scope, 'inspector_name' AS column_name, count(*) AS filled FROM f_activities
+ UNION ALL SELECT 'enrichment', 'phone', count(*) FROM f_enrichment WHERE status='enriched'""")
+def _(spark, d):
+    """Live frames with one undeclared column each."""
+    facts = gold.activities(spark, d).withColumn("inspector_name", F.concat(F.lit("i"), "entity_id"))
+    looked_up = tables.enrichment(spark, d).withColumn(
+        "phone", F.when(F.col("status") == "enriched", F.col("entity_id")))
+    observed = g.observed_columns(spark, {"fact": facts, "enrichment": looked_up})
+    return g.classification_drift(observed, g.declaration(spark)).select(
+        "scope", "column_name", "filled")
+
+
+@query("u06_set_difference", """SELECT DISTINCT application_id, activity_type FROM f_activities
+ EXCEPT SELECT application_id, activity_type FROM f_valid""")
+def _(spark, d):
+    keys = ["application_id", "activity_type"]
+    return gold.activities(spark, d).select(*keys).distinct().join(
+        gold.valid_activities(spark, d).select(*keys).distinct(), keys, "left_anti")
+
+
+# ---- retention ----------------------------------------------------------------------------------
+@query("g04_retention_plan", f"""SELECT layer, ingest_day, rows, age_days, age_days > CASE layer WHEN 'bronze' THEN 30 WHEN 'silver' THEN 730
+ WHEN 'gold' THEN 2555 END AS expired FROM (SELECT layer, ingest_day, count(*) AS rows,
+ CAST(date_diff('day', CAST(ingest_day AS DATE), DATE '2026-03-01') AS INT) AS age_days FROM (SELECT {sql_pick('event_id%3', LAYERS)} AS layer,
+ strftime(ts,'%Y-%m-%d') AS ingest_day FROM events) GROUP BY 1,2)""")
+def _(spark, d):
+    batches = tables.read(spark, d, "events").select(
+        pick(F.col("event_id") % 3, LAYERS).alias("layer"),
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd").alias("ingest_day"))
+    counted = batches.groupBy("layer", "ingest_day").agg(F.count(F.lit(1)).alias("rows"))
+    return g.retention_plan(counted, "2026-03-01")
+
+
+SANDBOX_NOW, TTL, QUOTA = 1_706_745_600_000, 14, 300.0
+o.register("g_items", """SELECT 'sandbox_'||user_id AS schema_name, 't'||event_id AS name,
+ CASE WHEN event_type='view' THEN 'VIEW' ELSE 'TABLE' END AS kind, CASE WHEN event_type='view' THEN 0e0 ELSE floor(value) END AS megabytes,
+ CASE WHEN event_type<>'view' AND event_id%23<>0 THEN epoch_us(ts)//1000 END AS last_changed FROM events""")
+
+
+def sandbox_items(spark, d):
+    view = F.col("event_type") == "view"
+    return tables.read(spark, d, "events").select(
+        F.concat(F.lit("sandbox_"), F.col("user_id").cast("string")).alias("schema_name"),
+        F.concat(F.lit("t"), F.col("event_id").cast("string")).alias("name"),
+        F.when(view, "VIEW").otherwise("TABLE").alias("kind"),
+        F.when(view, 0.0).otherwise(F.floor("value").cast("double")).alias("megabytes"),
+        F.when(~view & (F.col("event_id") % 23 != 0), x.epoch_ms("ts")).alias("last_changed"))
+
+
+@query("w08_quota_eviction", f"""SELECT schema_name, name, megabytes, reason FROM (SELECT *, CASE WHEN old THEN 'untouched'
+ WHEN total>{QUOTA} AND total-freed>{QUOTA} THEN 'over quota' END AS reason FROM (SELECT *,
+ coalesce(sum(CASE WHEN old THEN 0 ELSE megabytes END) OVER (PARTITION BY schema_name ORDER BY coalesce(last_changed,-86400000), name
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS freed, sum(megabytes) OVER (PARTITION BY schema_name) AS total
+ FROM (SELECT *, coalesce(last_changed < {SANDBOX_NOW - TTL * c.DAY_MS}, false) AS old FROM g_items WHERE kind='TABLE')))
+ WHERE reason IS NOT NULL""")
+def _(spark, d):
+    return g.sandbox_plan(sandbox_items(spark, d), SANDBOX_NOW, TTL, QUOTA)
+
+
+@query("g05_sandbox_plan_summary", f"""SELECT schema_name, count(*) FILTER (WHERE old) AS old_tables, count(*) AS tables
+ FROM (SELECT *, coalesce(last_changed < {SANDBOX_NOW - TTL * c.DAY_MS}, false) AS old FROM g_items WHERE kind='TABLE') GROUP BY 1
+ HAVING count(*) FILTER (WHERE old)>0""")
+def _(spark, d):
+    items = sandbox_items(spark, d)
+    plan = g.sandbox_plan(items, SANDBOX_NOW, TTL, 1e12).groupBy("schema_name").agg(
+        F.count(F.lit(1)).alias("old_tables"))
+    return plan.join(g.sandbox_report(items).select("schema_name", "tables"), "schema_name")
+
+
+@query("a47_sandbox_report", """SELECT schema_name, count(*) FILTER (WHERE kind='VIEW') AS views,
+ count(*) FILTER (WHERE kind='TABLE') AS tables, sum(megabytes) AS megabytes FROM g_items GROUP BY 1""")
+def _(spark, d):
+    return g.sandbox_report(sandbox_items(spark, d))
+
+
+@query("j10_table_sizes", """SELECT s.table_name, last_changed, snapshots, coalesce(bytes,0)/1048576e0 AS megabytes FROM
+ (SELECT 'fact_'||process_code AS table_name, max(updated_at) AS last_changed, count(*) AS snapshots FROM f_applications GROUP BY 1) s
+ LEFT JOIN (SELECT 'fact_'||process_code AS table_name, sum(revision)::BIGINT*1048576 AS bytes FROM f_activities WHERE process_code<>'CT'
+ GROUP BY 1) f ON s.table_name=f.table_name""")
+def _(spark, d):
+    name = F.concat(F.lit("fact_"), "process_code").alias("table_name")
+    snapshots = gold.applications(spark, d).select(name, F.col("updated_at").alias("committed_at"))
+    files = gold.activities(spark, d).filter(F.col("process_code") != "CT").select(
+        name, (F.col("revision").cast("long") * 1048576).alias("bytes"))
+    return g.table_sizes(snapshots, files).select("table_name", "last_changed", "snapshots", "megabytes")
+
+
+# ---- one subject --------------------------------------------------------------------------------
+def subject_tables(spark, d):
+    """Everything keyed by entity, children before parents."""
+    return {"steps": gold.steps(spark, d), "activities": gold.activities(spark, d),
+            "applications": gold.applications(spark, d), "enrichment": tables.enrichment(spark, d)}
+
+
+@query("a36_subject_access", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS rows FROM f_{n} WHERE entity_id='{SUBJECT}' HAVING count(*)>0"
+    for n in ("steps", "activities", "applications", "enrichment")))
+def _(spark, d):
+    return g.subject_access(subject_tables(spark, d), SUBJECT)
+
+
+_SUSPENDED = "(SELECT entity_id FROM f_enrichment WHERE registry_status='suspended')"
+
+
+@query("g03_erasure_report", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS rows_removed FROM f_{n} WHERE entity_id IN {_SUSPENDED}"
+    for n in ("steps", "activities", "applications", "enrichment"))
+    + f" UNION ALL SELECT 'registry', count(DISTINCT record_id) FROM f_applications WHERE entity_id IN {_SUSPENDED}")
+def _(spark, d):
+    """What erasing every suspended entity removes from each table."""
+    suspended = tables.enrichment(spark, d).filter(F.col("registry_status") == "suspended")
+    return g.erase(subject_tables(spark, d), suspended)[1]
+
+
+@query("g03_erased_activities", f"SELECT process_code, count(*) AS kept FROM f_activities WHERE entity_id NOT IN {_SUSPENDED} GROUP BY 1")
+def _(spark, d):
+    suspended = tables.enrichment(spark, d).filter(F.col("registry_status") == "suspended")
+    kept, _ = g.erase(subject_tables(spark, d), suspended)
+    return kept["activities"].groupBy("process_code").agg(F.count(F.lit(1)).alias("kept"))
+
+
+@query("o06_capped_export", None)
+def _(spark, d):
+    """The rows an entitled user may export: the cap is the smaller of request and row limit."""
+    from regulus.sources.export import export_rows
+    return export_rows(gold.activities(spark, d), "silver", since="1997-01", limit=500,
+                       row_limit=250_000)
