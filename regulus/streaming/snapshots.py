@@ -1,0 +1,99 @@
+"""Keyed tables on Parquet with published versions.
+
+A table is partitioned by cohort month and by a hash bucket of its key, so that a month with much of
+the data is many partitions. A batch writes the partitions it touches into a directory of its own
+version and then publishes one small commit file that names them. Readers see the greatest published
+version of every partition. A batch that fails before its commit leaves the tables as they were, and
+a repeated batch writes the same directory again.
+"""
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+COMMIT_SCHEMA = ("version bigint, table_name string, cohort_month string, bucket int, rows bigint, "
+                 "committed_at timestamp")
+PARTITION = ["cohort_month", "bucket"]
+
+
+@dataclass(frozen=True)
+class Snapshots:
+    """The published state under one root folder."""
+
+    root: str
+    buckets: int = 8
+
+    def bucket_of(self, key: str):
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def commits(self, spark: SparkSession) -> DataFrame:
+        """All published partitions; empty before the first commit."""
+        try:
+            return spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits")
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            return spark.createDataFrame([], COMMIT_SCHEMA)
+
+    def latest_version(self, spark: SparkSession) -> int:
+        row = self.commits(spark).agg(F.max("version").alias("v")).first()
+        return -1 if row["v"] is None else row["v"]
+
+    def _live(self, spark: SparkSession, table: str, as_of: int | None) -> DataFrame:
+        rows = self.commits(spark).filter(F.col("table_name") == table)
+        if as_of is not None:
+            rows = rows.filter(F.col("version") <= as_of)
+        return rows.groupBy(*PARTITION).agg(F.max_by(F.struct("version", "rows"), "version").alias("c"))
+
+    def read(self, spark: SparkSession, table: str, schema: T.StructType,
+             partitions: list[tuple[str, int]] | None = None, as_of: int | None = None,
+             since: str | None = None) -> DataFrame:
+        """The table at its latest or a pinned version, from whole partitions.
+
+        The list of live partitions has one entry per month and bucket; only that list reaches the
+        driver.
+        """
+        live = self._live(spark, table, as_of)
+        if since is not None:
+            live = live.filter(F.col("cohort_month") >= since)
+        wanted = None if partitions is None else set(partitions)
+        paths = [f"{self.root}/{table}/version={r['c']['version']}/cohort_month={r['cohort_month']}"
+                 f"/bucket={r['bucket']}" for r in live.collect()
+                 if r["c"]["rows"] > 0
+                 and (wanted is None or (r["cohort_month"], r["bucket"]) in wanted)]
+        full = T.StructType([f for f in schema if f.name not in PARTITION] + [
+            T.StructField("cohort_month", T.StringType()), T.StructField("bucket", T.IntegerType())])
+        if not paths:
+            return spark.createDataFrame([], full)
+        return (spark.read.schema(full).option("basePath", f"{self.root}/{table}").parquet(*paths)
+                .select(*full.fieldNames()))
+
+    def write(self, df: DataFrame, table: str, version: int) -> DataFrame:
+        """Write partitions under a version and return them as stored; nothing is published yet."""
+        path = f"{self.root}/{table}/version={version}"
+        (df.hint("rebalance", *PARTITION).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").option("compression", "zstd")
+         .partitionBy(*PARTITION).parquet(path))
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def publish(self, spark: SparkSession, version: int, tables: dict[str, DataFrame],
+                partitions: list[tuple[str, int]]) -> None:
+        """One commit file for all tables of a batch, so they become visible together.
+
+        A touched partition that is now empty is published with zero rows.
+        """
+        touched = spark.createDataFrame(partitions, "cohort_month string, bucket int")
+        rows = None
+        for name, df in tables.items():
+            counts = df.groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("rows"))
+            part = (touched.join(counts, PARTITION, "left").na.fill(0, ["rows"])
+                    .withColumn("table_name", F.lit(name)))
+            rows = part if rows is None else rows.unionByName(part)
+        (rows.withColumn("version", F.lit(version).cast("bigint"))
+         .withColumn("committed_at", F.current_timestamp())
+         .select("version", "table_name", *PARTITION, "rows", "committed_at")
+         .coalesce(1).write.mode("append").json(f"{self.root}/commits"))
