@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regulus.contract import indicators
 from regulus.functions.columns import (
     duration_days, light_status, met_target, percent, quarter_label, quarter_start, rounded,
     shortfall, target_status, unit_of,
@@ -14,74 +15,63 @@ from regulus.operators.measurements import (
 from regulus.operators.quantiles import exact_quantiles
 
 
-def _summarise(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Ratio, mean or exact median per indicator, from pre-aggregated cells.
+def _median_keys() -> list[str]:
+    return [i.key for i in indicators() if i.aggregation == "median"]
 
-    ``cells`` has one row per key and distinct value for median indicators, and one row per key
-    otherwise, so nothing below this point sees fact-sized data.
-    """
-    medians = exact_quantiles(cells.filter(F.col("_mv").isNotNull()), keys, "_mv", 0.5,
-                              weight="_rows", out="_median")
-    totals = cells.groupBy(*keys).agg(
-        F.first("aggregation").alias("aggregation"), F.first("baseline").alias("baseline"),
-        F.first("target").alias("target"), F.sum("_num").alias("numerator"),
-        F.sum("_den").alias("denominator"), F.max("_updated").alias("updated_at"),
-        F.sum("_sum").alias("_sum"), F.sum("_rows").alias("_rows"))
+
+def _finish(totals: DataFrame, medians: DataFrame, keys: list[str]) -> DataFrame:
+    dim = F.broadcast(dim_kpi(totals.sparkSession))
     value = (F.when(F.col("aggregation") == "percentage", percent("numerator", "denominator"))
              .when(F.col("aggregation") == "average", F.col("_sum") / F.col("_rows"))
              .otherwise(F.col("_median")))
-    return (totals.join(medians, keys, "left").withColumn("value", value)
+    return (totals.join(dim, ["process_code", "kpi_id"]).join(medians, keys, "left")
+            .withColumn("value", value)
             .select(*keys, "baseline", "target", "numerator", "denominator", "updated_at", "value"))
 
 
 def kpi_quarterly(measurement_rows: DataFrame) -> DataFrame:
-    """Indicator value per tenant, process, indicator and quarter against its target."""
+    """Indicator value per tenant, process, indicator and quarter against its target.
+
+    Counts and means combine on the map side. Only the rows of median indicators take the exact
+    quantile path, and that filter reaches the scan.
+    """
     keys = ["tenant_id", "process_code", "kpi_id", "reporting_quarter"]
-    dim = F.broadcast(dim_kpi(measurement_rows.sparkSession))
-    cells = (measurement_rows.join(dim, ["process_code", "kpi_id"])
-             .groupBy(*keys, "aggregation", "baseline", "target",
-                      F.when(F.col("aggregation") == "median", F.col("measured_value")).alias("_mv"))
-             .agg(F.sum("numerator").alias("_num"), F.sum("denominator").alias("_den"),
-                  F.sum("measured_value").alias("_sum"), F.count(F.lit(1)).alias("_rows"),
-                  F.max("updated_at").alias("_updated")))
-    return _summarise(cells, keys)
+    totals = measurement_rows.groupBy(*keys).agg(
+        F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator"),
+        F.sum("measured_value").alias("_sum"), F.count(F.lit(1)).alias("_rows"),
+        F.max("updated_at").alias("updated_at"))
+    medians = exact_quantiles(measurement_rows.filter(F.col("kpi_id").isin(*_median_keys())),
+                              keys, "measured_value", out="_median")
+    return _finish(totals, medians, keys)
 
 
-def kpi_from_facts(activities: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def kpi_from_facts(activities: DataFrame) -> DataFrame:
     """The same indicators without materialising measurements and without a tenant.
 
     Facts are reduced to cells of (process, activity, type, route, quarter) first, and the rules
     then meet the cells, so the fan-out multiplies thousands of rows and not the facts.
     """
-    keep = keep or []
-    spark = activities.sparkSession
-    rule_table = rules(spark)
-    timed = [r.activity for r in _median_rules()]
+    rule_table = rules(activities.sparkSession)
     days = duration_days("received_at", "completed_at")
-    # A valid activity has no null in the compared columns; the flags are two-valued.
-    cells = (completed(activities)
-             .groupBy(*keep, "process_code", "activity_type", "application_type", "route",
-                      quarter_label("completed_at").alias("reporting_quarter"),
-                      F.when(F.col("activity_type").isin(*timed), days).alias("_days"))
-             .agg(F.count(F.lit(1)).alias("_rows"), F.count_if(is_on_time()).alias("_on_time"),
-                  F.count_if(is_compliant()).alias("_compliant"), F.sum(days).alias("_sum"),
-                  F.max("updated_at").alias("_updated")))
-    fanned = match_rules(cells, rule_table).join(
-        F.broadcast(rule_table.select("process_code", "kpi_id", "baseline", "target")),
-        ["process_code", "kpi_id"])
-    keys = [*keep, "process_code", "kpi_id", "reporting_quarter"]
+    cell = ["process_code", "activity_type", "application_type", "route", "reporting_quarter"]
+    keys = ["process_code", "kpi_id", "reporting_quarter"]
+    done = completed(activities).withColumn("reporting_quarter", quarter_label("completed_at"))
+    cells = done.groupBy(*cell).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(is_on_time()).alias("_on_time"),
+        F.count_if(is_compliant()).alias("_compliant"), F.sum(days).alias("_days"),
+        F.max("updated_at").alias("_updated"))
     hits = F.when(F.col("success") == "compliant", F.col("_compliant")).otherwise(F.col("_on_time"))
-    reduced = (fanned.groupBy(*keys, "aggregation", "baseline", "target",
-                              F.when(F.col("aggregation") == "median", F.col("_days")).alias("_mv"))
-               .agg(F.sum(hits).alias("_num"), F.sum("_rows").alias("_den"),
-                    F.sum("_sum").alias("_sum"), F.sum("_rows").alias("_rows"),
-                    F.max("_updated").alias("_updated")))
-    return _summarise(reduced, keys)
-
-
-def _median_rules():
-    from regulus.contract import indicators
-    return [i for i in indicators() if i.aggregation == "median"]
+    totals = match_rules(cells, rule_table).groupBy(*keys).agg(
+        F.sum(hits).alias("numerator"), F.sum("_n").alias("denominator"),
+        F.sum("_days").alias("_sum"), F.sum("_n").alias("_rows"),
+        F.max("_updated").alias("updated_at"))
+    timed = sorted({i.activity for i in indicators() if i.aggregation == "median"})
+    durations = (done.filter(F.col("activity_type").isin(*timed))
+                 .groupBy(*cell, days.alias("_duration")).agg(F.count(F.lit(1)).alias("_n")))
+    medians = exact_quantiles(
+        match_rules(durations, rule_table.filter(F.col("aggregation") == "median")),
+        keys, "_duration", weight="_n", out="_median")
+    return _finish(totals, medians, keys)
 
 
 def indicator_performance(kpi: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Exact quantiles and running totals that never bring one group together in one task."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +16,13 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
     Equal values are counted before the shuffle. Bin counts then show which bins hold the wanted
     ranks, and only the distinct values of those bins are ranked. The largest task sees either the
     bins of a group or the distinct values of one bin, both bounded by the value range and not by
-    the number of rows.
+    the number of rows. Groups with a null key and null values are left out.
     """
     n = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = (df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v"))
-              .agg(n.alias("_n")).withColumn("_bin", F.floor(F.col("_v") * BINS_PER_UNIT)))
+    # Both uses of the counts carry the same filters, so one shuffle serves them both.
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in (*keys, "_v", "_bin")])
+    counts = (df.groupBy(*keys, F.col(value).alias("_v")).agg(n.alias("_n"))
+              .withColumn("_bin", F.floor(F.col("_v") * BINS_PER_UNIT)).filter(present))
     bins = counts.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_bn"))
     group = Window.partitionBy(*keys)
     before = F.sum("_bn").over(group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))

@@ -191,7 +191,7 @@ def query_events(spark, d):
 
     body = F.struct(
         F.struct(F.col("event_id").cast("string").alias("queryId"),
-                 F.repeat(kind, (F.col("event_id") % 1000).cast("int")).alias("query"),
+                 F.repeat(kind, F.when(F.col("event_id") % 100 == 0, 900).otherwise(3)).alias("query"),
                  F.when(F.col("event_id") % 3 == 0, F.when(error, "FAILED").otherwise("FINISHED"))
                  .alias("queryState")).alias("metadata"),
         F.struct(F.col("user_id").cast("string").alias("user"),
@@ -214,7 +214,7 @@ def query_events(spark, d):
 o.register("a_log", """SELECT CAST(event_id AS VARCHAR) AS query_id, strftime(ts,'%Y-%m-%d %H:%M:%S') AS event_time,
  CAST(user_id AS VARCHAR) AS username, CAST(user_id%7 AS VARCHAR) AS principal, 'bi' AS source,
  CAST(NULL AS VARCHAR) AS catalog_name, CAST(NULL AS VARCHAR) AS schema_name,
- substr(repeat(event_type, CAST(event_id%1000 AS INT)),1,4000) AS query_text,
+ substr(repeat(event_type, CASE WHEN event_id%100=0 THEN 900 ELSE 3 END),1,4000) AS query_text,
  CASE WHEN event_id%3=0 THEN CASE WHEN event_type='error' THEN 'FAILED' ELSE 'FINISHED' END
   WHEN event_type='error' AND event_id%2=0 THEN 'FAILED' ELSE 'FINISHED' END AS state,
  CASE WHEN event_type='error' THEN CASE WHEN event_id%2=0 THEN 'USER_ERROR' ELSE 'EXCEEDED_LIMIT' END END AS error_code,
