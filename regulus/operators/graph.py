@@ -106,9 +106,8 @@ def trace(edges: DataFrame, starts: DataFrame, direction: str = "up", max_level:
     seen = starts.select(F.col("dataset").alias("node")).distinct().withColumn("level", F.lit(0))
     frontier, levels = seen.select("node"), [seen]
     for level in range(1, max_level + 1):
-        reached = steps.join(frontier, "node").select(F.col("next").alias("node")).distinct()
-        for earlier in levels:
-            reached = reached.join(earlier.select("node"), "node", "left_anti")
+        reached = (steps.join(frontier, "node").select(F.col("next").alias("node")).distinct()
+                   .join(_union(levels).select("node"), "node", "left_anti"))
         fresh = cut_lineage(reached.withColumn("level", F.lit(level)))
         if fresh.isEmpty():
             break

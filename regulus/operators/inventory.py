@@ -54,12 +54,18 @@ def resolve_references(references: DataFrame, aliases: DataFrame, resources: Dat
     ``aliases`` and ``resources`` are unique per key, so each left join keeps the row count.
     """
     scope = F.coalesce("scope", F.lit("default"))
+
+    def key(value: Column) -> Column:
+        # A reference without this kind of key gets one of its own that matches nothing, so the
+        # rows without a key spread over the tasks instead of meeting in the one of null.
+        return F.coalesce(value, F.concat(F.lit("none::"), "src", F.lit("|"), "type"))
+
     keyed = references.withColumns({
-        "native_key": F.concat("source", F.lit("::"), "native_id"),
-        "coordinate_key": F.concat("provider", F.lit("::"), scope, F.lit("/"), "name"),
-        "minted": F.when(F.col("provider").isNotNull() & F.col("kind").isNotNull()
-                         & F.col("name").isNotNull(),
-                         urn(F.col("provider"), F.col("kind"), F.col("scope"), F.col("name")))})
+        "native_key": key(F.concat("source", F.lit("::"), "native_id")),
+        "coordinate_key": key(F.concat("provider", F.lit("::"), scope, F.lit("/"), "name")),
+        "minted": key(F.when(F.col("provider").isNotNull() & F.col("kind").isNotNull()
+                             & F.col("name").isNotNull(),
+                             urn(F.col("provider"), F.col("kind"), F.col("scope"), F.col("name"))))})
     by_native = aliases.select(F.col("key").alias("native_key"), F.col("urn").alias("u1"))
     by_place = aliases.select(F.col("key").alias("coordinate_key"), F.col("urn").alias("u2"))
     existing = resources.select(F.col("urn").alias("minted"), F.col("urn").alias("u3"))

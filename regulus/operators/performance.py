@@ -140,10 +140,12 @@ def step_performance(steps: DataFrame) -> DataFrame:
 
 def bottlenecks(steps: DataFrame, p: float = 0.5) -> DataFrame:
     """Exact cycle, touch and wait quantiles per step and quarter, in one pass."""
-    long = _finished(steps).unpivot(
-        STEP_KEYS, ["cycle", "touch_days", "wait_days"], "measure", "days")
+    names = ("cycle", "touch_days", "wait_days")
+    entries = [F.struct(F.lit(n).alias("measure"), F.col(n).alias("days")) for n in names]
+    long = (_finished(steps).select(*STEP_KEYS, F.explode(F.array(*entries)).alias("e"))
+            .select(*STEP_KEYS, "e.measure", "e.days"))
     return (exact_quantiles(long, [*STEP_KEYS, "measure"], "days", p, out="days")
-            .groupBy(*STEP_KEYS).pivot("measure", ["cycle", "touch_days", "wait_days"])
+            .groupBy(*STEP_KEYS).pivot("measure", list(names))
             .agg(F.first("days"))
             .select(*STEP_KEYS, F.col("cycle").alias("cycle_time_median"),
                     F.col("touch_days").alias("touch_median_days"),
