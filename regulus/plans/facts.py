@@ -403,3 +403,50 @@ def _(spark, d):
 def _(spark, d):
     from regulus.operators.performance import received_on
     return received_on(gold.applications(spark, d), marts.calendar(spark, "1995-01-01", "2001-12-31"))
+
+
+@query("f01_string_functions", """SELECT record_id, process_code || '/' || route AS path, substr(cohort_month,1,4) AS year_text,
+ lpad(CAST(revision AS VARCHAR), 3, '0') AS padded, CAST(substr(cohort_month,6,2) AS INT) AS month_number FROM f_applications""")
+def _(spark, d):
+    return gold.applications(spark, d).select(
+        "record_id", F.concat("process_code", F.lit("/"), "route").alias("path"),
+        F.substring("cohort_month", 1, 4).alias("year_text"),
+        F.lpad(F.col("revision").cast("string"), 3, "0").alias("padded"),
+        F.substring("cohort_month", 6, 2).cast("int").alias("month_number"))
+
+
+@query("f02_escaped_like", r"""SELECT kpi_id, count(*) AS n FROM f_measurements WHERE kpi_id LIKE 'avg\_%' ESCAPE '\'
+ OR kpi_id LIKE 'median\_%' ESCAPE '\' GROUP BY 1""")
+def _(spark, d):
+    return gold.measurements(spark, d).filter(x.lower_is_better("kpi_id")).groupBy("kpi_id").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("f06_pattern_match", """SELECT event_id, regexp_full_match(application_id, '[A-Za-z0-9:_-]{8,64}') AS id_ok,
+ regexp_full_match(tenant_id, '[a-z][a-z0-9_]{1,62}') AS tenant_ok FROM f_intake""")
+def _(spark, d):
+    return intake(spark, d).select(
+        "event_id", F.col("application_id").rlike(c.APPLICATION_ID_PATTERN).alias("id_ok"),
+        F.col("tenant_id").rlike(c.TENANT_PATTERN).alias("tenant_ok"))
+
+
+@query("f09_math", f"""SELECT record_id, {o.rnd('touch_days', 1)} AS rounded, CAST(ceil(touch_days) AS BIGINT) AS up,
+ CAST(floor(touch_days) AS BIGINT) AS down, abs(revision-3) AS distance, nullif(revision, 3) AS not_three,
+ coalesce(completed_at, updated_at) AS last_seen, least(greatest(revision, 2), 2) AS clamped FROM f_applications""")
+def _(spark, d):
+    r = F.col("revision")
+    return gold.applications(spark, d).select(
+        "record_id", x.rounded("touch_days", 1).alias("rounded"), F.ceil("touch_days").alias("up"),
+        F.floor("touch_days").alias("down"), F.abs(r - 3).alias("distance"),
+        F.nullif(r, F.lit(3)).alias("not_three"),
+        F.coalesce("completed_at", "updated_at").alias("last_seen"),
+        F.least(F.greatest(r, F.lit(2)), F.lit(2)).alias("clamped"))
+
+
+@query("f12_conditions", """SELECT record_id, CASE status WHEN 'COMPLETED' THEN 'closed' WHEN 'RECEIVED' THEN 'new' ELSE 'open' END
+ AS state, CASE WHEN due_at < updated_at THEN 1::INT ELSE 0::INT END AS late FROM f_applications""")
+def _(spark, d):
+    s = F.col("status")
+    return gold.applications(spark, d).select(
+        "record_id", F.when(s == "COMPLETED", "closed").when(s == "RECEIVED", "new").otherwise("open")
+        .alias("state"), F.when(F.col("due_at") < F.col("updated_at"), 1).otherwise(0).alias("late"))
