@@ -161,9 +161,17 @@ def urn(provider: Column, kind: Column, scope: Column, name: Column) -> Column:
                     slug(F.coalesce(scope, F.lit("default"))), F.lit("/"), slug(name))
 
 
-def stable_id(c: str | Column) -> Column:
-    """A repeatable identifier derived from a name."""
-    return F.substring(F.sha2(col(c), 256), 1, 32)
+# Fixed value: the URL namespace of name-based identifiers (RFC 4122, appendix C).
+URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
+
+
+def name_uuid(c: str | Column) -> Column:
+    """The version 5 identifier of a name in the URL namespace; equal names give equal ids."""
+    h = F.sha1(F.concat(F.unhex(F.lit(URL_NAMESPACE)), col(c).cast("binary")))
+    variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"),
+                    F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"),
+                    F.substring(h, 21, 12))
 
 
 def artifact_key(parts: str | Column) -> Column:

@@ -114,3 +114,16 @@ def trace(edges: DataFrame, starts: DataFrame, direction: str = "up", max_level:
         levels.append(fresh)
         frontier = fresh.select("node")
     return _union(levels).filter("level > 0").select(F.col("node").alias("dataset"), "level")
+
+
+def trace_edges(edges: DataFrame, starts: DataFrame, direction: str = "up",
+                max_level: int = 8) -> DataFrame:
+    """The relations walked by a trace: level of the expanded dataset, job, dataset and next one."""
+    a, b = ("sink", "source") if direction == "up" else ("source", "sink")
+    begin = starts.select("dataset").distinct()
+    levels = trace(edges, begin, direction, max_level).unionByName(
+        begin.withColumn("level", F.lit(0)))
+    # a start that a cycle leads back to is expanded at level 0 only
+    nodes = levels.groupBy(F.col("dataset").alias("node")).agg(F.min("level").alias("level"))
+    steps = edges.select("job", F.col(a).alias("node"), F.col(b).alias("next")).distinct()
+    return steps.join(nodes, "node").select("level", "job", "node", "next")

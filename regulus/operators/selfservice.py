@@ -6,9 +6,11 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regulus.contract import BOTTLENECK_METRICS
 from regulus.functions.columns import base_step, last_token, quarter_index, ratio, rounded
+from regulus.functions.stats import correlation_p_value
 
 POOL = ("source", "process", "quarter", "year", "metric_name", "category", "value")
 
@@ -114,6 +116,22 @@ def regression(pairs: DataFrame, x: str, y: str) -> DataFrame:
                           .when(size > 0.1, "Weak").otherwise("None"))
 
 
+def significance(line: DataFrame) -> DataFrame:
+    """The regression row with the two-sided p-value of its slope, and whether it is below 0.05.
+
+    The input is the one row of an aggregate; the Student tail has no built-in expression.
+    """
+    schema = T.StructType([*line.schema.fields, T.StructField("p_value", T.DoubleType()),
+                           T.StructField("significant", T.BooleanType())])
+
+    def add(batches):
+        for rows in batches:
+            p = [correlation_p_value(r, n) for r, n in zip(rows["r"], rows["n"])]
+            yield rows.assign(p_value=p, significant=[v is not None and v < 0.05 for v in p])
+
+    return line.mapInPandas(add, schema)
+
+
 def correlation_matrix(wide: DataFrame, names: list[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, all from one aggregate."""
     pairs = list(combinations_with_replacement(names, 2))

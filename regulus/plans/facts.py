@@ -328,13 +328,12 @@ def _(spark, d):
 
 
 @query("f05_hashed_ids", """SELECT record_id, upper(sha256(entity_id)) AS digest,
- substr(sha256(record_id), 1, 32) AS stable_id,
  substr(sha256('process=' || process_code || '|route=' || route), 1, 12) AS artifact_key FROM f_applications""")
 def _(spark, d):
     parts = F.create_map(F.lit("route"), F.col("route"), F.lit("process"), F.col("process_code"))
     return gold.applications(spark, d).select(
         "record_id", F.upper(F.sha2("entity_id", 256)).alias("digest"),
-        x.stable_id("record_id").alias("stable_id"), x.artifact_key(parts).alias("artifact_key"))
+        x.artifact_key(parts).alias("artifact_key"))
 
 
 @query("f03_text", """SELECT p_partkey, regexp_replace(p_name, '[^A-Za-z0-9._@:/-]+', '-', 'g') AS slug,

@@ -125,9 +125,22 @@ def _(spark, d):
     return lineage.column_edges(jobs(spark, d))
 
 
-@query("f14_stable_run_ids", "SELECT DISTINCT job, substr(sha256(job),1,32) AS run_id FROM l_edges")
+_HASH = f"sha1(unhex('{x.URL_NAMESPACE}') || encode('lineage:' || job))"
+
+
+@query("f14_stable_run_ids", f"""SELECT job, substr(h,1,8) || '-' || substr(h,9,4) || '-5' || substr(h,14,3) || '-' ||
+ translate(substr(h,17,1),'0123456789abcdef','89ab89ab89ab89ab') || substr(h,18,3) || '-' || substr(h,21,12) AS run_id
+ FROM (SELECT job, {_HASH} AS h FROM (SELECT DISTINCT job FROM l_edges))""")
+def _(spark, d):
+    return jobs(spark, d).select("job", x.name_uuid(F.concat(F.lit("lineage:"), "job")).alias("run_id"))
+
+
+@query("l02_trace_edges", """WITH RECURSIVE t(dataset, level) AS (SELECT 'mart|throughput:1', 0 UNION SELECT e.source, t.level+1
+ FROM l_edges e JOIN t ON e.sink=t.dataset WHERE t.level<8), n AS (SELECT dataset, CAST(min(level) AS INT) AS level FROM t GROUP BY 1)
+ SELECT n.level, e.job, n.dataset AS node, e.source AS next FROM n JOIN l_edges e ON e.sink=n.dataset""")
 def _(spark, d):
-    return jobs(spark, d).select("job", x.stable_id("job").alias("run_id"))
+    begin = spark.range(1).select(F.lit("mart|throughput:1").alias("dataset"))
+    return graph.trace_edges(edges(spark, d), begin, "up")
 
 
 # ---- impact -------------------------------------------------------------------------------------

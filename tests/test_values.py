@@ -305,3 +305,31 @@ def test_export(spark, tmp_path):
     import glob
     text = open(glob.glob(str(tmp_path / "csv" / "*.csv"))[0], "rb").read()
     assert text.startswith("﻿record_id,revision\n".encode())
+
+
+def test_regression_significance(spark):
+    from regulus.functions.stats import correlation_p_value
+    assert abs(correlation_p_value(0.5, 10) - 0.14111) < 1e-4
+    assert abs(correlation_p_value(-0.9, 12) - 6.6e-05) < 1e-5
+    assert correlation_p_value(1.0, 9) == 0.0 and correlation_p_value(0.3, 2) is None
+    pairs = spark.createDataFrame([(float(i), 2.0 * i + (i % 3)) for i in range(20)], "x double, y double")
+    row = selfservice.significance(selfservice.regression(pairs, "x", "y")).first()
+    assert row["strength"] == "Strong" and row["significant"] and row["p_value"] < 1e-10
+
+
+def test_name_based_ids(spark):
+    import uuid
+    got = one(spark, a=x.name_uuid(F.lit("lineage:job ü")))["a"]
+    assert got == str(uuid.uuid5(uuid.NAMESPACE_URL, "lineage:job ü"))
+
+
+def test_other_families_have_no_measurements(spark, tmp_path):
+    from changes import envelope, write_batch
+    from regulus.streaming import changelog
+    from regulus.streaming.medallion import Medallion
+    from regulus.streaming.snapshots import Snapshots
+    steps = Medallion(Snapshots(str(tmp_path / "lake"), 1), "steps")
+    write_batch(spark, str(tmp_path / "in"), "b0", [envelope("c", done("s1", 1)), envelope("r", done("s2", 1))], 0)
+    steps.apply(spark.read.schema(changelog.RAW_SCHEMA).json(str(tmp_path / "in" / "*")), 0)
+    assert steps.gold(spark).count() == 2
+    assert steps.measurements(spark).isEmpty()
