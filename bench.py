@@ -46,7 +46,7 @@ def enrichment_seconds(spark) -> float:
 
     entities = spark.range(ENTITIES).selectExpr("concat('entity-', id) AS entity_id")
     started = time.perf_counter()
-    rows = enrich(entities, lookup, partitions=8, concurrency=3).count()
+    rows = enrich(entities, lookup, partitions=4, concurrency=6).count()
     assert rows == ENTITIES
     return time.perf_counter() - started
 
@@ -74,7 +74,7 @@ def main() -> None:
 
     seconds = {}
     started = time.perf_counter()
-    for build in (gold.activities, gold.steps, gold.applications, gold.measurements):
+    for build in (gold.history, gold.activities, gold.steps, gold.applications, gold.measurements):
         build(spark, sf_dir)
     seconds["gold_build"] = round(time.perf_counter() - started, 3)
     for name in HEADLINE:

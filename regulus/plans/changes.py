@@ -13,7 +13,7 @@ from regulus.plans import oracle as o
 from regulus.plans.facts import ROUNDED, neat
 from regulus.plans.registry import query
 from regulus.session import scratch_dir
-from regulus.sources import tables
+from regulus.sources import gold
 from regulus.streaming import changelog
 from regulus.streaming.medallion import Medallion
 from regulus.streaming.snapshots import Snapshots
@@ -44,8 +44,8 @@ def streamed(spark: SparkSession, sf_dir: str) -> Medallion:
     if key in _streams:
         return _streams[key]
     root = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
-    history = tables.activity_history(spark, sf_dir)
-    final = tables.activities(spark, sf_dir).filter(_every(DELETE_EVERY))
+    history = gold.history(spark, sf_dir)
+    final = gold.activities(spark, sf_dir).filter(_every(DELETE_EVERY))
     deliveries = (
         envelopes(history.filter("revision <= 2"), "u", 0),
         envelopes(history.filter("revision > 2"), "u", 0)
@@ -65,7 +65,7 @@ _ALIVE = f"CAST(record_id AS BIGINT)%{DELETE_EVERY}<>0"
 
 @query("s02_change_decode", f"SELECT 'u' AS op, {ROUNDED} FROM f_history")
 def _(spark, d):
-    events = envelopes(tables.activity_history(spark, d), "u", 0)
+    events = envelopes(gold.history(spark, d), "u", 0)
     rows = changelog.decode(events)
     return neat(rows).withColumn("op", F.lit("u"))
 
@@ -73,7 +73,7 @@ def _(spark, d):
 @query("t02_duplicate_normalisation", "SELECT record_id, revision, status, updated_at FROM f_activities")
 def _(spark, d):
     """The log delivered twice, reduced to the last state per key."""
-    history = tables.activity_history(spark, d).select("record_id", "revision", "status", "updated_at")
+    history = gold.history(spark, d).select("record_id", "revision", "status", "updated_at")
     return latest.latest_state(history.unionByName(history), ["record_id"], ["revision"])
 
 

@@ -63,7 +63,7 @@ def registry(spark, d):
 @query("w04_latest_state", f"""SELECT {ROUNDED} FROM f_history QUALIFY
  row_number() OVER (PARTITION BY record_id ORDER BY revision DESC)=1""")
 def _(spark, d):
-    return neat(latest.latest_state(tables.activity_history(spark, d),
+    return neat(latest.latest_state(gold.history(spark, d),
                                     ["application_id", "record_id"], ["revision"]))
 
 
@@ -71,7 +71,7 @@ def _(spark, d):
  CAST(count(completed_at) AS BIGINT) AS completed FROM (SELECT * FROM f_history WHERE updated_at <= {CUTOFF_MS}
  QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY revision DESC)=1) GROUP BY 1,2""")
 def _(spark, d):
-    return (latest.state_as_of(tables.activity_history(spark, d), ["application_id", "record_id"],
+    return (latest.state_as_of(gold.history(spark, d), ["application_id", "record_id"],
                                ["revision"], CUTOFF_MS)
             .groupBy("process_code", "status").agg(
                 F.count(F.lit(1)).alias("records"), F.max("updated_at").alias("last_update"),
@@ -82,7 +82,7 @@ def _(spark, d):
  row_number() OVER (PARTITION BY record_id ORDER BY revision DESC)=2""")
 def _(spark, d):
     return latest.nth_latest(
-        tables.activity_history(spark, d).select("record_id", "revision", "status", "updated_at"),
+        gold.history(spark, d).select("record_id", "revision", "status", "updated_at"),
         ["record_id"], "revision", 2)
 
 
@@ -123,7 +123,7 @@ def _(spark, d):
  (WHERE changed) AS BIGINT) AS moved FROM (SELECT record_id, min(application_id)<>max(application_id) OR
  min(cohort_month)<>max(cohort_month) AS changed FROM f_history GROUP BY 1)""")
 def _(spark, d):
-    history = tables.activity_history(spark, d)
+    history = gold.history(spark, d)
     moved = q.moved_identities(history).agg(F.count(F.lit(1)).alias("moved"))
     keys = (history.select("record_id").distinct()
             .agg(F.count(F.lit(1)).alias("keys_checked")))
@@ -145,7 +145,7 @@ def _(spark, d):
 def _(spark, d):
     """Source history reduced to its last state against the stored table: no row may differ."""
     columns = ["record_id", "status", "revision"]
-    source = latest.latest_state(tables.activity_history(spark, d).select("application_id", *columns),
+    source = latest.latest_state(gold.history(spark, d).select("application_id", *columns),
                                  ["application_id", "record_id"], ["revision"])
     return q.multiset_difference(source, gold.activities(spark, d), columns).agg(
         F.count(F.lit(1)).alias("rows")).select(F.lit("differing").alias("kind"), "rows")

@@ -40,6 +40,11 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return spark.read.schema(schema).parquet(path)
 
 
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every recorded state of every activity."""
+    return stored(spark, sf_dir, "history", lambda: tables.activity_history(spark, sf_dir))
+
+
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current activities, valid and invalid."""
     return stored(spark, sf_dir, "activities", lambda: tables.activities(spark, sf_dir))

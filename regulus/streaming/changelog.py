@@ -43,14 +43,16 @@ def decode(raw: DataFrame) -> DataFrame:
 
 
 def start_bronze(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """The raw, replayable copy by ingestion day, each record exactly once."""
-    return (raw.withColumn("ingest_day", F.date_format("ts", "yyyy-MM-dd"))
-            .writeStream.format("parquet").option("compression", "zstd")
-            .partitionBy("ingest_day").option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start(path))
+    """The raw, replayable copy by ingestion day, each record exactly once.
 
-
-def expire_bronze_days(bronze: DataFrame, as_of_day: str, keep_days: int) -> DataFrame:
-    """The days past retention, as the list of partitions to drop."""
-    age = F.datediff(F.to_date(F.lit(as_of_day)), F.to_date("ingest_day"))
-    return bronze.select("ingest_day").distinct().filter(age > keep_days)
+    A batch writes its own folder under each day and a repeated batch replaces it, so days are plain
+    folders that retention can drop.
+    """
+    def append(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("ingest_day", F.date_format("ts", "yyyy-MM-dd"))
+         .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+         .partitionBy("ingest_day", "batch_id").parquet(path))
+
+    return (raw.writeStream.queryName("bronze").foreachBatch(append)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

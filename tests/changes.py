@@ -27,12 +27,12 @@ def envelope(op, row, before=None):
     return {"op": op, "after": None if op == "d" else row, "before": row if op == "d" else before}
 
 
-def write_batch(spark, path, name, events, offset):
+def write_batch(spark, path, name, events, offset, day="2026-01-02"):
     """One file of events with consecutive offsets."""
     import json
     rows = [(json.dumps(e), 0, offset + i) for i, e in enumerate(events)]
     df = spark.createDataFrame(rows, "payload string, partition int, offset bigint").withColumn(
-        "ts", F.to_timestamp(F.lit("2026-01-02 03:04:05")))
+        "ts", F.to_timestamp(F.lit(f"{day} 03:04:05")))
     df.coalesce(1).write.mode("append").json(f"{path}/{name}")
     return offset + len(rows)
 

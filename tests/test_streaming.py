@@ -9,7 +9,7 @@ from regulus.contract import FACT_COLUMNS, MEASUREMENT_COLUMNS
 from regulus.operators import quality
 from regulus.operators.measurements import measurements
 from regulus.sources import tables
-from regulus.streaming import changelog, operations
+from regulus.streaming import changelog, operations, retention
 from regulus.streaming.medallion import Medallion
 from regulus.streaming.snapshots import Snapshots
 
@@ -40,8 +40,14 @@ def test_bronze_keeps_every_envelope_by_day(spark, tmp_path):
     bronze = spark.read.parquet(str(tmp_path / "bronze"))
     assert bronze.count() == 2
     assert [r["ingest_day"].isoformat() for r in bronze.select("ingest_day").distinct().collect()] == ["2026-01-02"]
-    assert changelog.expire_bronze_days(bronze, "2026-03-01", 30).count() == 1
-    assert changelog.expire_bronze_days(bronze, "2026-01-20", 30).count() == 0
+    write_batch(spark, src, "b1", [envelope("c", fact("r2", 1))], 2, day="2026-02-20")
+    changelog.start_bronze(changelog.file_source(spark, f"{src}/*"), str(tmp_path / "bronze"),
+                           str(tmp_path / "bck")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "bronze")).count() == 3
+    assert retention.expire_bronze(spark, str(tmp_path / "bronze"), "2026-01-20") == 0
+    assert retention.expire_bronze(spark, str(tmp_path / "bronze"), "2026-03-01") == 1
+    left = spark.read.parquet(str(tmp_path / "bronze")).collect()
+    assert [r["ingest_day"].isoformat() for r in left] == ["2026-02-20"]
 
 
 def test_malformed_envelope_fails_the_job(spark):
@@ -188,6 +194,15 @@ def test_erasure_compaction_and_freshness(spark, tmp_path):
     assert {r["table_name"] for r in late} == {"activities", "measurements"}
     assert not any(r["fresh"] for r in late)
     assert operations.superseded(m.store, spark, "2100-01-01 00:00:00").count() >= 2
+    assert m.silver(spark, as_of=0).filter("entity_id = 'e1'").count() == 10
+    assert retention.expire_versions(m.store, spark, "2000-01-01 00:00:00") == 0
+    assert retention.expire_versions(m.store, spark, "2100-01-01 00:00:00") >= 2
+    assert retention.expire_versions(m.store, spark, "2100-01-01 00:00:00") == 0
+    assert m.silver(spark, as_of=0).count() == 0  # the erased rows are out of reach now
+    assert m.silver(spark).count() == 20 and m.measurements(spark).count() == 40
+    n = write_batch(spark, src, "b9", [envelope("u", done("r0", 2))], 100)
+    run(spark, m, tmp_path, src)
+    assert ("r0", 2) in ids(m.silver(spark)) and n == 101
     assert {r["version"] for r in operations.published_versions(m.store, spark).collect()}
     with pytest.raises(RuntimeError, match="expected one running"):
         operations.assert_one_running(spark, "medallion_activities")
