@@ -14,11 +14,15 @@ from regulus.sources import gold
 QUARTER, EARLIER = "Q2 1998", "Q2 1997"
 
 
-def points(spark, d):
-    """Tenant-free indicator points."""
+def points_from_facts(spark, d):
     return kpi.kpi_from_facts(gold.valid_activities(spark, d))
 
 
+def points(spark, d):
+    """Tenant-free indicator points, from the serving table."""
+    return gold.stored(spark, d, "points", lambda: points_from_facts(spark, d))
+
+
 def tenant_points(spark, d):
     return kpi.kpi_quarterly(gold.measurements(spark, d))
 
@@ -109,7 +113,7 @@ def _(spark, d):
 @query("a14_kpi_from_facts", f"""SELECT process_code, kpi_id, reporting_quarter, baseline, target, numerator,
  denominator, {o.rnd('value')} AS value FROM f_points""")
 def _(spark, d):
-    return points(spark, d).drop("updated_at").withColumn("value", x.rounded("value"))
+    return points_from_facts(spark, d).drop("updated_at").withColumn("value", x.rounded("value"))
 
 
 @query("a15_kpi_counts", """SELECT process_code, kpi_id, reporting_quarter,

@@ -212,22 +212,24 @@ o.register("f_inspections", f"""SELECT process_code, quarter, metric, CAST(sum(w
  WHERE quarter IS NOT NULL GROUP BY 1,2,3""")
 
 
-def volumes(spark, d):
+# The sections below are computed by the queries named after them, and read by all others from
+# serving tables that are written once.
+@query("a16_quarterly_volumes", "SELECT * FROM f_volumes")
+def compute_volumes(spark, d):
     return perf.quarterly_volumes(gold.applications(spark, d), gold.valid_activities(spark, d))
 
 
-def inspections(spark, d):
+@query("a17_inspection_volumes", "SELECT * FROM f_inspections")
+def compute_inspections(spark, d):
     return perf.inspection_volumes(gold.valid_activities(spark, d))
 
 
-@query("a16_quarterly_volumes", "SELECT * FROM f_volumes")
-def _(spark, d):
-    return volumes(spark, d)
+def volumes(spark, d):
+    return gold.stored(spark, d, "volumes", lambda: compute_volumes(spark, d))
 
 
-@query("a17_inspection_volumes", "SELECT * FROM f_inspections")
-def _(spark, d):
-    return inspections(spark, d)
+def inspections(spark, d):
+    return gold.stored(spark, d, "inspections", lambda: compute_inspections(spark, d))
 
 
 @query("p27_combined_route", """SELECT process_code, quarter, CAST(coalesce(max(CASE WHEN metric='requested_reliance' THEN value END),0)
@@ -264,11 +266,12 @@ o.register("f_bottlenecks", f"""SELECT process_code, activity_type AS step, {o.q
 
 
 def step_points(spark, d):
-    return perf.step_performance(gold.steps(spark, d))
+    return gold.stored(spark, d, "step_points",
+                       lambda: perf.step_performance(gold.steps(spark, d)))
 
 
 def step_medians(spark, d):
-    return perf.bottlenecks(gold.steps(spark, d))
+    return gold.stored(spark, d, "step_medians", lambda: perf.bottlenecks(gold.steps(spark, d)))
 
 
 def neat(df, *names):
@@ -282,7 +285,7 @@ def sql_neat(relation, names, rest, where=""):
 @query("a18_step_performance", sql_neat("f_step_performance", ["avg_days", "target_days"],
                                         "process_code, step, quarter"))
 def _(spark, d):
-    return neat(step_points(spark, d), "avg_days", "target_days")
+    return neat(perf.step_performance(gold.steps(spark, d)), "avg_days", "target_days")
 
 
 _BN = ["cycle_time_median", "touch_median_days", "wait_median_days"]
@@ -290,7 +293,7 @@ _BN = ["cycle_time_median", "touch_median_days", "wait_median_days"]
 
 @query("a19_bottleneck_medians", sql_neat("f_bottlenecks", _BN, "process_code, step, quarter"))
 def _(spark, d):
-    return neat(step_medians(spark, d), *_BN)
+    return neat(perf.bottlenecks(gold.steps(spark, d)), *_BN)
 
 
 @query("a44_wait_share_and_tails", f"""SELECT process_code, activity_type AS step, {o.qlabel('completed_at')} AS quarter,
