@@ -41,7 +41,7 @@ def streamed(spark: SparkSession, sf_dir: str) -> Medallion:
     """Tables fed by a change log of two deliveries: the first two revisions, then the later ones
     with repeated old events and a delete for every fiftieth key. Fed once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _streams:
+    if key in _streams and _streams[key].store.latest_version(spark) >= 0:
         return _streams[key]
     root = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
     history = gold.history(spark, sf_dir)

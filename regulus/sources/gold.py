@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from regulus.operators.measurements import measurements as fan_out
@@ -28,16 +29,21 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     """
     use_business_time(spark)
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _written:
-        frame = build()
-        path = f"{scratch_dir(spark)}/gold-{name}-{uuid.uuid4().hex}"
-        if partition:
-            frame.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
-        else:
-            frame.write.parquet(path)
-        _written[key] = (path, frame.schema)
-    path, schema = _written[key]
-    return spark.read.schema(schema).parquet(path)
+    if key in _written:
+        path, schema = _written[key]
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise  # a table that somebody removed is written again below
+    frame = build()
+    path = f"{scratch_dir(spark)}/gold-{name}-{uuid.uuid4().hex}"
+    if partition:
+        frame.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+    else:
+        frame.write.parquet(path)
+    _written[key] = (path, frame.schema)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -333,3 +333,12 @@ def test_other_families_have_no_measurements(spark, tmp_path):
     steps.apply(spark.read.schema(changelog.RAW_SCHEMA).json(str(tmp_path / "in" / "*")), 0)
     assert steps.gold(spark).count() == 2
     assert steps.measurements(spark).isEmpty()
+
+
+def test_a_removed_gold_table_is_written_again(spark):
+    from regulus.sources import gold
+    from regulus.streaming.retention import remove
+    first = gold.stored(spark, "nowhere", "numbers", lambda: spark.range(5))
+    path = gold._written[(spark.sparkContext.applicationId, "nowhere", "numbers")][0]
+    assert first.count() == 5 and remove(spark, [path]) == 1
+    assert gold.stored(spark, "nowhere", "numbers", lambda: spark.range(7)).count() == 7
