@@ -5,9 +5,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import compare
+from regulus import plans
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = plans.QUERIES
+ORACLES = plans.oracles()
 
 
 def test_every_twin_has_its_query():
