@@ -4,8 +4,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regulus.llm.quality_rules import STOP_WORDS, quality
+from regulus.llm.secret_scan import BASE_RULES, find_secrets, joined_spans, n_of
 from regulus.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +52,13 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and verdict of every document."""
     return quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op3_secret_scans")
+def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; the base digest covers the three base kinds only."""
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = tuple(r.kind for r in BASE_RULES)
+    return found.select(
+        "doc_id", *[n_of(kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(joined_spans("secrets", kinds), 256).alias("base_sha256"), joined_spans("secrets").alias("spans"))
