@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regulus.llm.mixing import mix
 from regulus.llm.quality_rules import STOP_WORDS, quality
 from regulus.llm.secret_scan import BASE_RULES, find_secrets, joined_spans, n_of
 from regulus.llm.store import table
@@ -62,3 +63,10 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[n_of(kind).alias(f"n_{kind}") for kind in kinds],
         F.sha2(joined_spans("secrets", kinds), 256).alias("base_sha256"), joined_spans("secrets").alias("spans"))
+
+
+@query("op6_mixing")
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents: how many words of each it takes."""
+    return mix(table(spark, sf_dir, "documents"), carry=("doc_id",)).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
