@@ -6,7 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regulus.llm.binary_output import records_of
 from regulus.llm.mixing import mix
+from regulus.llm.packing import pack
 from regulus.llm.quality_rules import STOP_WORDS, quality
 from regulus.llm.secret_scan import BASE_RULES, find_secrets, joined_spans, n_of
 from regulus.llm.store import table
@@ -70,3 +72,15 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: how many words of each it takes."""
     return mix(table(spark, sf_dir, "documents"), carry=("doc_id",)).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+@query("op5_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document, and where it is packed."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@query("op10_binary_output")
+def binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's record, read back from the files."""
+    return records_of(table(spark, sf_dir, "documents"))
