@@ -22,7 +22,7 @@ WEIGHTS = (5, 2, 1)
 #: No document is taken more often.
 MOST_TIMES = 3
 #: Documents of a block.
-BLOCK = 20_000
+BLOCK = 2_000
 _EDGE = 1e-9
 
 
