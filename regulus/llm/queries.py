@@ -12,6 +12,8 @@ from regulus.llm.packing import pack
 from regulus.llm.quality_rules import STOP_WORDS, quality
 from regulus.llm.secret_scan import BASE_RULES, find_secrets, joined_spans, n_of
 from regulus.llm.store import table
+from regulus.llm.topk_search import top_k, whole_vectors
+from regulus.llm.toxicity import THRESHOLD, held_out, score, train
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +86,30 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's record, read back from the files."""
     return records_of(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    scored = score(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), F.col("toxicity").alias("score"),
+                         (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+_TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+@query("op4_topk_search", _TOP_K_SQL)
+def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best neighbours of every fiftieth vector."""
+    vectors = whole_vectors(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors.where("vec_id % 50 = 0"), vectors)
