@@ -38,7 +38,7 @@ def test_reading_stops_early(monkeypatch):
     """With clear winners the lists are not read to their ends."""
     random = np.random.default_rng(4)
     x = random.integers(-60, 60, (4000, 8)).astype(float)
-    x[:50] = 200
+    x[:30] = 200
     ids = np.arange(4000)
     monkeypatch.setattr("regulus.llm.topk_search.STRETCHES", (0.25,))  # no further stretch is there
     found = Lists(ids, x).search(np.array([0]), x[:1], 5)
