@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regulus.llm.binary_output import records_of
+from regulus.llm.jaccard_join import similar
 from regulus.llm.mixing import mix
 from regulus.llm.packing import pack
 from regulus.llm.quality_rules import STOP_WORDS, quality
@@ -113,3 +114,9 @@ def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best neighbours of every fiftieth vector."""
     vectors = whole_vectors(table(spark, sf_dir, "embeddings"))
     return top_k(vectors.where("vec_id % 50 = 0"), vectors)
+
+
+@query("op7_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies and the number of its links."""
+    return similar(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
