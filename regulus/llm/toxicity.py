@@ -20,9 +20,10 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 #: Lengths of the n-grams in bytes, and buckets.
 LENGTHS, BUCKETS = (4, 5, 6), 1 << 18
 #: Rows of the training sample, at most half of them toxic; the ratios are counted over all training rows.
-SAMPLE = 12_000
-#: Ratios within so many standard errors of 0, and those of buckets that fewer texts have, are left out as chance.
-ERRORS, LEAST_TEXTS = 4.0, 5
+SAMPLE = 8_000
+#: Ratios within so many standard errors of 0, and those of buckets that fewer texts have, are left out as chance; of the others the model
+#: has the surest ones.
+ERRORS, LEAST_TEXTS, FEATURES = 4.0, 5, 4096
 #: Beyond so many labels they are joined by a shuffle and not sent to all executors.
 MOST_SENT = 1_000_000
 THRESHOLD = 0.3
@@ -93,24 +94,31 @@ def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
 
 
 def ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> np.ndarray:
+    """The log-count ratio of each bucket the model has, 0 for the rest."""
     ratio = np.log((toxic + 1.0) / (n_toxic + 2.0)) - np.log((other + 1.0) / (n_other + 2.0))
-    error = np.sqrt(1 / (toxic + 1.0) + 1 / (other + 1.0))
-    ratio[(np.abs(ratio) < ERRORS * error) | (toxic + other < LEAST_TEXTS)] = 0.0
+    sure = np.abs(ratio) / np.sqrt(1 / (toxic + 1.0) + 1 / (other + 1.0))
+    sure[toxic + other < LEAST_TEXTS] = 0
+    ratio[(sure < ERRORS) | (np.argsort(np.argsort(-sure, kind="stable"), kind="stable") >= FEATURES)] = 0.0
     return ratio
 
 
 def fit(buckets: list[np.ndarray], toxic: np.ndarray, ratio: np.ndarray, rounds: int = 80, penalty: float = 2e-3) -> tuple[np.ndarray, float]:
     """Logistic regression on presence times ratio: weights by bucket and the intercept, by gradient steps of adaptive length."""
-    used, place = np.unique(np.concatenate([*buckets, np.zeros(0, dtype=np.int64)]), return_inverse=True)
+    used = np.flatnonzero(ratio)
+    number = np.zeros(len(ratio), dtype=np.int32)
+    number[used] = np.arange(len(used))
     lengths = np.array([len(b) for b in buckets])
-    rows = np.repeat(np.arange(len(buckets)), lengths)
+    full, starts = lengths > 0, np.cumsum(lengths) - lengths
+    place = np.concatenate([number[b] for b in buckets] + [np.zeros(0, dtype=np.int32)])
     scale = ratio[used]
-    w, b = np.zeros(len(used) + 1), 0.0
+    w = np.zeros(len(used) + 1)
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, rounds + 1):
-        z = np.bincount(rows, weights=(w[:-1] * scale)[place], minlength=len(buckets)) + w[-1]
+        z = np.full(len(buckets), w[-1])
+        if full.any():
+            z[full] += np.add.reduceat((w[:-1] * scale)[place], starts[full])
         error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - toxic) / len(buckets)
-        slope = np.append(np.bincount(place, weights=error[rows], minlength=len(used)) * scale + penalty * w[:-1], error.sum())
+        slope = np.append(np.bincount(place, weights=np.repeat(error, lengths), minlength=len(used)) * scale + penalty * w[:-1], error.sum())
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope * slope
         w = w - 0.05 * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-8)
     out = np.zeros(len(ratio))
