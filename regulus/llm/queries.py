@@ -13,6 +13,7 @@ from regulus.llm.packing import pack
 from regulus.llm.quality_rules import STOP_WORDS, quality
 from regulus.llm.secret_scan import BASE_RULES, find_secrets, joined_spans, n_of
 from regulus.llm.store import table
+from regulus.llm.substring_dedup import without_repeats
 from regulus.llm.topk_search import top_k, whole_vectors
 from regulus.llm.toxicity import THRESHOLD, held_out, score, train
 
@@ -120,3 +121,23 @@ def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near copies and the number of its links."""
     return similar(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+_REPEATS_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT rid, i, array_to_string(w[i:i + 34], ' ') AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY g) AS c FROM win) WHERE c > 1),
+gone AS (SELECT DISTINCT rid, i + k AS p FROM rep CROSS JOIN range(35) AS r(k)),
+words AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+
+@query("op2_substring_dedup", _REPEATS_SQL)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that stand elsewhere too."""
+    return without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
