@@ -154,8 +154,8 @@ def _links(df: DataFrame, text: str, asked: DataFrame, gram: int, similarity: tu
     """(set_id, links, linked_to) of the verified pairs of all groups."""
     wanted = asked.select(F.col("text_hash").alias("__hash"), "set_id")
     texts = df.select(F.col(text).cast("string").alias("__text"), F.xxhash64(F.col(text).cast("string")).alias("__hash"))
-    # copies of a text are dropped where they are read, before anything is joined
-    texts = texts.join(wanted.select("__hash").distinct(), "__hash", "left_semi").groupBy("__hash").agg(F.first("__text").alias("__text"))
+    # the same join at every size: the wanted texts grow with the input, so they are never sent whole to all executors
+    texts = texts.join(wanted.select("__hash").distinct().hint("merge"), "__hash", "left_semi").groupBy("__hash").agg(F.first("__text").alias("__text"))
 
     def fill(batches):
         for batch in batches:
