@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regulus.llm.binary_output import records_of
+from regulus.llm.html_extraction import extract
 from regulus.llm.jaccard_join import similar
 from regulus.llm.mixing import mix
 from regulus.llm.packing import pack
@@ -141,3 +142,9 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages that stand elsewhere too."""
     return without_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op1_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
