@@ -4,12 +4,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from regulus.llm.jaccard_join import one_of_each
+from regulus.llm.mixing import mix
+from regulus.llm.packing import pack
+from regulus.llm.secret_scan import redact
 from regulus.llm.store import table, written
+from regulus.llm.toxicity import THRESHOLD, score, train
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
-#: SQL cannot express the classifier, the banding or the tokenizer.
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones among them, does not reject."""
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).where(F.col("toxicity") < THRESHOLD).select(*docs.columns)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every class of near copies."""
+    return one_of_each(docs)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by their kind and n_chars counted anew."""
+    return redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    rows = docs.select("text", "source", F.struct(*docs.columns).alias("row"))
+    taken = mix(rows, carry=("row",)).where("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("time"))
+    return taken.select(*[F.col(f"row.{c}").alias(c) for c in docs.columns])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence."""
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity), ("n-gram Jaccard join", ngram_jaccard_join), ("secret scans", secret_scans),
+    ("mixing sources to target weights", mixing), ("packing", packing)]
+#: SQL cannot express the classifier, the balanced sample or the tokenizer.
 ORACLE_SQL: str | None = None
 
 

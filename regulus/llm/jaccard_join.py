@@ -125,29 +125,45 @@ def _verify(rows: pa.Table, similarity: tuple[int, int], bands: int) -> pa.Table
 
 
 def similar(df: DataFrame, text: str = "text", doc_id: str = "doc_id", gram: int = GRAM, similarity: tuple[int, int] = SIMILARITY,
-            recall: float = RECALL, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``df``: doc_id, class_id, n_links, and the text's set_id and text_hash.
+            recall: float = RECALL, block: int = BLOCK, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``df``: doc_id, class_id, n_links, class_key and the columns named in ``carry``.
 
-    Two rows are linked if the similarity of their sets reaches the fraction ``similarity``; a class is a connected component of links and named
-    after its least doc_id. Repeated rows and equal sets are linked to one another. A text of fewer words than a gram is one gram; a
-    null text or one without words has no grams, no links and a class of its own (its doc_id). Rows without an id count as members.
+    Two rows are linked if the similarity of their sets reaches the fraction ``similarity``; a class is a connected component of links, told by
+    its class_key and named after its least doc_id. Repeated rows and equal sets are linked to one another. A text of fewer words than a
+    gram is one gram; a null text or one without words has no grams, no links, no class_key and a class of its own (its doc_id). Rows
+    without an id count as members. Other columns are not read, so their names cannot clash. An empty table gives an empty one.
     """
     banding = banding_for(similarity[0] / similarity[1], recall)
-    rows = written(_signed(df.withColumnRenamed(doc_id, "doc_id") if doc_id != "doc_id" else df, text, ("doc_id",), gram, banding), "signed")
+    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), *carry)
+    rows = written(_signed(docs, "text", ("doc_id", *carry), gram, banding), "signed")
     sets = written(rows.where("set_id is not null").groupBy("set_id").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("least_id"), F.first("bands").alias("bands"), F.min("text_hash").alias("text_hash")), "sets")
     groups = _candidates(sets, banding)
     asked = written(groups.withColumnRenamed("node", "set_id").join(sets, "set_id"), "candidates")
-    found = written(_links(df, text, asked, gram, similarity, block, banding.bands), "found")
+    found = written(_links(docs, "text", asked, gram, similarity, block, banding.bands), "found")
     linked = components(found.select(F.col("set_id").alias("a"), F.col("linked_to").alias("b")))
     sums = found.groupBy("set_id").agg(F.sum("links").alias("links"))
     own = (sets.select("set_id", "n", "least_id").join(sums, "set_id", "left").join(linked.withColumnRenamed("node", "set_id"), "set_id", "left")
-           .withColumn("root", F.coalesce("root", "set_id")))
-    named = own.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    classes = written(own.join(named, "root").select("set_id", "class_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
+           .withColumn("class_key", F.coalesce("root", "set_id")))
+    named = own.groupBy("class_key").agg(F.min("least_id").alias("class_id"))
+    classes = written(own.join(named, "class_key").select("set_id", "class_key", "class_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
     # texts without words would meet in one task: they need no partner
-    worded = rows.where("set_id is not null").join(classes, "set_id").select("doc_id", "class_id", "n_links", "set_id", "text_hash")
-    return worded.unionByName(rows.where("set_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "set_id", "text_hash"))
+    columns = ["doc_id", "class_id", "n_links", "class_key", *carry]
+    alone = rows.where("set_id is null").select("*", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("binary").alias("class_key"))
+    return rows.where("set_id is not null").join(classes, "set_id").select(*columns).unionByName(alone.select(*columns))
+
+
+def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` without near copies: of every class the row with the least doc_id stays, a row without id only if none has one.
+
+    Texts without words are no copies of one another and all stay.
+    """
+    numbered = written(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = written(similar(numbered, text, doc_id, carry=("__row",)).select("doc_id", "class_key", "__row"), "classed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__row").alias("c")))
+    kept = found.where("class_key is not null").groupBy("class_key").agg(first.alias("first")).select(F.col("first.c").alias("__row"))
+    kept = kept.unionByName(found.where("class_key is null").select("__row"))
+    return numbered.join(kept, "__row", "left_semi").drop("__row")
 
 
 def _links(df: DataFrame, text: str, asked: DataFrame, gram: int, similarity: tuple[int, int], block: int, bands: int) -> DataFrame:

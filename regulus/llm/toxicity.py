@@ -22,8 +22,9 @@ LENGTHS, BUCKETS = (4, 5, 6), 1 << 18
 #: Rows of the training sample, at most half of them toxic; the ratios are counted over all training rows.
 SAMPLE = 8_000
 #: Ratios within so many standard errors of 0, and those of buckets that fewer texts have, are left out as chance; of the others the model
-#: has the surest ones.
+#: has the surest ones. Few labels make few sure ratios: then the model has some of the less sure ones too.
 ERRORS, LEAST_TEXTS, FEATURES = 4.0, 5, 4096
+LESS_ERRORS, LEAST_FEATURES = 1.5, 1000
 #: Beyond so many labels they are joined by a shuffle and not sent to all executors.
 MOST_SENT = 1_000_000
 THRESHOLD = 0.3
@@ -98,7 +99,8 @@ def ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) ->
     ratio = np.log((toxic + 1.0) / (n_toxic + 2.0)) - np.log((other + 1.0) / (n_other + 2.0))
     sure = np.abs(ratio) / np.sqrt(1 / (toxic + 1.0) + 1 / (other + 1.0))
     sure[toxic + other < LEAST_TEXTS] = 0
-    ratio[(sure < ERRORS) | (np.argsort(np.argsort(-sure, kind="stable"), kind="stable") >= FEATURES)] = 0.0
+    place = np.argsort(np.argsort(-sure, kind="stable"), kind="stable")
+    ratio[~((sure >= ERRORS) & (place < FEATURES) | (sure >= LESS_ERRORS) & (place < LEAST_FEATURES))] = 0.0
     return ratio
 
 
