@@ -19,7 +19,7 @@ from regulus.llm.store import row_key, written
 from regulus.llm.words import Words, grams, words_of
 
 #: Words of a window and of a gram, words of a shard, pieces of a gram beyond which its windows are dealt one by one.
-WINDOW, GRAM, SHARD, HOT = 35, 12, 400_000, 20_000
+WINDOW, GRAM, SHARD, HOT = 35, 12, 200_000, 20_000
 
 
 def _least(values: np.ndarray, n: int, pick=np.minimum, fill=np.uint64(0xFFFFFFFFFFFFFFFF)) -> np.ndarray:
