@@ -14,16 +14,18 @@ from regulus.plans.facts import ROUNDED, neat
 from regulus.plans.registry import query
 from regulus.session import scratch_dir
 from regulus.sources import gold
-from regulus.streaming import changelog
+from regulus.streaming import changelog, operations
 from regulus.streaming.medallion import Medallion
-from regulus.streaming.snapshots import Snapshots
 
-REPEAT_EVERY, DELETE_EVERY = 7, 50
-_streams: dict[tuple[str, str], Medallion] = {}
+DAY = 86_400_000
+REPEAT_EVERY, GROUPS = 7, 50
+#: What the last delivery does to the records of every fiftieth application: delete, turn invalid, turn valid, correct late.
+DELETED, SPOILT, MENDED, MOVED = 0, 1, 2, 3
+_streams: dict[tuple[str, str], tuple[Medallion, object]] = {}
 
 
-def _every(n: int):
-    return F.col("record_id").cast("long") % n == 0
+def _group():
+    return F.col("application_id").cast("long") % GROUPS
 
 
 def envelopes(history: DataFrame, op: str, shift: int) -> DataFrame:
@@ -37,30 +39,51 @@ def envelopes(history: DataFrame, op: str, shift: int) -> DataFrame:
         F.timestamp_millis("updated_at").alias("ts"))
 
 
-def streamed(spark: SparkSession, sf_dir: str) -> Medallion:
-    """Tables fed by a change log of two deliveries: the first two revisions, then the later ones
-    with repeated old events and a delete for every fiftieth key. Fed once per application."""
+def corrections(current: DataFrame) -> DataFrame:
+    """One more revision: valid records turn invalid, invalid ones valid, and completions move to a later quarter."""
+    changed = current.filter(_group().isin(SPOILT, MENDED, MOVED)).withColumn("revision", F.col("revision") + 1)
+    return (changed.withColumn("touch_days", F.when(_group() == SPOILT, -1.0).otherwise(F.col("touch_days")))
+            .withColumn("due_at", F.when(_group() == MENDED, F.greatest(F.col("due_at"), F.col("received_at") + 30 * DAY)).otherwise(F.col("due_at")))
+            .withColumn("completed_at", F.when(_group() == MOVED, F.col("completed_at") + 200 * DAY).otherwise(F.col("completed_at")))
+            .select(*current.columns))
+
+
+def streamed(spark: SparkSession, sf_dir: str) -> tuple[Medallion, object]:
+    """Tables fed by a change log of four deliveries, and the time after the first. Fed once per application.
+
+    The deliveries are the first two revisions; the later ones with repeated old events; deletes and corrections; and under a
+    new checkpoint the whole log once more.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _streams and _streams[key].store.latest_version(spark) >= 0:
+    if key in _streams and _streams[key][0].last_commit(spark) is not None:
         return _streams[key]
     root = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
-    history = gold.history(spark, sf_dir)
-    final = gold.activities(spark, sf_dir).filter(_every(DELETE_EVERY))
+    history, current = gold.history(spark, sf_dir), gold.activities(spark, sf_dir)
+    repeated = history.filter(F.col("record_id").cast("long") % REPEAT_EVERY == 0)
     deliveries = (
         envelopes(history.filter("revision <= 2"), "u", 0),
-        envelopes(history.filter("revision > 2"), "u", 0)
-        .unionByName(envelopes(history.filter(_every(REPEAT_EVERY)), "u", 100_000_000_000))
-        .unionByName(envelopes(final, "d", 500_000_000_000)))
-    medallion = Medallion(Snapshots(f"{root}/lake", buckets=1))
+        envelopes(history.filter("revision > 2"), "u", 0).unionByName(envelopes(repeated, "u", 100_000_000_000)),
+        envelopes(current.filter(_group() == DELETED), "d", 500_000_000_000).unionByName(envelopes(corrections(current), "u", 0)))
+    medallion, first = Medallion(f"{root}/lake"), None
     for number, events in enumerate(deliveries):
         events.write.json(f"{root}/log/delivery={number}")
-        medallion.start(changelog.file_source(spark, f"{root}/log/*"),
-                        f"{root}/checkpoint").awaitTermination()
-    _streams[key] = medallion
-    return medallion
+        medallion.start(changelog.file_source(spark, f"{root}/log/*"), f"{root}/checkpoint").awaitTermination()
+        first = first or medallion.last_commit(spark)
+    medallion.start(changelog.file_source(spark, f"{root}/log/*"), f"{root}/checkpoint-2").awaitTermination()
+    _streams[key] = medallion, first
+    return _streams[key]
 
 
-_ALIVE = f"CAST(record_id AS BIGINT)%{DELETE_EVERY}<>0"
+_G = f"CAST(application_id AS BIGINT)%{GROUPS}"
+_LAST = ", ".join({
+    "revision": f"CAST(CASE WHEN {_G} IN ({SPOILT},{MENDED},{MOVED}) THEN revision+1 ELSE revision END AS INT) AS revision",
+    "touch_days": f"CASE WHEN {_G}={SPOILT} THEN -1e0 ELSE touch_days END AS touch_days",
+    "due_at": f"CASE WHEN {_G}={MENDED} THEN greatest(due_at, received_at+30*{o.DAY}) ELSE due_at END AS due_at",
+    "completed_at": f"CASE WHEN {_G}={MOVED} THEN completed_at+200*{o.DAY} ELSE completed_at END AS completed_at",
+}.get(n, n) for n in FACT_COLUMNS)
+o.register("h_last", f"SELECT {_LAST} FROM f_activities")
+o.register("h_valid", f"SELECT * FROM h_last WHERE {o.VALID} AND {_G}<>{DELETED}")
+o.register("h_measurements", o.RELATIONS["f_measurements"].replace("f_valid", "h_valid"))
 
 
 @query("s02_change_decode", f"SELECT 'u' AS op, {ROUNDED} FROM f_history")
@@ -77,37 +100,70 @@ def _(spark, d):
     return latest.latest_state(history.unionByName(history), ["record_id"], ["revision"])
 
 
-@query("k02_streamed_silver", f"SELECT {ROUNDED} FROM f_valid WHERE {_ALIVE}")
+@query("k02_streamed_silver", f"SELECT {ROUNDED} FROM h_valid")
 def _(spark, d):
-    return neat(streamed(spark, d).silver(spark))
+    return neat(streamed(spark, d)[0].silver(spark))
 
 
-@query("k03_streamed_quarantine", f"""SELECT record_id, revision, cohort_month FROM f_activities
- WHERE NOT coalesce({o.VALID}, false) AND {_ALIVE}""")
+@query("k03_streamed_quarantine", f"""SELECT record_id, revision, cohort_month FROM h_last
+ WHERE NOT coalesce({o.VALID}, false) AND {_G}<>{DELETED}""")
 def _(spark, d):
-    return streamed(spark, d).quarantine(spark).select("record_id", "revision", "cohort_month")
+    return streamed(spark, d)[0].quarantine(spark).select("record_id", "revision", "cohort_month")
 
 
 @query("k04_streamed_measurements", "SELECT " + ", ".join(
-    f"{o.rnd(n)} AS {n}" if n == "measured_value" else n for n in MEASUREMENT_COLUMNS)
-    + f" FROM f_measurements WHERE CAST(activity_id AS BIGINT)%{DELETE_EVERY}<>0")
+    f"{o.rnd(n)} AS {n}" if n == "measured_value" else n for n in MEASUREMENT_COLUMNS) + " FROM h_measurements")
 def _(spark, d):
-    return streamed(spark, d).measurements(spark).withColumn(
+    return streamed(spark, d)[0].measurements(spark).withColumn(
         "measured_value", x.rounded("measured_value"))
 
 
-@query("t05_deleted_keys", f"SELECT record_id AS record_key, revision FROM f_activities WHERE NOT ({_ALIVE})")
+@query("t04_retracted", f"""SELECT record_id, revision, 'quarantine' AS disposition FROM h_last WHERE {_G}={SPOILT}
+ UNION ALL SELECT h.record_id, h.revision, 'valid' FROM h_valid h JOIN f_activities a USING (record_id)
+ WHERE CAST(h.application_id AS BIGINT)%{GROUPS}={MENDED} AND a.due_at<a.received_at""")
+def _(spark, d):
+    """Records that a later revision moved through the validity filter, in either direction."""
+    medallion = streamed(spark, d)[0]
+    before = gold.activities(spark, d).filter("due_at < received_at").select("record_id")
+    spoilt = medallion.quarantine(spark).filter(_group() == SPOILT)
+    mended = medallion.silver(spark).filter(_group() == MENDED).join(before, "record_id", "left_semi")
+    return (spoilt.select("record_id", "revision", F.lit("quarantine").alias("disposition"))
+            .unionByName(mended.select("record_id", "revision", F.lit("valid").alias("disposition"))))
+
+
+@query("t05_deleted_keys", f"SELECT record_id AS record_key, revision FROM f_activities WHERE {_G}={DELETED}")
 def _(spark, d):
     """What remains of deleted records: the key and its order."""
-    gone = streamed(spark, d).state(spark).filter(F.col("disposition") == "deleted")
+    gone = streamed(spark, d)[0].state(spark).filter(F.col("disposition") == "deleted")
     return gone.select("record_key", "revision")
 
 
-@query("t12_published_versions", "SELECT 'activities' AS table_name UNION ALL SELECT 'measurements'")
+@query("t06_late_corrections", f"""SELECT measurement_id, reporting_quarter FROM h_measurements
+ WHERE CAST(application_id AS BIGINT)%{GROUPS}={MOVED}""")
+def _(spark, d):
+    """Corrected measurements stand in their new quarter and nowhere else."""
+    return streamed(spark, d)[0].measurements(spark).filter(_group() == MOVED).select("measurement_id", "reporting_quarter")
+
+
+@query("t09_replay", f"""SELECT 'valid' AS disposition, count(*) AS records FROM h_valid
+ UNION ALL SELECT 'quarantine', count(*) FROM h_last WHERE NOT coalesce({o.VALID}, false) AND {_G}<>{DELETED}
+ UNION ALL SELECT 'deleted', count(*) FROM h_last WHERE {_G}={DELETED}""")
+def _(spark, d):
+    """One row per record, although the log came twice under two checkpoints."""
+    return streamed(spark, d)[0].state(spark).groupBy("disposition").agg(F.count(F.lit(1)).alias("records"))
+
+
+_NOW_MS = 915_148_800_000  # 1999-01-01
+
+
+@query("t12_freshness", f"""SELECT process_code, CAST({_NOW_MS} - max(updated_at) AS DOUBLE)/60000e0 AS age_minutes,
+ {_NOW_MS} - max(updated_at) <= 220*{o.DAY} AS fresh FROM h_last WHERE {_G}<>{DELETED} GROUP BY 1""")
 def _(spark, d):
-    from regulus.streaming.operations import published_versions
-    medallion = streamed(spark, d)
-    return published_versions(medallion.store, spark).select("table_name")
+    """Age of the newest streamed event of every process against a fixed time."""
+    rows = streamed(spark, d)[0].state(spark).filter(F.col("disposition") != "deleted")
+    now = F.timestamp_millis(F.lit(_NOW_MS))
+    return operations.freshness(rows, ["process_code"], F.timestamp_millis("updated_at"), now, 220 * 1440).select(
+        "process_code", "age_minutes", "fresh")
 
 
 @query("s03_pinned_snapshot", """SELECT record_id, revision FROM (SELECT * FROM f_history WHERE revision<=2
@@ -115,4 +171,5 @@ def _(spark, d):
        + " AND cohort_month>='1997-01'")
 def _(spark, d):
     """The tables as the first delivery left them, from one cohort on."""
-    return streamed(spark, d).silver(spark, as_of=0, since="1997-01").select("record_id", "revision")
+    medallion, first = streamed(spark, d)
+    return medallion.silver(spark, as_of=first, since="1997-01").select("record_id", "revision")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from regulus.contract import ENVELOPE_SCHEMA, FACT_COLUMNS
+from regulus.streaming.runs import batch_folder, replacing
 
 RAW_SCHEMA = "payload string, partition int, offset bigint, ts timestamp"
 
@@ -42,17 +43,19 @@ def decode(raw: DataFrame) -> DataFrame:
             .select("op", *[F.col(f"r.{n}").alias(n) for n in FACT_COLUMNS], "partition", "offset"))
 
 
-def start_bronze(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """The raw, replayable copy by ingestion day, each record exactly once.
+def append_bronze(batch: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
+    """The raw envelopes of a batch by ingestion day, in a folder of the batch that a repeated batch replaces."""
+    rows = batch.withColumn("ingest_day", F.date_format("ts", "yyyy-MM-dd"))
+    replacing(rows).partitionBy("ingest_day").parquet(f"{path}/{batch_folder(batch, batch_id, run)}")
 
-    A batch writes its own folder under each day and a repeated batch replaces it, so days are plain
-    folders that retention can drop.
-    """
-    def append(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("ingest_day", F.date_format("ts", "yyyy-MM-dd"))
-         .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-         .partitionBy("ingest_day", "batch_id").parquet(path))
 
-    return (raw.writeStream.queryName("bronze").foreachBatch(append)
+def start_bronze(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """The raw, replayable copy, each record exactly once per checkpoint."""
+    return (raw.writeStream.queryName("bronze").foreachBatch(lambda batch, batch_id: append_bronze(batch, path, batch_id))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def bronze(spark: SparkSession, path: str) -> DataFrame:
+    """The raw copy; days are folders that retention can drop."""
+    return (spark.read.schema(f"{RAW_SCHEMA}, ingest_day string").option("basePath", path).parquet(f"{path}/run=*/batch=*")
+            .select("payload", "partition", "offset", "ts", "ingest_day"))

@@ -1,10 +1,11 @@
 """Incremental lookup of entities that have no enrichment row yet."""
 from __future__ import annotations
 
+import queue
+import threading
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from concurrent.futures import TimeoutError as LookupTimeout
 from datetime import datetime, timezone
 
 import pandas as pd
@@ -24,32 +25,51 @@ def pending(applications: DataFrame, enrichment: DataFrame, limit: int | None =
     return rows if limit is None else rows.limit(limit)
 
 
+def call(lookup: Lookup, entity: str, timeout: float) -> dict:
+    """One call with its clock started together with it. A call that never returns is left behind in a daemon thread."""
+    answers: queue.SimpleQueue = queue.SimpleQueue()
+
+    def ask() -> None:
+        try:
+            answers.put((lookup(entity), None))
+        except BaseException as error:  # handed to the caller below
+            answers.put((None, error))
+
+    threading.Thread(target=ask, daemon=True).start()
+    try:
+        answer, error = answers.get(timeout=timeout)
+    except queue.Empty:
+        raise TimeoutError(entity) from None
+    if error is not None:
+        raise error
+    return answer
+
+
 def enrich(entities: DataFrame, lookup: Lookup, partitions: int, concurrency: int = 16,
            attempts: int = 3, timeout: float = 2.0, pause: float = 0.2) -> DataFrame:
     """One row per entity: the answer, or ``unavailable`` after the last attempt.
 
     Lookups run at most ``concurrency`` at a time in each of ``partitions`` tasks. An entity that
-    cannot be reached gives a row, so it does not stop the others and is not asked for ever.
+    cannot be reached gives a row, so it does not stop the others and is not asked for ever; a call
+    that hangs holds up neither the entities behind it nor the end of the task.
     """
-    def ask(pool: ThreadPoolExecutor, entity: str) -> dict:
+    def ask(entity: str) -> dict:
         started = time.monotonic()
         for attempt in range(attempts):
             try:
-                answer = pool.submit(lookup, entity).result(timeout=timeout)
+                answer = call(lookup, entity, timeout)
                 return {**{k: answer.get(k) for k in PAYLOAD}, "status": "enriched",
                         "source_latency_ms": int((time.monotonic() - started) * 1000)}
-            except (LookupTimeout, TimeoutError, ConnectionError):
+            except (TimeoutError, ConnectionError):
                 if attempt + 1 < attempts:
                     time.sleep(pause * 2 ** attempt)
         return {**dict.fromkeys(PAYLOAD), "status": "unavailable",
                 "source_latency_ms": int((time.monotonic() - started) * 1000)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Waiting and asking use separate pools, so a slow answer cannot hold the waiters' threads.
-        with ThreadPoolExecutor(concurrency) as waiters, ThreadPoolExecutor(concurrency) as askers:
+        with ThreadPoolExecutor(concurrency) as pool:
             for batch in batches:
-                ids = list(batch["entity_id"])
-                rows = list(waiters.map(lambda e: {"entity_id": e, **ask(askers, e)}, ids))
+                rows = list(pool.map(lambda e: {"entity_id": e, **ask(e)}, list(batch["entity_id"])))
                 frame = pd.DataFrame(rows, columns=[f for f in ENRICHMENT_SCHEMA.fieldNames()
                                                     if f != "enriched_at"])
                 frame["enriched_at"] = pd.Timestamp(datetime.now(timezone.utc))

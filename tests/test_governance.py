@@ -114,10 +114,10 @@ def test_audit_stream(spark, tmp_path):
     for _ in range(2):
         audit_log.start_audit(stream, root, str(tmp_path / "ck")).awaitTermination()
     assert audit_log.read_audit(spark, root).count() == 3
-    assert spark.read.parquet(f"{root}/raw").count() == 3
+    assert spark.read.parquet(f"{root}/raw/run=*/batch=*").count() == 3
     # a batch from before a column existed
     old = audit_log.read_audit(spark, root).drop("principal").withColumn("query_id", F.lit("old"))
-    old.write.partitionBy("audit_day").parquet(f"{root}/audit/batch_id=-1")
+    old.write.partitionBy("audit_day").parquet(f"{root}/audit/run=old/batch=0")
     rows = audit_log.read_audit(spark, root)
     assert rows.columns == AUDIT_SCHEMA.fieldNames()
     assert rows.filter("query_id = 'old' AND principal IS NULL").count() == 3

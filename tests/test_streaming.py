@@ -9,13 +9,12 @@ from regulus.contract import FACT_COLUMNS, MEASUREMENT_COLUMNS
 from regulus.operators import quality
 from regulus.operators.measurements import measurements
 from regulus.sources import tables
-from regulus.streaming import changelog, operations, retention
+from regulus.streaming import audit_log, changelog, enrichment, operations, retention
 from regulus.streaming.medallion import Medallion
-from regulus.streaming.snapshots import Snapshots
 
 
-def medallion(tmp_path, buckets=2):
-    return Medallion(Snapshots(str(tmp_path / "lake"), buckets))
+def medallion(tmp_path):
+    return Medallion(str(tmp_path / "lake"))
 
 
 def run(spark, m, tmp_path, path):
@@ -37,17 +36,17 @@ def test_bronze_keeps_every_envelope_by_day(spark, tmp_path):
     for _ in range(2):  # the second start finds nothing new
         changelog.start_bronze(changelog.file_source(spark, f"{src}/*"), str(tmp_path / "bronze"),
                                str(tmp_path / "bck")).awaitTermination()
-    bronze = spark.read.parquet(str(tmp_path / "bronze"))
+    bronze = changelog.bronze(spark, str(tmp_path / "bronze"))
     assert bronze.count() == 2
-    assert [r["ingest_day"].isoformat() for r in bronze.select("ingest_day").distinct().collect()] == ["2026-01-02"]
+    assert [r["ingest_day"] for r in bronze.select("ingest_day").distinct().collect()] == ["2026-01-02"]
     write_batch(spark, src, "b1", [envelope("c", fact("r2", 1))], 2, day="2026-02-20")
     changelog.start_bronze(changelog.file_source(spark, f"{src}/*"), str(tmp_path / "bronze"),
                            str(tmp_path / "bck")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "bronze")).count() == 3
+    assert changelog.bronze(spark, str(tmp_path / "bronze")).count() == 3
     assert retention.expire_bronze(spark, str(tmp_path / "bronze"), "2026-01-20") == 0
     assert retention.expire_bronze(spark, str(tmp_path / "bronze"), "2026-03-01") == 1
-    left = spark.read.parquet(str(tmp_path / "bronze")).collect()
-    assert [r["ingest_day"].isoformat() for r in left] == ["2026-02-20"]
+    left = changelog.bronze(spark, str(tmp_path / "bronze")).collect()
+    assert [r["ingest_day"] for r in left] == ["2026-02-20"]
 
 
 def test_malformed_envelope_fails_the_job(spark):
@@ -67,7 +66,7 @@ def test_life_of_records(spark, tmp_path):
     run(spark, m, tmp_path, src)
     assert ids(m.silver(spark)) == [("r1", 2), ("r2", 1)]
     assert ids(m.quarantine(spark)) == [("r3", 1)]
-    first = m.store.latest_version(spark)
+    first = m.last_commit(spark)
     kpis = m.measurements(spark).filter("activity_id = 'r1'")
     assert sorted(r["kpi_id"] for r in kpis.collect()) == [
         "median_duration_continental", "pct_granted_within_90_days"]
@@ -114,7 +113,7 @@ def test_whole_history_replay_and_late_correction(spark, sf_dir, tmp_path):
     """All revisions in three deliveries give the current table; a full redelivery changes nothing."""
     history = tables.activity_history(spark, sf_dir)
     events = history_events(history)
-    src, m = str(tmp_path / "in"), medallion(tmp_path, buckets=1)
+    src, m = str(tmp_path / "in"), medallion(tmp_path)
     for k, part in enumerate((events.filter("revision = 1"), events.filter("revision = 2"),
                               events.filter("revision > 2"))):
         part.drop("revision").coalesce(2).write.json(f"{src}/b{k}")
@@ -134,86 +133,109 @@ def test_whole_history_replay_and_late_correction(spark, sf_dir, tmp_path):
     assert since.count() == valid.filter("cohort_month >= '1998-01'").count()
 
 
-def test_failed_batch_leaves_old_state_and_is_repeated(spark, tmp_path, monkeypatch):
+def raw_of(spark, path, *events, offset=0, day="2026-01-02"):
+    write_batch(spark, path, "b", list(events), offset, day)
+    return spark.read.schema(changelog.RAW_SCHEMA).json(f"{path}/*")
+
+
+def test_failed_batch_is_repeated(spark, tmp_path, monkeypatch):
     src, m = str(tmp_path / "in"), medallion(tmp_path)
     n = write_batch(spark, src, "b0", [envelope("c", done("r1", 1))], 0)
     run(spark, m, tmp_path, src)
     write_batch(spark, src, "b1", [envelope("u", done("r1", 2)), envelope("c", done("r2", 1))], n)
     with monkeypatch.context() as broken:
         def fail(*args, **kwargs):
-            raise RuntimeError("lost before the commit")
-        broken.setattr(Snapshots, "publish", fail)
-        with pytest.raises(Exception, match="lost before the commit"):
+            raise RuntimeError("lost before the write")
+        broken.setattr(Medallion, "_write", fail)
+        with pytest.raises(Exception, match="lost before the write"):
             run(spark, m, tmp_path, src)
         assert ids(m.silver(spark)) == [("r1", 1)]
     run(spark, m, tmp_path, src)
     assert ids(m.silver(spark)) == [("r1", 2), ("r2", 1)]
 
 
-def test_same_batch_twice(spark, tmp_path):
-    m = medallion(tmp_path)
-    src = str(tmp_path / "in")
-    write_batch(spark, src, "b0", [envelope("c", done("r1", 1)), envelope("c", done("r2", 1))], 0)
-    raw = spark.read.schema(changelog.RAW_SCHEMA).json(f"{src}/*")
-    for _ in range(2):
-        m.apply(raw, 0)
-    assert ids(m.silver(spark)) == [("r1", 1), ("r2", 1)]
-    assert m.measurements(spark).count() == 4
-
-
-def test_erasure_compaction_and_freshness(spark, tmp_path):
-    m = medallion(tmp_path, buckets=1)
-    src = str(tmp_path / "in")
-    rows = [envelope("c", done(f"r{i}", 1, entity_id=f"e{i % 3}")) for i in range(30)]
-    write_batch(spark, src, "b0", rows, 0)
-    run(spark, m, tmp_path, src)
-    gone = spark.createDataFrame([("e1",)], "entity_id string")
-    report = m.erase(spark, gone)
-    assert [(r["disposition"], r["rows_removed"]) for r in report.collect()] == [("valid", 10)]
-    assert m.silver(spark).filter("entity_id = 'e1'").count() == 0
-    assert m.state(spark).count() == 20 and m.measurements(spark).count() == 40
-    assert m.erase(spark, gone).count() == 0
-
-    # spread the one partition over several files, then bring it back to one
-    part = m.state(spark)
-    version = m.store.latest_version(spark) + 1
-    path = f"{m.store.root}/activities/version={version}"
-    part.repartition(5).write.partitionBy("cohort_month", "bucket").parquet(path)
-    m.store.publish(spark, version, {"activities": spark.read.schema(part.schema).parquet(path)},
-                    [("2026-01", 0)])
-    files = m.state(spark).select("_metadata.file_path").distinct()
-    assert files.count() > 1
-    assert m.compact(spark) == 1
-    assert m.state(spark).select("_metadata.file_path").distinct().count() == 1
-    assert m.silver(spark).count() == 20
-
-    commits = m.store.commits(spark)
-    fresh = operations.freshness(commits, "2000-01-01 00:00:00").collect()
-    assert all(r["fresh"] for r in fresh)
-    late = operations.freshness(commits, "2100-01-01 00:00:00").collect()
-    assert {r["table_name"] for r in late} == {"activities", "measurements"}
-    assert not any(r["fresh"] for r in late)
-    assert operations.superseded(m.store, spark, "2100-01-01 00:00:00").count() >= 2
-    assert m.silver(spark, as_of=0).filter("entity_id = 'e1'").count() == 10
-    assert retention.expire_versions(m.store, spark, "2000-01-01 00:00:00") == 0
-    assert retention.expire_versions(m.store, spark, "2100-01-01 00:00:00") >= 2
-    assert retention.expire_versions(m.store, spark, "2100-01-01 00:00:00") == 0
-    assert m.silver(spark, as_of=0).count() == 0  # the erased rows are out of reach now
-    assert m.silver(spark).count() == 20 and m.measurements(spark).count() == 40
-    n = write_batch(spark, src, "b9", [envelope("u", done("r0", 2))], 100)
+def test_new_checkpoint_loses_nothing(spark, tmp_path):
+    """Batch numbers begin anew under a new checkpoint; the folders of the old one stay."""
+    src, m = str(tmp_path / "in"), medallion(tmp_path)
+    n = write_batch(spark, src, "b0", [envelope("c", done("r1", 4)), envelope("c", done("r2", 1))], 0)
     run(spark, m, tmp_path, src)
-    assert ("r0", 2) in ids(m.silver(spark)) and n == 101
-    assert {r["version"] for r in operations.published_versions(m.store, spark).collect()}
+    other = str(tmp_path / "in2")
+    write_batch(spark, other, "b0", [envelope("u", done("r1", 5)), envelope("c", done("r4", 1))], n)
+    m.start(changelog.file_source(spark, f"{other}/*"), str(tmp_path / "ckpt2")).awaitTermination()
+    assert ids(m.silver(spark)) == [("r1", 5), ("r2", 1), ("r4", 1)]
+    # the same for numbered batches of two runs, in either order
+    m = Medallion(str(tmp_path / "lake2"))
+    m.apply(raw_of(spark, str(tmp_path / "x"), envelope("u", done("r1", 5))), 0, "new")
+    m.apply(raw_of(spark, str(tmp_path / "y"), envelope("u", done("r1", 4)), envelope("c", done("r2", 1))), 0, "old")
+    assert ids(m.silver(spark)) == [("r1", 5), ("r2", 1)]
+
+
+def test_repeated_batch_with_other_partitions(spark, tmp_path):
+    m = medallion(tmp_path)
+    m.apply(raw_of(spark, str(tmp_path / "a"), envelope("c", done("r1", 1)), envelope("c", done("r2", 1, cohort_month="2025-12"))), 0, "r")
+    m.apply(raw_of(spark, str(tmp_path / "b"), envelope("c", done("r1", 1)), envelope("c", done("r3", 1, cohort_month="2026-03"))), 0, "r")
+    assert ids(m.silver(spark)) == [("r1", 1), ("r3", 1)]
+    with pytest.raises(ValueError, match="needs a name"):
+        m.apply(raw_of(spark, str(tmp_path / "c"), envelope("c", done("r1", 1))), 0)
+
+
+def test_bronze_and_audit_keep_the_rows_of_an_old_checkpoint(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    for k, events in enumerate(([envelope("c", fact("r1", 1)), envelope("c", fact("r2", 1))], [envelope("c", fact("r3", 1))])):
+        src = str(tmp_path / f"in{k}")
+        write_batch(spark, src, "b0", events, 10 * k)
+        changelog.start_bronze(changelog.file_source(spark, f"{src}/*"), path, str(tmp_path / f"ck{k}")).awaitTermination()
+    assert changelog.bronze(spark, path).count() == 3
+    for k, name in enumerate("xy"):
+        src = str(tmp_path / f"audit{k}")
+        spark.createDataFrame([(f'{{"metadata":{{"queryId":"{name}"}},"endTime":"2026-01-0{k + 1}T00:00:00Z"}}',)], "payload string").write.json(src)
+        audit_log.start_audit(spark.readStream.schema("payload string").json(src), str(tmp_path / "log"), str(tmp_path / f"ack{k}")).awaitTermination()
+    assert sorted(r["query_id"] for r in audit_log.read_audit(spark, str(tmp_path / "log")).collect()) == ["x", "y"]
+
+
+def test_fold_compaction_and_pins(spark, tmp_path):
+    m = medallion(tmp_path)
+    for k in range(3):
+        m.apply(raw_of(spark, str(tmp_path / f"b{k}"), envelope("u", done("r1", k + 1)), envelope("u", done("r2", k + 1, cohort_month="2026-02")),
+                       envelope("d" if k else "c", done("r3", k + 1)), offset=10 * k), k, "r")
+        first = m.last_commit(spark) if k == 0 else first
+    assert ids(m.silver(spark, as_of=first)) == [("r1", 1), ("r2", 1), ("r3", 1)] and ids(m.silver(spark, since="2026-02")) == [("r2", 3)]
+    before = sorted(map(str, m.state(spark).collect()))
+    assert m.changes(spark).count() == 9
+    m.fold(spark, ["2026-01"])
+    assert m.changes(spark).count() == 5 and sorted(map(str, m.state(spark).collect())) == before
+    assert m.compact(spark, target_bytes=1) == []  # no month has more files than its bytes ask for
+    assert m.compact(spark) == ["2026-02"] and m.changes(spark).count() == 3
+    assert sorted(map(str, m.state(spark).collect())) == before and m.compact(spark) == []
+
+
+def test_erasure_reaches_every_place(spark, tmp_path):
+    rows = [envelope("c", done(f"r{i}", 1, entity_id=f"e{i % 3}", cohort_month=f"2026-0{1 + i % 2}")) for i in range(30)]
+    rows += [envelope("d", done("r1", 1, entity_id="e1"))]
+    raw = raw_of(spark, str(tmp_path / "in"), *rows)
+    activities, steps = medallion(tmp_path), Medallion(str(tmp_path / "lake"), "steps")
+    activities.apply(raw, 0, "r")
+    steps.apply(raw.limit(3), 0, "r")
+    path, looked_up = str(tmp_path / "bronze"), str(tmp_path / "enrichment")
+    changelog.append_bronze(raw, path, 0, "r")
+    enrichment.append(spark.createDataFrame([("e0",), ("e1",)], "entity_id string"), looked_up, "run-1")
+    gone = spark.createDataFrame([("e1",), ("nobody",)], "entity_id string")
+    report = retention.erase_everywhere(spark, [activities, steps], path, looked_up, gone)
+    assert dict(map(tuple, report.collect())) == {"activities": 10, "steps": 1, "bronze": 11, "enrichment": 1}
+    assert activities.changes(spark).filter("entity_id = 'e1'").isEmpty() and activities.silver(spark).count() == 20
+    assert activities.measurements(spark).count() == 40
+    assert changelog.bronze(spark, path).filter("payload like '%\"e1\"%'").isEmpty() and changelog.bronze(spark, path).count() == 20
+    again = retention.erase_everywhere(spark, [activities, steps], path, looked_up, gone)
+    assert {r["rows_removed"] for r in again.collect()} == {0}
+
+
+def test_freshness_and_single_writer(spark, tmp_path):
+    m = medallion(tmp_path)
+    m.apply(raw_of(spark, str(tmp_path / "in"), envelope("c", done("r1", 1))), 0, "r")
+    changes = m.changes(spark).withColumn("family", F.lit(m.family))
+    for now, fresh in ((m.last_commit(spark), True), ("2100-01-01 00:00:00", False)):
+        got = operations.freshness(changes, ["family"], F.col("committed_at"), now).collect()
+        assert [(r["family"], r["fresh"]) for r in got] == [("activities", fresh)]
     with pytest.raises(RuntimeError, match="expected one running"):
         operations.assert_one_running(spark, "medallion_activities")
-
-
-def test_one_month_with_most_rows_is_split_over_buckets(spark, tmp_path):
-    m = medallion(tmp_path, buckets=4)
-    src = str(tmp_path / "in")
-    write_batch(spark, src, "b0", [envelope("c", done(f"r{i}", 1)) for i in range(80)], 0)
-    run(spark, m, tmp_path, src)
-    sizes = [r["count"] for r in m.state(spark).groupBy("cohort_month", "bucket").count().collect()]
-    assert len(sizes) == 4 and sum(sizes) == 80
     assert DAY == 86_400_000
-    assert m.silver(spark).agg(F.countDistinct("record_id")).first()[0] == 80

@@ -327,17 +327,16 @@ def test_other_families_have_no_measurements(spark, tmp_path):
     from changes import envelope, write_batch
     from regulus.streaming import changelog
     from regulus.streaming.medallion import Medallion
-    from regulus.streaming.snapshots import Snapshots
-    steps = Medallion(Snapshots(str(tmp_path / "lake"), 1), "steps")
+    steps = Medallion(str(tmp_path / "lake"), "steps")
     write_batch(spark, str(tmp_path / "in"), "b0", [envelope("c", done("s1", 1)), envelope("r", done("s2", 1))], 0)
-    steps.apply(spark.read.schema(changelog.RAW_SCHEMA).json(str(tmp_path / "in" / "*")), 0)
+    steps.apply(spark.read.schema(changelog.RAW_SCHEMA).json(str(tmp_path / "in" / "*")), 0, "r")
     assert steps.gold(spark).count() == 2
     assert steps.measurements(spark).isEmpty()
 
 
 def test_a_removed_gold_table_is_written_again(spark):
     from regulus.sources import gold
-    from regulus.streaming.retention import remove
+    from regulus.streaming.runs import remove
     first = gold.stored(spark, "nowhere", "numbers", lambda: spark.range(5))
     path = gold._written[(spark.sparkContext.applicationId, "nowhere", "numbers")][0]
     assert first.count() == 5 and remove(spark, [path]) == 1
