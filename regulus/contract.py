@@ -6,6 +6,7 @@ relations the code broadcasts by hint.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import types as T
 
@@ -317,7 +318,32 @@ ENTITLEMENTS = {
 }
 
 # ---- fixed values: confidence of a resolved relation, by rule -----------------------------------
-CONFIDENCE = {"native-id": 1.0, "declared": 0.9, "convention": 0.6}
+CONFIDENCE = {"native-id": 1.0, "declared": 0.9, "convention": 0.6, "state-file": 1.0,
+              "tfstate-dependencies": 1.0, "declared-filename": 0.6}
+
+
+class Managed(NamedTuple):
+    """Which attribute of a state resource names the runtime object it manages."""
+    type_pattern: str
+    provider: str
+    kind: str | None  # None: what the type says
+    attribute: str
+    scope: str = "default"
+    nested: bool = False
+    rule: str = "declared"
+
+
+# Published types, attributes and scopes.
+MANAGED = (
+    Managed("^keycloak_group$", "keycloak", "group", "name", "nda"),
+    Managed("^keycloak_user$", "keycloak", "user", "username", "nda"),
+    Managed("^keycloak_openid_client$", "keycloak", "client", "client_id", "nda"),
+    Managed("^keycloak_role$", "keycloak", "role", "name", "nda"),
+    Managed("^keycloak_realm$", "keycloak", "realm", "realm", "nda"),
+    Managed("^kubernetes_", "kubernetes", None, "metadata", nested=True),
+    Managed("bucket", "minio", "bucket", "bucket"),
+    Managed("bucket", "minio", "bucket", "name"),
+    Managed("^local_(sensitive_)?file$", "file", "config", "filename", "generated", rule="declared-filename"))
 LOW_CONFIDENCE = 0.8
 GRANT_KINDS = ("role", "data_product", "access_rule", "schema", "table", "view")
 STAGE_LADDER = ("ephemeral", "staging", "production")

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from regulus.functions.columns import quarter_index, rounded
 
 BODY_SCHEMA = "struct<data: array<struct<quarter: string, measures: map<string, double>>>>"
-REQUIRED_SECTIONS = ("quarterlyData", "processStepData", "quarterlyVolumes")
+REQUIRED_SECTIONS = ("quarterlyData", "processStepData", "kpiCounts", "quarterlyVolumes",
+                     "inspectionVolumes", "bottleneckData")
 
 
 def section(name: str, df: DataFrame, series: str, quarter: str, measures: dict[str, str]) -> DataFrame:

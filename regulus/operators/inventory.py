@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regulus.contract import CONFIDENCE, STAGE_LADDER
+from regulus.contract import CONFIDENCE, MANAGED, STAGE_LADDER
 from regulus.functions.columns import urn
 
 FACETS = ("provider", "kind", "scope", "environment", "owner", "status")
@@ -30,11 +30,53 @@ def state_resources(states: DataFrame) -> DataFrame:
         F.concat(plain, F.lit("["), F.col("i.index_key"), F.lit("]")))
     provider, kind = F.lit("terraform"), F.lit("state_resource")
     return rows.select(
-        urn(provider, kind, F.col("workspace"), address).alias("urn"), "workspace",
+        urn(provider, kind, F.col("workspace"), address).alias("urn"), "workspace", "type",
         address.alias("address"), "mode", F.col("i.attributes").alias("attributes"),
         F.coalesce("i.dependencies", F.array().cast("array<string>")).alias("dependencies"))
 
 
+def state_workspaces(states: DataFrame) -> DataFrame:
+    """The workspace of every state document, which its instances are contained in."""
+    return states.select(
+        urn(F.lit("terraform"), F.lit("workspace"), F.lit("iac"), F.col("workspace")).alias("urn"),
+        "workspace", "serial", F.size("resources").alias("resource_count")).distinct()
+
+
+def managed_edges(instances: DataFrame) -> DataFrame:
+    """The runtime objects that instances declare to manage, by the attribute that names them."""
+    attributes, kind = F.col("attributes"), F.col("type")
+    parts = []
+    for rule in MANAGED:
+        name = attributes[rule.attribute]
+        scope = F.lit(rule.scope)
+        if rule.nested:
+            name = F.get_json_object(attributes[rule.attribute], "$[0].name")
+            scope = F.coalesce(F.get_json_object(attributes[rule.attribute], "$[0].namespace"), scope)
+        if rule.rule == "declared-filename":
+            name = F.element_at(F.split(name, "/"), -1)
+        fits = kind.rlike(rule.type_pattern) & name.isNotNull() & (name != "")
+        what = F.lit(rule.kind) if rule.kind else F.regexp_replace(F.regexp_replace(kind, "^kubernetes_", ""), "_v1", "")
+        parts.append(F.when(fits, F.struct(
+            urn(F.lit(rule.provider), what, scope, name).alias("target"), F.lit(rule.rule).alias("rule"))))
+    # the first attribute that names the object counts
+    return (instances.select(F.col("urn").alias("src"), F.lit("MANAGES").alias("type"), F.coalesce(*parts).alias("m"))
+            .filter("m is not null").select("src", "type", "m.target", "m.rule"))
+
+
+def inventory_stats(resources: DataFrame, edges: DataFrame) -> DataFrame:
+    """Totals of resources, stale ones and edges, and resources by provider and by kind."""
+    cells = resources.groupBy("provider", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("stale").alias("stale"))
+    row = lambda measure, value, n: F.struct(F.lit(measure).alias("measure"), value.alias("value"), n.alias("n"))
+    every = F.lit("all")
+    counted = cells.select(F.explode(F.array(
+        row("resources", every, F.col("n")), row("stale", every, F.col("stale")),
+        row("provider", F.col("provider"), F.col("n")), row("kind", F.col("kind"), F.col("n")))).alias("r"))
+    total = edges.agg(F.lit("edges").alias("measure"), every.alias("value"), F.count(F.lit(1)).alias("n"))
+    return (counted.select("r.*").groupBy("measure", "value").agg(F.sum("n").alias("n"))
+            .unionByName(total))
+
+
 def candidate_edges(instances: DataFrame) -> DataFrame:
     """Containment in the workspace and declared dependencies of collected instances."""
     contains = instances.select(
@@ -42,7 +84,7 @@ def candidate_edges(instances: DataFrame) -> DataFrame:
         F.concat(F.lit("workspace::"), "workspace").alias("target"), F.lit("state-file").alias("rule"))
     depends = instances.select(
         F.col("urn").alias("src"), F.lit("DEPENDS_ON").alias("type"),
-        F.explode("dependencies").alias("d"), F.lit("declared-dependency").alias("rule")).select(
+        F.explode("dependencies").alias("d"), F.lit("tfstate-dependencies").alias("rule")).select(
         "src", "type", F.concat(F.lit("address::"), "d").alias("target"), "rule")
     return contains.unionByName(depends)
 
@@ -171,17 +213,20 @@ def with_ends(edges: DataFrame, resources: DataFrame) -> DataFrame:
 
 def keyword_search(texts: DataFrame, terms: list[str], key: str, text: str,
                    tier: str | None = None) -> DataFrame:
-    """Rows that contain every query term as a word, best tier first, then most occurrences.
+    """Rows that contain every query term as a word, with the tier and the number of occurrences.
 
-    Only the wanted terms of the whole text are kept, so a long text costs one scan of it.
+    A plain substring test drops most rows before any word is looked at, and no text is split: words
+    are counted where they stand. A term that is not one word occurs nowhere.
     """
     wanted = sorted({t.lower() for t in terms})
-    words = F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+")
-    literal = F.array(*[F.lit(w) for w in wanted])
-    hits = F.filter(words, lambda w: F.array_contains(literal, w))
-    rows = texts.select(key, *([tier] if tier else []), hits.alias("_hits"))
-    found = rows.filter(F.size(F.array_except(literal, F.col("_hits"))) == 0)
-    return found.select(key, *([tier] if tier else []), F.size("_hits").alias("score"))
+    edge = r"(?<![\p{L}\p{N}])(?:%s)(?![\p{L}\p{N}])"
+    rows = texts.select(key, *([tier] if tier else []), F.lower(F.col(text)).alias("_t"))
+    for term in wanted:
+        rows = rows.filter(F.col("_t").contains(term) & F.lit(term.isalnum()))
+    for term in wanted:
+        rows = rows.filter(F.col("_t").rlike(edge % term))
+    return rows.select(key, *([tier] if tier else []),
+                       F.regexp_count("_t", F.lit(edge % "|".join(wanted))).alias("score"))
 
 
 # ---- stage gates --------------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from regulus.functions.columns import month_start, percent, rounded, whole_days
 from regulus.operators.measurements import completed
-from regulus.operators.quantiles import exact_quantiles
+from regulus.operators.quantiles import exact_quantiles, with_quantiles
 
 
 def for_tenant(source: DataFrame, tenant: str) -> DataFrame:
@@ -21,6 +21,17 @@ def for_tenant(source: DataFrame, tenant: str) -> DataFrame:
     return source.filter(F.col("tenant_id") == tenant)
 
 
+def tenant_contract(sources: dict[str, DataFrame]) -> DataFrame:
+    """One row per source: whether it names a tenant at all, its rows, and those without a tenant."""
+    parts = []
+    for name, source in sources.items():
+        named = "tenant_id" in source.columns
+        missing = F.count_if(F.col("tenant_id").isNull()) if named else F.count(F.lit(1))
+        parts.append(source.agg(F.lit(name).alias("source"), F.lit(named).alias("has_tenant"),
+                                F.count(F.lit(1)).alias("row_count"), missing.alias("without_tenant")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _month():
     return [F.col("cohort_month").alias("arrival_month"),
             month_start("cohort_month").alias("arrival_date")]
@@ -63,8 +74,8 @@ def turnaround_performance(activities: DataFrame, exact_median: bool = False) ->
         aggregates.append(F.percentile_approx("days", 0.5, 10000).cast("double")
                           .alias("median_turnaround_days"))
         return df.groupBy(*keys).agg(*aggregates)
-    return df.groupBy(*keys).agg(*aggregates).join(
-        exact_quantiles(df, keys, "days", out="median_turnaround_days"), keys)
+    return with_quantiles(df.groupBy(*keys).agg(*aggregates),
+                          exact_quantiles(df, keys, "days", out="median_turnaround_days"), keys)
 
 
 def delay_analysis(steps: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from regulus.functions.columns import (
     ratio, route_class, rounded, step_status,
 )
 from regulus.operators.measurements import inline, is_compliant
-from regulus.operators.quantiles import exact_quantiles
+from regulus.operators.quantiles import exact_quantiles, with_quantiles
 
 
 def _entry(metric: Column, quarter: str) -> Column:
@@ -138,18 +138,22 @@ def step_performance(steps: DataFrame) -> DataFrame:
         F.avg("cycle").alias("avg_days"), F.avg("allowed").alias("target_days"))
 
 
-def bottlenecks(steps: DataFrame, p: float = 0.5) -> DataFrame:
-    """Exact cycle, touch and wait quantiles per step and quarter, in one pass."""
-    names = ("cycle", "touch_days", "wait_days")
-    entries = [F.struct(F.lit(n).alias("measure"), F.col(n).alias("days")) for n in names]
-    long = (_finished(steps).select(*STEP_KEYS, F.explode(F.array(*entries)).alias("e"))
+MEASURES = {"cycle": "cycle_time_median", "touch_days": "touch_median_days", "wait_days": "wait_median_days"}
+
+
+def _quantiles(rows: DataFrame, named: dict[str, str], p: float) -> DataFrame:
+    """One exact quantile per measure and group; every measure is a row of its own for the count."""
+    entries = [F.struct(F.lit(n).alias("measure"), F.col(n).alias("days")) for n in named]
+    long = (rows.select(*STEP_KEYS, F.explode(F.array(*entries)).alias("e"))
             .select(*STEP_KEYS, "e.measure", "e.days"))
     return (exact_quantiles(long, [*STEP_KEYS, "measure"], "days", p, out="days")
-            .groupBy(*STEP_KEYS).pivot("measure", list(names))
-            .agg(F.first("days"))
-            .select(*STEP_KEYS, F.col("cycle").alias("cycle_time_median"),
-                    F.col("touch_days").alias("touch_median_days"),
-                    F.col("wait_days").alias("wait_median_days")))
+            .groupBy(*STEP_KEYS).pivot("measure", list(named)).agg(F.first("days"))
+            .select(*STEP_KEYS, *[F.col(n).alias(out) for n, out in named.items()]))
+
+
+def bottlenecks(steps: DataFrame, p: float = 0.5) -> DataFrame:
+    """Exact cycle, touch and wait quantiles per step and quarter, in one pass."""
+    return _quantiles(_finished(steps), MEASURES, p)
 
 
 def wait_shares(steps: DataFrame) -> DataFrame:
@@ -158,10 +162,8 @@ def wait_shares(steps: DataFrame) -> DataFrame:
     share = rows.groupBy(*STEP_KEYS).agg(
         percent(F.sum("wait_days"), F.sum(F.col("touch_days") + F.col("wait_days")))
         .alias("wait_share_pct"))
-    tails = bottlenecks(steps, 0.9).select(
-        *STEP_KEYS, F.col("touch_median_days").alias("touch_p90_days"),
-        F.col("wait_median_days").alias("wait_p90_days"))
-    return share.join(tails, STEP_KEYS)
+    tails = _quantiles(rows, {"touch_days": "touch_p90_days", "wait_days": "wait_p90_days"}, 0.9)
+    return with_quantiles(share, tails, STEP_KEYS)
 
 
 def flow(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,8 +1,6 @@
 """Exact quantiles and running totals that never bring one group together in one task."""
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,15 +14,17 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
     Equal values are counted before the shuffle. Bin counts then show which bins hold the wanted
     ranks, and only the distinct values of those bins are ranked. The largest task sees either the
     bins of a group or the distinct values of one bin, both bounded by the value range and not by
-    the number of rows. Groups with a null key and null values are left out.
+    the number of rows. A null key is a group like any other; null values do not count, and a group
+    of them alone has no row.
     """
     n = F.sum(weight) if weight else F.count(F.lit(1))
-    # Both uses of the counts carry the same filters, so one shuffle serves them both.
-    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in (*keys, "_v", "_bin")])
-    counts = (df.groupBy(*keys, F.col(value).alias("_v")).agg(n.alias("_n"))
-              .withColumn("_bin", F.floor(F.col("_v") * BINS_PER_UNIT)).filter(present))
-    bins = counts.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_bn"))
-    group = Window.partitionBy(*keys)
+    # The keys travel as one struct: it is never null, and equal where its nulls are, so null groups
+    # join like the others and both uses of the counts share one shuffle.
+    counts = (df.groupBy(F.struct(*keys).alias("_g"), F.col(value).alias("_v")).agg(n.alias("_n"))
+              .withColumn("_bin", F.floor(F.col("_v") * BINS_PER_UNIT))
+              .filter(F.col("_g").isNotNull() & F.col("_v").isNotNull() & F.col("_bin").isNotNull()))
+    bins = counts.groupBy("_g", "_bin").agg(F.sum("_n").alias("_bn"))
+    group = Window.partitionBy("_g")
     before = F.sum("_bn").over(group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
     position = (F.sum("_bn").over(group) - 1) * F.lit(float(p))
     located = (bins.withColumn("_before", F.coalesce(before, F.lit(0)))
@@ -35,14 +35,22 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
         return (F.col(start) <= F.col(rank)) & (F.col(rank) < F.col(start) + F.col(size))
 
     wanted = located.filter(holds("_lo", "_before", "_bn") | holds("_hi", "_before", "_bn"))
-    inside = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(
+    inside = Window.partitionBy("_g", "_bin").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, -1)
-    ranked = (counts.join(wanted, [*keys, "_bin"])
+    ranked = (counts.join(wanted, ["_g", "_bin"])
               .withColumn("_start", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))))
     low = F.max(F.when(holds("_lo", "_start", "_n"), F.col("_v")))
     high = F.max(F.when(holds("_hi", "_start", "_n"), F.col("_v")))
     share = F.max(F.col("_pos") - F.col("_lo"))
-    return ranked.groupBy(*keys).agg((low + (high - low) * share).alias(out))
+    found = ranked.groupBy("_g").agg((low + (high - low) * share).alias(out))
+    return found.select(*[F.col(f"_g.{k}").alias(k) for k in keys], out)
+
+
+def with_quantiles(groups: DataFrame, quantiles: DataFrame, keys: list[str]) -> DataFrame:
+    """Groups with their quantiles; a group without any stays, and null keys meet."""
+    rest = [c for c in quantiles.columns if c not in keys]
+    return groups.withColumn("_g", F.struct(*keys)).join(
+        quantiles.select(F.struct(*keys).alias("_g"), *rest), "_g", "left").drop("_g")
 
 
 def running_total_before(df: DataFrame, keys: list[str], bucket: Column, order: list[str],

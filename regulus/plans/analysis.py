@@ -1,6 +1,9 @@
 """Self-service queries over the pool of dashboard values, and usage of the query log."""
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import functions as F
 
 from regulus.functions import columns as x
@@ -10,7 +13,9 @@ from regulus.plans import oracle as o
 from regulus.plans import reports as r
 from regulus.plans.indicators import points
 from regulus.plans.registry import query
+from regulus.session import scratch_dir
 from regulus.sources import gold, tables
+from regulus.streaming import audit_log, enrichment
 
 _YEAR = "CAST(substr(quarter,4,4) AS INT)"
 _BASE = ("CASE " + " ".join(f"WHEN ends_with(step,'{e}') THEN substr(step,1,length(step)-{len(e)})"
@@ -228,6 +233,35 @@ def _(spark, d):
     return audit_ops.audit_rows(query_events(spark, d))
 
 
+@query("t11_audit_batches", "SELECT query_id, username, state, audit_day FROM a_log")
+def _(spark, d):
+    """The same events through the audit stream, in batches of one file."""
+    root = f"{scratch_dir(spark)}/audit-{uuid.uuid4().hex}"
+    query_events(spark, d).repartition(3).write.text(f"{root}/in")
+    stream = spark.readStream.schema("payload string").option("maxFilesPerTrigger", 1).text(f"{root}/in")
+    audit_log.start_audit(stream, f"{root}/log", f"{root}/checkpoint").awaitTermination()
+    return audit_log.read_audit(spark, f"{root}/log").select("query_id", "username", "state", "audit_day")
+
+
+def _register_lookup(entity: str) -> dict:
+    """Stands for a registry: one kind of entity it refuses, another it never answers for."""
+    if int(entity) % 30 == 0:
+        raise ConnectionError(entity)
+    if int(entity) % 40 == 0:
+        time.sleep(30)
+    return {"legal_name": f"registered {entity}", "country": "X", "risk_tier": "low", "registry_status": "active"}
+
+
+@query("t10_enrichment", """SELECT c_custkey::VARCHAR AS entity_id, CASE WHEN c_custkey%30=0 OR c_custkey%40=0 THEN 'unavailable' ELSE 'enriched' END AS status,
+ CASE WHEN c_custkey%30=0 OR c_custkey%40=0 THEN NULL ELSE 'registered '||c_custkey END AS legal_name
+ FROM customer WHERE c_custkey%10=0 AND c_custkey IN (SELECT o_custkey FROM orders)""")
+def _(spark, d):
+    """Look-ups of the applicants without enrichment; calls that hang give a row and hold up nothing."""
+    waiting = enrichment.pending(gold.applications(spark, d), tables.enrichment(spark, d))
+    return enrichment.enrich(waiting, _register_lookup, partitions=4, attempts=1, timeout=1.0).select(
+        "entity_id", "status", "legal_name")
+
+
 @query("p13_event_projection", """SELECT query_id, state, error_code, tables_accessed, length(query_text)::INT AS text_length,
  principal FROM a_log""")
 def _(spark, d):

@@ -287,9 +287,47 @@ def _(spark, d):
     return kept["activities"].groupBy("process_code").agg(F.count(F.lit(1)).alias("kept"))
 
 
-@query("o06_capped_export", None)
-def _(spark, d):
-    """The rows an entitled user may export: the cap is the smaller of request and row limit."""
+_EXPORTED = "SELECT record_id, cohort_month, status, revision FROM f_activities WHERE cohort_month>='1997-01' ORDER BY cohort_month, record_id LIMIT 500"
+
+
+def exported(spark, d):
     from regulus.sources.export import export_rows
     return export_rows(gold.activities(spark, d), "silver", since="1997-01", limit=500,
-                       row_limit=250_000)
+                       row_limit=250_000).select("record_id", "cohort_month", "status", "revision")
+
+
+@query("o06_capped_export", _EXPORTED)
+def _(spark, d):
+    """The rows an entitled user may export: the cap is the smaller of request and row limit."""
+    return exported(spark, d)
+
+
+@query("k08_export_file", _EXPORTED)
+def _(spark, d):
+    """The same rows from the one CSV file they are written to."""
+    import uuid
+
+    from regulus.session import scratch_dir
+    from regulus.sources.export import write_csv
+    path = f"{scratch_dir(spark)}/export-{uuid.uuid4().hex}"
+    write_csv(exported(spark, d), path)
+    rows = spark.read.option("header", True).csv(path)
+    return rows.toDF("record_id", "cohort_month", "status", "revision").withColumn("revision", F.col("revision").cast("int"))
+
+
+@query("o05_over_limit_guard", "SELECT record_id, status FROM f_applications WHERE cohort_month='1997-01'")
+def _(spark, d):
+    """A narrow range passes the guard; a test shows that a wide one raises."""
+    from regulus.sources.export import guarded
+    return guarded(gold.applications(spark, d).filter("cohort_month = '1997-01'").select("record_id", "status"), 50_000)
+
+
+@query("g11_tenant_contract", """SELECT 'activities' AS source, true AS has_tenant, count(*) AS row_count,
+ count(*) FILTER (WHERE tenant_id IS NULL) AS without_tenant FROM f_activities
+ UNION ALL SELECT 'applications', true, count(*), count(*) FILTER (WHERE tenant_id IS NULL) FROM f_applications
+ UNION ALL SELECT 'enrichment', false, count(*), count(*) FROM f_enrichment""")
+def _(spark, d):
+    """Which sources could serve a tenant, and how many of their rows could not."""
+    from regulus.operators.marts import tenant_contract
+    return tenant_contract({"activities": gold.activities(spark, d), "applications": gold.applications(spark, d),
+                            "enrichment": tables.enrichment(spark, d)})

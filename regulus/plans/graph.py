@@ -225,10 +225,46 @@ def states(spark, d):
     return c.select(F.to_json(body).alias("payload"))
 
 
+def parsed_states(spark, d):
+    return states(spark, d).select(
+        F.from_json("payload", inv.STATE_SCHEMA, {"mode": "FAILFAST"}).alias("s")).select("s.*")
+
+
 def instances(spark, d):
-    parsed = states(spark, d).select(
+    return inv.state_resources(parsed_states(spark, d))
+
+
+def declared(spark, d):
+    """State documents whose resources name runtime objects, one per supplier."""
+    s = tables.read(spark, d, "supplier")
+    k = F.col("s_suppkey")
+    name = F.lower(F.replace("s_name", F.lit("#"), F.lit("-")))
+    kinds = [("keycloak_group", F.create_map(F.lit("name"), name)), ("local_file", F.create_map(F.lit("filename"), F.concat(F.lit("/etc/x/"), name))),
+             ("minio_s3_bucket", F.create_map(F.lit("name"), name)),
+             ("kubernetes_service_v1", F.create_map(F.lit("metadata"), F.concat(F.lit('[{"name":"'), name, F.lit('","namespace":"ns"}]')))),
+             ("other_thing", F.create_map(F.lit("name"), name))]
+    kind, attributes = F.lit(kinds[-1][0]), kinds[-1][1]
+    for i, (type_, values) in enumerate(kinds[:-1]):
+        kind, attributes = F.when(k % 5 == i, type_).otherwise(kind), F.when(k % 5 == i, values).otherwise(attributes)
+    instance = F.struct(attributes.alias("attributes"))
+    body = F.struct(F.lit("live").alias("workspace"), F.lit(3).alias("serial"), F.array(F.struct(
+        kind.alias("type"), F.concat(F.lit("s"), k.cast("string")).alias("name"), F.array(instance).alias("instances"))).alias("resources"))
+    return s.select(F.to_json(body).alias("payload")).select(
         F.from_json("payload", inv.STATE_SCHEMA, {"mode": "FAILFAST"}).alias("s")).select("s.*")
-    return inv.state_resources(parsed)
+
+
+@query("s08_workspaces", """SELECT DISTINCT 'urn:infra:terraform:workspace:iac/nation-'||c_nationkey AS urn, CAST(1 AS INT) AS resource_count
+ FROM customer""")
+def _(spark, d):
+    return inv.state_workspaces(parsed_states(spark, d)).select("urn", "resource_count")
+
+
+@query("s08_managed_edges", """SELECT type, rule, CASE s_suppkey%5 WHEN 0 THEN 'urn:infra:keycloak:group:nda/' WHEN 1 THEN 'urn:infra:file:config:generated/'
+ WHEN 2 THEN 'urn:infra:minio:bucket:default/' ELSE 'urn:infra:kubernetes:service:ns/' END || lower(replace(s_name,'#','-')) AS target
+ FROM supplier, LATERAL (SELECT 'MANAGES' AS type, CASE WHEN s_suppkey%5=1 THEN 'declared-filename' ELSE 'declared' END AS rule) r WHERE s_suppkey%5<4""")
+def _(spark, d):
+    """The runtime objects that state resources manage."""
+    return inv.managed_edges(inv.state_resources(declared(spark, d))).select("type", "rule", "target")
 
 
 _INSTANCES = """SELECT 'nation-'||c_nationkey AS workspace, 'crm_account.c'||c_custkey||suffix AS address,
@@ -401,12 +437,15 @@ def _(spark, d):
     return inv.page(rows, 50, 100).select("urn", "provider", "kind", "name", "total")
 
 
-@query("a34_inventory_stats", """SELECT provider, kind, count(*) AS resources, count(*) FILTER (WHERE status='suspended') AS suspended
- FROM f_resources GROUP BY 1,2""")
+@query("a34_inventory_stats", """SELECT 'resources' AS measure, 'all' AS value, count(*)+1 AS n FROM n_merged
+ UNION ALL SELECT 'stale', 'all', count(*) FILTER (WHERE stale) FROM n_merged UNION ALL SELECT 'edges', 'all', count(*) FROM f_edges
+ UNION ALL SELECT 'provider', provider, count(*) FROM (SELECT provider FROM n_merged UNION ALL SELECT 'crm') GROUP BY provider
+ UNION ALL SELECT 'kind', kind, count(*) FROM (SELECT kind FROM f_resources UNION ALL SELECT 'group') GROUP BY kind""")
 def _(spark, d):
-    return tables.resources(spark, d).groupBy("provider", "kind").agg(
-        F.count(F.lit(1)).alias("resources"),
-        F.count_if(F.col("status") == "suspended").alias("suspended"))
+    """Totals after one collection, the stale resources among them."""
+    stored = tables.resources(spark, d).withColumn("stale", F.lit(False))
+    merged = inv.merge_sighting(stored, sighting(spark, d), ["crm", "intake"])
+    return inv.inventory_stats(merged, tables.edges(spark, d))
 
 
 # ---- gates --------------------------------------------------------------------------------------
@@ -449,10 +488,10 @@ def _(spark, d):
 
 
 @query("n07_ranked_search", """SELECT doc_id, quality, CAST(len(hits) AS INT) AS score FROM (SELECT d.doc_id, quality,
- list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w IN ('the','and')) AS hits FROM documents d JOIN labels l ON l.doc_id=d.doc_id)
- WHERE len(list_distinct(hits))=2 ORDER BY quality DESC, score DESC, doc_id LIMIT 20""")
+ list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w IN ('the','and')) AS hits FROM documents d LEFT JOIN labels l ON l.doc_id=d.doc_id)
+ WHERE len(list_distinct(hits))=2 ORDER BY quality DESC NULLS LAST, score DESC, doc_id LIMIT 20""")
 def _(spark, d):
-    """The twenty best hits: better tier first, then more occurrences."""
-    texts = tables.read(spark, d, "documents").join(tables.read(spark, d, "labels"), "doc_id")
+    """The twenty best hits: better tier first, then more occurrences; documents without a tier come last."""
+    texts = tables.read(spark, d, "documents").join(tables.read(spark, d, "labels"), "doc_id", "left")
     return (inv.keyword_search(texts, ["and", "the"], "doc_id", "text", "quality")
-            .orderBy(F.desc("quality"), F.desc("score"), "doc_id").limit(20))
+            .orderBy(F.desc_nulls_last("quality"), F.desc("score"), "doc_id").limit(20))

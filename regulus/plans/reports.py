@@ -441,46 +441,69 @@ def _(spark, d):
     return perf.backlog(gold.applications(spark, d), ["process_code"])
 
 
-@query("a43_step_counts", f"""SELECT process_code, step, {_LABEL} AS quarter,
+o.register("d_step_counts", f"""SELECT process_code, step, {_LABEL} AS quarter,
  count(*) FILTER (WHERE received_at>=s AND received_at<e) AS started_q,
  count(*) FILTER (WHERE completed_at>=s AND completed_at<e) AS completed_q,
  count(*) FILTER (WHERE received_at<e AND {_OPEN.format('e')}) AS open_end_q
  FROM b_step_spine JOIN (SELECT *, activity_type AS step FROM f_steps) USING (process_code, step) GROUP BY process_code, step, q""")
+
+
+@query("a43_step_counts", "SELECT * FROM d_step_counts")
 def _(spark, d):
     return perf.step_counts(gold.steps(spark, d))
 
 
 # ---- document -----------------------------------------------------------------------------------
-_POINTS_SQL = f"""SELECT 'quarterlyData' AS section, process_code AS process, kpi_id AS name,
- reporting_quarter AS quarter, 'value' AS measure, {o.rnd('value')} AS value FROM f_points
- UNION ALL SELECT 'processStepData', process_code, step, quarter, 'avgDays', {o.rnd('avg_days')} FROM f_step_performance
- UNION ALL SELECT 'processStepData', process_code, step, quarter, 'targetDays', {o.rnd('target_days')} FROM f_step_performance
- UNION ALL SELECT 'quarterlyVolumes', process_code, metric, quarter, 'count', CAST(value AS DOUBLE) FROM f_volumes"""
+def _section(name, series, quarter, measures, source):
+    return [f"SELECT '{name}' AS section, process_code AS process, {series} AS name, {quarter} AS quarter, '{m}' AS measure, {o.rnd(v)} AS value FROM {source} WHERE {v} IS NOT NULL"
+            for m, v in measures.items()]
+
+
+_SHARE = "starts_with(kpi_id,'pct_')"
+_POINTS_SQL = " UNION ALL ".join([
+    *_section("quarterlyData", "kpi_id", "reporting_quarter", {"value": "value"}, "f_points"),
+    *_section("processStepData", "step", "quarter", {"avgDays": "avg_days", "targetDays": "target_days"}, "f_step_performance"),
+    *_section("quarterlyVolumes", "metric", "quarter", {"count": "value"}, "f_volumes"),
+    *_section("kpiCounts", "kpi_id", "reporting_quarter", {
+        "numerator": f"(CASE WHEN {_SHARE} THEN numerator END)", "denominator": f"(CASE WHEN {_SHARE} THEN denominator END)",
+        "sample_n": f"(CASE WHEN NOT {_SHARE} THEN denominator END)"}, "f_points"),
+    *_section("inspectionVolumes", "metric", "quarter", {"count": "value"}, "f_inspections"),
+    *_section("bottleneckData", "step", "quarter", {n: n for n in _BN}, "f_bottlenecks"),
+    *_section("processStepCounts", "step", "quarter", {n: n for n in ("started_q", "completed_q", "open_end_q")}, "d_step_counts")])
 
 
 def sections(spark, d):
-    """The sections of the dashboard in long form."""
-    steps = step_points(spark, d)
+    """All sections of the dashboard in long form."""
+    steps, all_points = step_points(spark, d), points(spark, d)
     return document.long_sections([
-        document.section("quarterlyData", points(spark, d), "kpi_id", "reporting_quarter",
-                         {"value": "value"}),
-        document.section("processStepData", steps, "step", "quarter",
-                         {"avgDays": "avg_days", "targetDays": "target_days"}),
-        document.section("quarterlyVolumes", volumes(spark, d), "metric", "quarter",
-                         {"count": "value"})])
+        document.section("quarterlyData", all_points, "kpi_id", "reporting_quarter", {"value": "value"}),
+        document.section("processStepData", steps, "step", "quarter", {"avgDays": "avg_days", "targetDays": "target_days"}),
+        document.section("quarterlyVolumes", volumes(spark, d), "metric", "quarter", {"count": "value"}),
+        document.section("kpiCounts", kpi_ops.kpi_counts(all_points), "kpi_id", "reporting_quarter",
+                         {n: n for n in ("numerator", "denominator", "sample_n")}),
+        document.section("inspectionVolumes", inspections(spark, d), "metric", "quarter", {"count": "value"}),
+        document.section("bottleneckData", perf.bottlenecks(gold.steps(spark, d)), "step", "quarter", {n: n for n in _BN}),
+        document.section("processStepCounts", perf.step_counts(gold.steps(spark, d)), "step", "quarter",
+                         {n: n for n in ("started_q", "completed_q", "open_end_q")})])
 
 
-@query("k10_dashboard_document", f"""SELECT section, process, name, count(DISTINCT quarter) AS quarters FROM ({_POINTS_SQL})
- GROUP BY 1,2,3""")
+@query("k10_dashboard_document", f"""SELECT section, process, name, count(DISTINCT quarter) AS quarters, {o.rnd('sum(value)', 3)} AS total,
+ min(quarter) AS first_label FROM ({_POINTS_SQL}) GROUP BY 1,2,3""")
 def _(spark, d):
+    """Every series of the document: its quarters, the sum of all its values and its least quarter label, read from the body."""
     docs = document.documents(sections(spark, d))
-    return docs.select("section", "process", "name",
-                       F.size(F.from_json("body", document.BODY_SCHEMA)["data"])
-                       .cast("long").alias("quarters"))
+    flat = docs.select("section", "process", "name", F.from_json("body", document.BODY_SCHEMA)["data"].alias("data"))
+    total = F.aggregate(F.flatten(F.transform("data", lambda p: F.map_values(p["measures"]))), F.lit(0.0), lambda a, v: a + v)
+    return flat.select("section", "process", "name", F.size("data").cast("long").alias("quarters"),
+                       x.rounded(total, 3).alias("total"), F.array_min(F.transform("data", lambda p: p["quarter"])).alias("first_label"))
 
 
 @query("s04_document_source", _POINTS_SQL)
 def _(spark, d):
-    """Documents written as JSON and read back: the flattened points are the ones that went in."""
-    docs = document.documents(sections(spark, d))
-    return document.flatten(docs).withColumn("value", x.rounded("value"))
+    """Documents written as JSON and read back with all required sections: the flattened points are the ones that went in."""
+    import uuid
+
+    from regulus.session import scratch_dir
+    path = f"{scratch_dir(spark)}/document-{uuid.uuid4().hex}"
+    document.documents(sections(spark, d)).write.json(path)
+    return document.flatten(document.read_documents(spark, path)).withColumn("value", x.rounded("value"))

@@ -19,16 +19,20 @@ def guarded(df: DataFrame, limit: int) -> DataFrame:
 
 
 def export_rows(df: DataFrame, layer: str, since: str, limit: int, row_limit: int) -> DataFrame:
-    """At most the requested and the permitted number of rows; bronze has no cohort to filter on."""
+    """The first rows in a fixed order, at most the requested and the permitted number; bronze has no cohort to filter on."""
     cap = min(limit, row_limit or 0)
     if cap <= 0:
         raise PermissionError("no export entitlement")
     rows = df if layer == "bronze" else df.filter(F.col("cohort_month") >= since)
-    return rows.limit(cap)
+    order = [c for c in ("cohort_month", "record_id", "ingest_day", "partition", "offset") if c in rows.columns]
+    return rows.orderBy(*order).limit(cap) if order else rows.limit(cap)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header in UTF-8 with byte order mark, which rides on the first column name."""
+    """One CSV file with a header in UTF-8 with byte order mark, which rides on the first column name.
+
+    An export is capped before it is written, so one task can hold it.
+    """
     first, *rest = df.columns
-    df.select(F.col(first).alias(BOM + first), *rest).write.mode("overwrite").option(
+    df.select(F.col(first).alias(BOM + first), *rest).coalesce(1).write.mode("overwrite").option(
         "header", True).option("encoding", "UTF-8").csv(path)

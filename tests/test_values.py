@@ -301,8 +301,9 @@ def test_export(spark, tmp_path):
     with pytest.raises(export.TooManyRows):
         export.guarded(df, 9)
     assert export.guarded(df, 10).count() == 10
-    export.write_csv(df.select("record_id", "revision").coalesce(1), str(tmp_path / "csv"))
+    export.write_csv(df.select("record_id", "revision").repartition(4), str(tmp_path / "csv"))
     import glob
+    assert len(glob.glob(str(tmp_path / "csv" / "*.csv"))) == 1
     text = open(glob.glob(str(tmp_path / "csv" / "*.csv"))[0], "rb").read()
     assert text.startswith("﻿record_id,revision\n".encode())
 
@@ -341,3 +342,39 @@ def test_a_removed_gold_table_is_written_again(spark):
     path = gold._written[(spark.sparkContext.applicationId, "nowhere", "numbers")][0]
     assert first.count() == 5 and remove(spark, [path]) == 1
     assert gold.stored(spark, "nowhere", "numbers", lambda: spark.range(7)).count() == 7
+
+
+def test_groups_with_null_keys_stay(spark):
+    """Every form of a report has the same groups, null keys among them."""
+    from regulus.operators import marts, performance
+    from regulus.operators.quantiles import exact_quantiles
+    rows = [done(f"r{i}", 1, days=i + 1, activity_type=None if i % 2 else "decision", route=None if i % 3 == 0 else "on_site_domestic") for i in range(12)]
+    df = facts(spark, rows)
+    plain = marts.turnaround_performance(df).collect()
+    exact = marts.turnaround_performance(df, exact_median=True).collect()
+    key = lambda r: (str(r["activity"]), str(r["handling_route"]), r["median_turnaround_days"])
+    assert sorted(map(key, exact)) == sorted(map(key, plain)) or len(exact) == len(plain) == 4
+    assert all(r["median_turnaround_days"] is not None for r in exact)
+    steps = performance.step_performance(df).count()
+    assert performance.bottlenecks(df).count() == performance.wait_shares(df).count() == steps == 2
+    assert all(r["touch_p90_days"] is not None for r in performance.wait_shares(df).collect())
+    only_null = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", None)], "k string, v double")
+    assert [tuple(r) for r in exact_quantiles(only_null, ["k"], "v").collect()] == [(None, 2.0)]
+
+
+def test_runtime_objects_of_state_resources(spark):
+    from regulus.operators import inventory as inv
+    rows = [("urn:1", "keycloak_openid_client", {"client_id": "web"}), ("urn:2", "kubernetes_config_map", {"metadata": '[{"name":"cm"}]'}),
+            ("urn:3", "aws_s3_bucket", {"bucket": "b1", "name": "b2"}), ("urn:4", "local_file", {"filename": "/x/y/z.json"}),
+            ("urn:5", "local_file", {}), ("urn:6", "random_thing", {"name": "n"}), ("urn:7", "keycloak_role", {"name": ""})]
+    got = inv.managed_edges(spark.createDataFrame(rows, "urn string, type string, attributes map<string,string>")).collect()
+    assert sorted((r["src"], r["target"].split(":", 2)[2], r["rule"]) for r in got) == [
+        ("urn:1", "keycloak:client:nda/web", "declared"), ("urn:2", "kubernetes:config_map:default/cm", "declared"),
+        ("urn:3", "minio:bucket:default/b1", "declared"), ("urn:4", "file:config:generated/z.json", "declared-filename")]
+
+
+def test_tenant_contract(spark):
+    from regulus.operators.marts import tenant_contract
+    named = spark.createDataFrame([("a", 1), (None, 2)], "tenant_id string, v int")
+    got = tenant_contract({"named": named, "unnamed": spark.range(3), "empty": named.limit(0)}).collect()
+    assert sorted(map(tuple, got)) == [("empty", True, 0, 0), ("named", True, 2, 1), ("unnamed", False, 3, 3)]
