@@ -2,7 +2,7 @@
 
 Every round joins the distinct frontier to the edges, and its result is written to the shared
 folder, so the plan stays one join deep however many rounds run and a lost executor costs one
-round. Frontiers are distinct nodes, so paths that meet are followed once.
+round. The rounds' folders are dropped once the result is written. Frontiers are distinct nodes, so paths that meet are followed once.
 """
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from regulus.contract import GRANT_KINDS, LOW_CONFIDENCE
 from regulus.functions.columns import confidence_label
-from regulus.session import cut_lineage
+from regulus.session import Cuts
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -34,6 +34,7 @@ def impact(edges: DataFrame, resources: DataFrame, starts: DataFrame, direction:
     A node may be reached again on a longer way, which can lower its confidence; cycles end at the
     depth limit.
     """
+    cuts = Cuts(edges.sparkSession)
     steps = directed(edges, direction)
     start = starts.select(F.col("urn").alias("node")).distinct()
     frontier, levels = start, []
@@ -42,7 +43,7 @@ def impact(edges: DataFrame, resources: DataFrame, starts: DataFrame, direction:
                    .agg(F.min("confidence").alias("confidence"),
                         F.min(F.struct("type", "rule")).alias("via"))
                    .withColumn("hops", F.lit(hops)))
-        arrived = cut_lineage(arrived)
+        arrived = cuts.cut(arrived)
         if arrived.isEmpty():
             break
         levels.append(arrived)
@@ -54,6 +55,7 @@ def impact(edges: DataFrame, resources: DataFrame, starts: DataFrame, direction:
     reached = _union(levels).groupBy("urn").agg(
         F.min("hops").alias("hops"), F.min("confidence").alias("confidence"),
         F.min(F.struct("hops", "via")).alias("first"))
+    reached, = cuts.result(reached)
     reached = reached.join(start.select(F.col("node").alias("urn")), "urn", "left_anti")
     return (reached.join(resources.select("urn", "kind", "name", "provider", "scope", "status"),
                          "urn", "left")
@@ -75,25 +77,33 @@ def effective_access(reached: DataFrame) -> DataFrame:
     return reached.filter(F.col("kind").isin(*GRANT_KINDS))
 
 
-def neighbourhood(edges: DataFrame, starts: DataFrame, depth: int = 1,
-                  types: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges around ``starts``, relations followed both ways, depth 1 to 5."""
+RELATION = ["src", "dst", "type", "rule", "confidence"]
+
+
+def neighbourhood(edges: DataFrame, starts: DataFrame, depth: int = 1, types: list[str] | None = None,
+                  resources: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges around ``starts``, relations followed both ways, depth 1 to 5.
+
+    Edges keep their rule and confidence; nodes have the columns of ``resources``, unknown ones null.
+    """
+    cuts = Cuts(edges.sparkSession)
     if types:
         edges = edges.filter(F.col("type").isin(*types))
-    both = edges.select(F.col("src").alias("node"), F.col("dst").alias("next"), "src", "dst", "type"
+    both = edges.select(F.col("src").alias("node"), F.col("dst").alias("next"), *RELATION
                         ).unionByName(edges.select(F.col("dst").alias("node"),
-                                                   F.col("src").alias("next"), "src", "dst", "type"))
+                                                   F.col("src").alias("next"), *RELATION))
     seen = starts.select(F.col("urn").alias("node")).distinct()
     frontier, found = seen, []
     for _ in range(max(1, min(depth, 5))):
-        touched = cut_lineage(both.join(frontier, "node").select("src", "dst", "type", "next"))
-        found.append(touched.select("src", "dst", "type"))
-        frontier = cut_lineage(touched.select(F.col("next").alias("node")).distinct()
+        touched = cuts.cut(both.join(frontier, "node").select(*RELATION, "next"))
+        found.append(touched.select(*RELATION))
+        frontier = cuts.cut(touched.select(F.col("next").alias("node")).distinct()
                                .join(seen, "node", "left_anti"))
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier)
-    return seen.select(F.col("node").alias("urn")), _union(found).distinct()
+    nodes, relations = cuts.result(seen.select(F.col("node").alias("urn")), _union(found).distinct())
+    return (nodes if resources is None else nodes.join(resources, "urn", "left")), relations
 
 
 def trace(edges: DataFrame, starts: DataFrame, direction: str = "up", max_level: int = 8) -> DataFrame:
@@ -101,19 +111,20 @@ def trace(edges: DataFrame, starts: DataFrame, direction: str = "up", max_level:
 
     ``edges`` has source, job and sink. A node is expanded once, so cycles end by themselves.
     """
+    cuts = Cuts(edges.sparkSession)
     a, b = ("sink", "source") if direction == "up" else ("source", "sink")
-    steps = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct()
+    steps = cuts.cut(edges.select(F.col(a).alias("node"), F.col(b).alias("next")).distinct())
     seen = starts.select(F.col("dataset").alias("node")).distinct().withColumn("level", F.lit(0))
     frontier, levels = seen.select("node"), [seen]
     for level in range(1, max_level + 1):
         reached = (steps.join(frontier, "node").select(F.col("next").alias("node")).distinct()
                    .join(_union(levels).select("node"), "node", "left_anti"))
-        fresh = cut_lineage(reached.withColumn("level", F.lit(level)))
+        fresh = cuts.cut(reached.withColumn("level", F.lit(level)))
         if fresh.isEmpty():
             break
         levels.append(fresh)
         frontier = fresh.select("node")
-    return _union(levels).filter("level > 0").select(F.col("node").alias("dataset"), "level")
+    return cuts.result(_union(levels).filter("level > 0").select(F.col("node").alias("dataset"), "level"))[0]
 
 
 def trace_edges(edges: DataFrame, starts: DataFrame, direction: str = "up",

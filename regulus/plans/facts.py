@@ -90,7 +90,7 @@ def _(spark, d):
  WHERE cohort_month >= '{SINCE}' GROUP BY 1,2""")
 def _(spark, d):
     """A partitioned read from one month on: only those partitions are listed and opened."""
-    return (gold.cohorts(spark, d).filter(F.col("cohort_month") >= SINCE)
+    return (gold.activities(spark, d).filter(F.col("cohort_month") >= SINCE)
             .groupBy("cohort_month", "process_code").agg(F.count(F.lit(1)).alias("records")))
 
 

@@ -7,7 +7,7 @@ from regulus.functions import columns as x
 from regulus.operators import graph, inventory as inv, lineage
 from regulus.plans import oracle as o
 from regulus.plans.registry import query
-from regulus.sources import tables
+from regulus.sources import gold, tables
 
 START_UP, START_DOWN = "region:1", "order:7"
 
@@ -155,7 +155,7 @@ def _reach(begin, a, b, depth=5):
 
 
 def _impact(spark, d, begin, direction):
-    return graph.impact(tables.edges(spark, d), tables.resources(spark, d), start(spark, begin), direction)
+    return graph.impact(gold.edges(spark, d), tables.resources(spark, d), start(spark, begin), direction)
 
 
 @query("n02_impact_upstream", _reach(START_UP, "dst", "src") + " SELECT * FROM found")
@@ -186,20 +186,21 @@ _AROUND = """WITH d1 AS (SELECT * FROM f_edges WHERE src='nation:3' OR dst='nati
  s2 AS (SELECT src AS u FROM d2 UNION SELECT dst FROM d2)"""
 
 
-@query("n01_neighbourhood_edges", _AROUND + " SELECT DISTINCT src, dst, type FROM d2")
+@query("n01_neighbourhood_edges", _AROUND + " SELECT DISTINCT src, dst, type, rule, confidence FROM d2")
 def _(spark, d):
-    return graph.neighbourhood(tables.edges(spark, d), start(spark, "nation:3"), 2)[1]
+    return graph.neighbourhood(gold.edges(spark, d), start(spark, "nation:3"), 2)[1]
 
 
-@query("n01_neighbourhood_nodes", _AROUND + " SELECT u AS urn FROM s2")
+@query("n01_neighbourhood_nodes", _AROUND + " SELECT u AS urn, kind, name, provider FROM s2 LEFT JOIN f_resources ON urn=u")
 def _(spark, d):
-    return graph.neighbourhood(tables.edges(spark, d), start(spark, "nation:3"), 2)[0]
+    nodes, _ = graph.neighbourhood(gold.edges(spark, d), start(spark, "nation:3"), 2, resources=tables.resources(spark, d))
+    return nodes.select("urn", "kind", "name", "provider")
 
 
 @query("n06_confidence_bands", """SELECT type, CASE WHEN confidence IS NULL OR confidence>=1 THEN 'Confirmed' WHEN confidence>=0.85 THEN 'Declared'
  ELSE 'Likely' END AS label, count(*) AS edges FROM f_edges GROUP BY 1,2""")
 def _(spark, d):
-    return tables.edges(spark, d).groupBy("type", x.confidence_label("confidence").alias("label")).agg(
+    return gold.edges(spark, d).groupBy("type", x.confidence_label("confidence").alias("label")).agg(
         F.count(F.lit(1)).alias("edges"))
 
 
@@ -411,7 +412,7 @@ def _(spark, d):
 @query("j12_edges_with_ends", """SELECT e.src, e.dst, e.type, a.kind AS src_kind, a.name AS src_name, b.kind AS dst_kind, b.name AS dst_name
  FROM f_edges e LEFT JOIN f_resources a ON a.urn=e.src LEFT JOIN f_resources b ON b.urn=e.dst""")
 def _(spark, d):
-    return inv.with_ends(tables.edges(spark, d), tables.resources(spark, d)).select(
+    return inv.with_ends(gold.edges(spark, d), tables.resources(spark, d)).select(
         "src", "dst", "type", "src_kind", "src_name", "dst_kind", "dst_name")
 
 
@@ -445,7 +446,7 @@ def _(spark, d):
     """Totals after one collection, the stale resources among them."""
     stored = tables.resources(spark, d).withColumn("stale", F.lit(False))
     merged = inv.merge_sighting(stored, sighting(spark, d), ["crm", "intake"])
-    return inv.inventory_stats(merged, tables.edges(spark, d))
+    return inv.inventory_stats(merged, gold.edges(spark, d))
 
 
 # ---- gates --------------------------------------------------------------------------------------

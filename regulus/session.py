@@ -46,12 +46,42 @@ def scratch_dir(spark: SparkSession) -> str:
     return local
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder and read it back, so a loop does not grow its plan.
+def _file_system(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
-    The copy survives the loss of any executor.
+
+def removed_at_exit(spark: SparkSession, path: str) -> str:
+    """Let the file system drop a scratch folder when the session's process ends."""
+    store, folder = _file_system(spark, path)
+    store.deleteOnExit(folder)
+    return path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    store, folder = _file_system(spark, path)
+    store.delete(folder, True)
+
+
+class Cuts:
+    """Frames written to the shared folder and read back, so a loop does not grow its plan.
+
+    A copy survives the loss of any executor. ``result`` writes what the caller goes on with and drops
+    the copies it came from; the session's end drops the rest.
     """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path = f"{scratch_dir(self.spark)}/cut-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.paths.append(removed_at_exit(self.spark, path))
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, *frames: DataFrame) -> list[DataFrame]:
+        old, self.paths = self.paths, []
+        kept = [self.cut(df) for df in frames]
+        for path in old:
+            drop_folder(self.spark, path)
+        return kept

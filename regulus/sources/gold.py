@@ -14,36 +14,50 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regulus.operators.measurements import measurements as fan_out
 from regulus.operators.quality import is_valid
-from regulus.session import scratch_dir, use_business_time
+from regulus.session import drop_folder, removed_at_exit, scratch_dir, use_business_time
 from regulus.sources import tables
 
-_written: dict[tuple[str, str, str], tuple[str, object]] = {}
+_written: dict[tuple[str, str, str], tuple[str, object, str]] = {}
+MONTH = "cohort_month"
+
+
+def inputs(spark: SparkSession, sf_dir: str) -> str:
+    """Name, size and time of the input files: tables built from other ones are built again."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/*.parquet")
+    store = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return ";".join(sorted(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}" for f in store.globStatus(pattern) or []))
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
            partition: str | None = None) -> DataFrame:
-    """The named table, written on first use.
+    """The named table, written on first use and again when the input files have changed.
 
     A partitioned table is rebalanced on its partition column first: small months share a file and
     a month with much of the data is split over several.
     """
     use_business_time(spark)
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key, now = (spark.sparkContext.applicationId, sf_dir, name), inputs(spark, sf_dir)
     if key in _written:
-        path, schema = _written[key]
+        path, schema, then = _written[key]
         try:
-            return spark.read.schema(schema).parquet(path)
+            if then == now:
+                return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise  # a table that somebody removed is written again below
     frame = build()
-    path = f"{scratch_dir(spark)}/gold-{name}-{uuid.uuid4().hex}"
+    path = removed_at_exit(spark, f"{scratch_dir(spark)}/gold-{name}-{uuid.uuid4().hex}")
     if partition:
         frame.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
     else:
         frame.write.parquet(path)
-    _written[key] = (path, frame.schema)
-    return spark.read.schema(frame.schema).parquet(path)
+    _written[key] = (path, frame.schema, now)
+    return spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last state of every line with its dossier: read, aggregated and joined once for activities and steps."""
+    return stored(spark, sf_dir, "lines", lambda: tables.current_lines(spark, sf_dir))
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +66,8 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current activities, valid and invalid."""
-    return stored(spark, sf_dir, "activities", lambda: tables.activities(spark, sf_dir))
+    """Current activities, valid and invalid, by their immutable cohort month."""
+    return stored(spark, sf_dir, "activities", lambda: tables.activities_of(lines(spark, sf_dir)), MONTH)
 
 
 def valid_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,18 +75,24 @@ def valid_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir, "steps", lambda: tables.steps(spark, sf_dir))
+    return stored(spark, sf_dir, "steps", lambda: tables.steps_of(spark, sf_dir, lines(spark, sf_dir)), MONTH)
 
 
 def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, sf_dir, "applications", lambda: tables.applications(spark, sf_dir))
+    return stored(spark, sf_dir, "applications", lambda: tables.applications(spark, sf_dir), MONTH)
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "measurements",
-                  lambda: fan_out(valid_activities(spark, sf_dir)))
+                  lambda: fan_out(valid_activities(spark, sf_dir)), MONTH)
+
+
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The relation graph, built once for all rounds of a traversal."""
+    return stored(spark, sf_dir, "edges", lambda: tables.edges(spark, sf_dir))
 
 
-def cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Activities partitioned by their immutable cohort month."""
-    return stored(spark, sf_dir, "cohorts", lambda: activities(spark, sf_dir), "cohort_month")
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    """Have every table of a folder written again on its next use."""
+    for key in [k for k in _written if k[:2] == (spark.sparkContext.applicationId, sf_dir)]:
+        drop_folder(spark, _written.pop(key)[0])

@@ -99,7 +99,7 @@ def _line_facts(lines: DataFrame, due_days: Column, suffix: str = "") -> DataFra
         (F.col("l_quantity") * (1 - 5 * F.col("l_discount"))).alias("touch_days"),
         (F.col("l_quantity") * 5 * F.col("l_discount")).alias("wait_days"),
         F.col("revision").cast("int").alias("revision"),
-        *[c for c in ("p_type", "p_size") if c in lines.columns])
+        *[c for c in ("p_type", "p_size", *_SHARED) if c in lines.columns])
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,11 +118,19 @@ def _activity_due() -> Column:
     return F.when(F.col("l_tax") == 0.08, -1).otherwise(30)
 
 
-def _activities(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
-    facts = _line_facts(lines, _activity_due())
+def _with_dossier(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     shared = dossiers(spark, sf_dir).select("o_orderkey", *_SHARED)
-    return (facts.join(shared, F.col("l_orderkey") == F.col("o_orderkey"))
-            .withColumn("activity_type", _activity_type()).select(*FACT_COLUMNS))
+    return lines.join(shared, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+
+
+def current_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last state of every line with the columns of its dossier."""
+    return _with_dossier(spark, sf_dir, _current_lines(spark, sf_dir))
+
+
+def activities_of(lines: DataFrame) -> DataFrame:
+    """Activities from lines with their dossier."""
+    return _line_facts(lines, _activity_due()).withColumn("activity_type", _activity_type()).select(*FACT_COLUMNS)
 
 
 def activity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,12 +142,12 @@ def activity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = running_total_before(
         _lines(spark, sf_dir), ["l_orderkey", "l_linenumber"], F.col("l_shipdate"),
         list(HISTORY_ORDER[1:]), F.lit(1), "_earlier")
-    return _activities(spark, sf_dir, numbered.withColumn("revision", F.col("_earlier") + 1))
+    return activities_of(_with_dossier(spark, sf_dir, numbered.withColumn("revision", F.col("_earlier") + 1)))
 
 
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The current state of every activity, valid or not."""
-    return _activities(spark, sf_dir, _current_lines(spark, sf_dir))
+    return activities_of(current_lines(spark, sf_dir))
 
 
 # Workflow stages per process, in the order of the six part types.
@@ -170,14 +178,17 @@ def _stage() -> Column:
                     F.when(split, ending.otherwise(STAGE_SUFFIXES[3])).otherwise(""))
 
 
+def steps_of(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Workflow steps from lines with their dossier."""
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    staged = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    facts = _line_facts(staged, 10 + F.pmod(F.col("p_size"), F.lit(30)), suffix="-s")
+    return facts.withColumn("activity_type", _stage()).select(*FACT_COLUMNS)
+
+
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The current state of every workflow step."""
-    part = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    lines = _current_lines(spark, sf_dir).join(part, F.col("l_partkey") == F.col("p_partkey"))
-    facts = _line_facts(lines, 10 + F.pmod(F.col("p_size"), F.lit(30)), suffix="-s")
-    shared = dossiers(spark, sf_dir).select("o_orderkey", *_SHARED)
-    return (facts.join(shared, F.col("l_orderkey") == F.col("o_orderkey"))
-            .withColumn("activity_type", _stage()).select(*FACT_COLUMNS))
+    return steps_of(spark, sf_dir, current_lines(spark, sf_dir))
 
 
 def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
