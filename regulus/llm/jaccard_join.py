@@ -163,7 +163,8 @@ def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__row").alias("c")))
     kept = found.where("class_key is not null").groupBy("class_key").agg(first.alias("first")).select(F.col("first.c").alias("__row"))
     kept = kept.unionByName(found.where("class_key is null").select("__row"))
-    return numbered.join(kept, "__row", "left_semi").drop("__row")
+    # as above: the rows to keep grow with the input
+    return numbered.join(kept.hint("merge"), "__row", "left_semi").drop("__row")
 
 
 def _links(df: DataFrame, text: str, asked: DataFrame, gram: int, similarity: tuple[int, int], block: int, bands: int) -> DataFrame:

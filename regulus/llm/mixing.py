@@ -176,7 +176,8 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", weights: tupl
     for frame in done[1:]:
         settled = settled.unionByName(frame.select("copy", "p"))
     taken = settled.where("p > 0.5").select("copy", F.lit(1).alias("extra"))
-    return (rated.join(taken, "copy", "left")
+    # the same join at every size: the units taken grow with the input, so they are never sent whole to all executors
+    return (rated.join(taken.hint("merge"), "copy", "left")
             .select(*carry, "source", "size", "source_size", "target",
                     F.when(F.col("size") > 0, F.col("whole") + F.coalesce(F.col("extra"), F.lit(0))).otherwise(F.lit(0)).cast("long").alias("times")))
 
