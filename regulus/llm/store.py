@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regulus.session import scratch_dir
+from regulus.session import removed_at_exit, scratch_dir
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -17,11 +17,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a cut of the lineage that survives lost executors.
 
-    The collection call lets Spark drop the shuffle files behind the written copy, which nothing needs any more.
+    The copy goes with the session. The collection call lets Spark drop the shuffle files behind the written copy, which nothing needs any more.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    removed_at_exit(spark, path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 

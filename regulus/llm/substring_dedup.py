@@ -185,26 +185,22 @@ def without_repeats(df: DataFrame, text: str = "text", carry: tuple[str, ...] =
 
     def keep(batches):
         for batch in batches:
-            totals, removed, kept = [], [], []
-            found = batch.column("spans").to_pylist()
             for words in words_of(batch.column("__text")):
-                for d in range(len(words.bounds) - 1):
+                rows = batch.slice(words.first, len(words.bounds) - 1)
+                totals, removed, kept = [], [], []
+                for d, own_spans in enumerate(rows.column("spans").to_pylist()):
                     own = words.text(d)
-                    spans = found[words.first + d]
-                    gone = 0
-                    if spans:
-                        depth = np.zeros(len(own) + 1, dtype=np.int64)
-                        np.add.at(depth, spans[0::2], 1)
-                        np.add.at(depth, spans[1::2], -1)
-                        stays = np.cumsum(depth)[:-1] == 0
-                        gone = len(own) - int(stays.sum())
-                        kept.append(b" ".join([w for w, s in zip(own, stays.tolist()) if s]))
-                    else:
-                        kept.append(b" ".join(own))
                     totals.append(len(own))
-                    removed.append(gone)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], pa.array(totals, pa.int64()), pa.array(removed, pa.int64()),
-                                              pa.array(kept, pa.binary()).cast(pa.string())], names=schema.names)
+                    if own_spans:
+                        depth = np.zeros(len(own) + 1, dtype=np.int64)
+                        np.add.at(depth, own_spans[0::2], 1)
+                        np.add.at(depth, own_spans[1::2], -1)
+                        stays = (np.cumsum(depth)[:-1] == 0).tolist()
+                        own = [w for w, s in zip(own, stays) if s]
+                    removed.append(totals[-1] - len(own))
+                    kept.append(b" ".join(own))
+                yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in carry], pa.array(totals, pa.int64()), pa.array(removed, pa.int64()),
+                                                  pa.array(kept, pa.binary()).cast(pa.string())], names=schema.names)
 
     return docs.join(spans, "key", "left").select(*carry, "__text", "spans").mapInArrow(keep, schema)
 
