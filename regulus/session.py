@@ -52,7 +52,7 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def removed_at_exit(spark: SparkSession, path: str) -> str:
-    """Let the file system drop a scratch folder when the session's process ends."""
+    """Let the file system drop a scratch folder, once it is written, when the session's process ends."""
     store, folder = _file_system(spark, path)
     store.deleteOnExit(folder)
     return path

@@ -46,12 +46,12 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
             if "PATH_NOT_FOUND" not in str(error):
                 raise  # a table that somebody removed is written again below
     frame = build()
-    path = removed_at_exit(spark, f"{scratch_dir(spark)}/gold-{name}-{uuid.uuid4().hex}")
+    path = f"{scratch_dir(spark)}/gold-{name}-{uuid.uuid4().hex}"
     if partition:
         frame.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
     else:
         frame.write.parquet(path)
-    _written[key] = (path, frame.schema, now)
+    _written[key] = (removed_at_exit(spark, path), frame.schema, now)
     return spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
 
 
