@@ -335,11 +335,11 @@ class Managed(NamedTuple):
 
 # Published types, attributes and scopes.
 MANAGED = (
-    Managed("^keycloak_group$", "keycloak", "group", "name", "nda"),
-    Managed("^keycloak_user$", "keycloak", "user", "username", "nda"),
-    Managed("^keycloak_openid_client$", "keycloak", "client", "client_id", "nda"),
-    Managed("^keycloak_role$", "keycloak", "role", "name", "nda"),
-    Managed("^keycloak_realm$", "keycloak", "realm", "realm", "nda"),
+    Managed("^keycloak_group$", "keycloak", "group", "name", "internal"),
+    Managed("^keycloak_user$", "keycloak", "user", "username", "internal"),
+    Managed("^keycloak_openid_client$", "keycloak", "client", "client_id", "internal"),
+    Managed("^keycloak_role$", "keycloak", "role", "name", "internal"),
+    Managed("^keycloak_realm$", "keycloak", "realm", "realm", "internal"),
     Managed("^kubernetes_", "kubernetes", None, "metadata", nested=True),
     Managed("bucket", "minio", "bucket", "bucket"),
     Managed("bucket", "minio", "bucket", "name"),

@@ -260,7 +260,7 @@ def _(spark, d):
     return inv.state_workspaces(parsed_states(spark, d)).select("urn", "resource_count")
 
 
-@query("s08_managed_edges", """SELECT type, rule, CASE s_suppkey%5 WHEN 0 THEN 'urn:infra:keycloak:group:nda/' WHEN 1 THEN 'urn:infra:file:config:generated/'
+@query("s08_managed_edges", """SELECT type, rule, CASE s_suppkey%5 WHEN 0 THEN 'urn:infra:keycloak:group:internal/' WHEN 1 THEN 'urn:infra:file:config:generated/'
  WHEN 2 THEN 'urn:infra:minio:bucket:default/' ELSE 'urn:infra:kubernetes:service:ns/' END || lower(replace(s_name,'#','-')) AS target
  FROM supplier, LATERAL (SELECT 'MANAGES' AS type, CASE WHEN s_suppkey%5=1 THEN 'declared-filename' ELSE 'declared' END AS rule) r WHERE s_suppkey%5<4""")
 def _(spark, d):

@@ -369,7 +369,7 @@ def test_runtime_objects_of_state_resources(spark):
             ("urn:5", "local_file", {}), ("urn:6", "random_thing", {"name": "n"}), ("urn:7", "keycloak_role", {"name": ""})]
     got = inv.managed_edges(spark.createDataFrame(rows, "urn string, type string, attributes map<string,string>")).collect()
     assert sorted((r["src"], r["target"].split(":", 2)[2], r["rule"]) for r in got) == [
-        ("urn:1", "keycloak:client:nda/web", "declared"), ("urn:2", "kubernetes:config_map:default/cm", "declared"),
+        ("urn:1", "keycloak:client:internal/web", "declared"), ("urn:2", "kubernetes:config_map:default/cm", "declared"),
         ("urn:3", "minio:bucket:default/b1", "declared"), ("urn:4", "file:config:generated/z.json", "declared-filename")]
 
 
