@@ -6,12 +6,12 @@ bounded sample, gives the weights. A score is one sum over the features of the w
 """
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +20,13 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 #: Lengths of the n-grams in bytes, and buckets.
 LENGTHS, BUCKETS = (4, 5, 6), 1 << 18
 #: Rows of the training sample, at most half of them toxic; the ratios are counted over all training rows.
-SAMPLE = 8_000
-#: Ratios within so many standard errors of 0, and those of buckets that fewer texts have, are left out as chance; of the others the model
-#: has the surest ones. Few labels make few sure ratios: then the model has some of the less sure ones too.
-ERRORS, LEAST_TEXTS, FEATURES = 4.0, 5, 4096
+SAMPLE = 12_000
+#: Ratios within so many standard errors of 0, and those of buckets that fewer texts have, are left out as chance; the model has all others.
+#: Few labels make few sure ratios: then the model has some of the less sure ones too.
+ERRORS, LEAST_TEXTS = 4.0, 5
 LESS_ERRORS, LEAST_FEATURES = 1.5, 1000
+#: Rows of the sample that a step of the fit takes at once.
+_ROWS = 128
 #: Beyond so many labels they are joined by a shuffle and not sent to all executors.
 MOST_SENT = 1_000_000
 THRESHOLD = 0.3
@@ -69,11 +71,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled documents that are not held out. Rows without an id or a label teach nothing."""
+    """(doc_id, text, place, toxic) of the labelled documents that are not held out. Rows without an id or a label teach nothing."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out()).select(
         F.col("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     few = known.count() <= MOST_SENT
-    return docs.select("doc_id", "text").join(F.broadcast(known) if few else known, "doc_id")
+    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("place")).join(F.broadcast(known) if few else known, "doc_id")
 
 
 def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
@@ -100,7 +102,7 @@ def ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) ->
     sure = np.abs(ratio) / np.sqrt(1 / (toxic + 1.0) + 1 / (other + 1.0))
     sure[toxic + other < LEAST_TEXTS] = 0
     place = np.argsort(np.argsort(-sure, kind="stable"), kind="stable")
-    ratio[~((sure >= ERRORS) & (place < FEATURES) | (sure >= LESS_ERRORS) & (place < LEAST_FEATURES))] = 0.0
+    ratio[~((sure >= ERRORS) | (sure >= LESS_ERRORS) & (place < LEAST_FEATURES))] = 0.0
     return ratio
 
 
@@ -109,18 +111,24 @@ def fit(buckets: list[np.ndarray], toxic: np.ndarray, ratio: np.ndarray, rounds:
     used = np.flatnonzero(ratio)
     number = np.zeros(len(ratio), dtype=np.int32)
     number[used] = np.arange(len(used))
-    lengths = np.array([len(b) for b in buckets])
-    full, starts = lengths > 0, np.cumsum(lengths) - lengths
-    place = np.concatenate([number[b] for b in buckets] + [np.zeros(0, dtype=np.int32)])
+    blocks = []
+    for k in range(0, len(buckets), _ROWS):
+        part = buckets[k:k + _ROWS]
+        lengths = np.array([len(b) for b in part])
+        blocks.append((slice(k, k + len(part)), np.concatenate([number[b] for b in part]), lengths, np.cumsum(lengths) - lengths))
     scale = ratio[used]
     w = np.zeros(len(used) + 1)
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, rounds + 1):
-        z = np.full(len(buckets), w[-1])
-        if full.any():
-            z[full] += np.add.reduceat((w[:-1] * scale)[place], starts[full])
-        error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - toxic) / len(buckets)
-        slope = np.append(np.bincount(place, weights=np.repeat(error, lengths), minlength=len(used)) * scale + penalty * w[:-1], error.sum())
+        scaled, total, slope = w[:-1] * scale, 0.0, np.zeros(len(used))
+        for rows, place, lengths, starts in blocks:
+            z, full = np.full(len(lengths), w[-1]), lengths > 0
+            if full.any():
+                z[full] += np.add.reduceat(scaled[place], starts[full])
+            error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - toxic[rows]) / len(buckets)
+            slope += np.bincount(place, weights=np.repeat(error, lengths), minlength=len(used))
+            total += error.sum()
+        slope = np.append(slope * scale + penalty * w[:-1], total)
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope * slope
         w = w - 0.05 * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-8)
     out = np.zeros(len(ratio))
@@ -128,6 +136,12 @@ def fit(buckets: list[np.ndarray], toxic: np.ndarray, ratio: np.ndarray, rounds:
     return out, float(w[-1])
 
 
+def sampled(rows: DataFrame, toxic: float, other: float) -> DataFrame:
+    """About these shares of the toxic and of the other rows, each row by itself: copies of a text or of a row do not come together."""
+    most = 1 << 30
+    return rows.where(F.pmod(F.xxhash64("doc_id", "place", F.lit("sample")), F.lit(most)) < F.when(F.col("toxic") == 1, int(toxic * most)).otherwise(int(other * most)))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the documents that ``labels`` marks. Without both kinds of label every score is the share of toxic ones, or 0."""
     rows = training_rows(docs, labels)
@@ -139,8 +153,6 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     take = {1: min(n_toxic, sample // 2)}
     take[0] = min(n_other, sample - take[1])
     share = {1: take[1] / n_toxic, 0: take[0] / n_other}
-    # about so many of each kind, by a hash of the text; the rest of the rows only counts for the ratios
-    pick = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) < F.when(F.col("toxic") == 1, int(share[1] * (1 << 30))).otherwise(int(share[0] * (1 << 30)))
     mask = ratio != 0
 
     def keep(batches):
@@ -148,17 +160,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             found = [f[mask[f]].astype(np.int32) for f in _features(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "buckets"])
 
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        order = sorted(range(len(pdf)), key=lambda i: (pdf["toxic"].iat[i], np.asarray(pdf["buckets"].iat[i]).tobytes()))
-        marks = pdf["toxic"].to_numpy()[order]
-        weights, intercept = fit([np.asarray(pdf["buckets"].iat[i], dtype=np.int64) for i in order], marks, ratio)
+    def learn(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        values, offsets = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int32)
+        if table.num_rows:
+            column = table["buckets"].chunk(0)
+            values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+        found = [values[i:j] for i, j in zip(offsets[:-1], offsets[1:])]
+        every = table["toxic"].to_numpy()
+        order = sorted(range(len(found)), key=lambda i: (every[i], hashlib.md5(found[i].tobytes()).digest()))
+        marks = every[order]
+        weights, intercept = fit([found[i] for i in order], marks, ratio)
         # the sample holds more toxic texts than the corpus: take its odds back to those of all training rows
         odds = marks.sum() / max(1, (1 - marks).sum())
         intercept -= np.log(max(odds, 1e-9)) - np.log(n_toxic / n_other)
-        return pd.DataFrame({"weights": [weights[told]], "intercept": [intercept]})
+        return pa.table([pa.array([weights[told]], pa.list_(pa.float64())), pa.array([float(intercept)])], names=["weights", "intercept"])
 
-    picked = rows.where(pick).mapInArrow(keep, StructType([StructField("toxic", IntegerType()), StructField("buckets", ArrayType(IntegerType()))]))
-    fitted = picked.groupBy().applyInPandas(learn, StructType([StructField("weights", ArrayType(DoubleType())), StructField("intercept", DoubleType())])).first()
+    picked = sampled(rows, share[1], share[0]).mapInArrow(keep, StructType([StructField("toxic", IntegerType()), StructField("buckets", ArrayType(IntegerType()))]))
+    fitted = picked.groupBy().applyInArrow(learn, StructType([StructField("weights", ArrayType(DoubleType())), StructField("intercept", DoubleType())])).first()
     weights = np.zeros(BUCKETS, dtype=np.float32)
     weights[told] = fitted["weights"]
     return Model(weights, fitted["intercept"])

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from regulus.llm.queries import QUERIES
-from regulus.llm.toxicity import BUCKETS, THRESHOLD, features, held_out, ratios, score, train
+from regulus.llm.toxicity import BUCKETS, THRESHOLD, features, held_out, ratios, sampled, score, train, training_rows
 
 
 def is_held_out(doc_id):
@@ -57,6 +57,20 @@ def test_features_are_whole_and_cleared():
     assert r[0] > 0 and r[2] == 0
 
 
+def test_every_sure_ratio_counts():
+    n = 20_000
+    r = ratios(np.full(n, 60), np.full(n, 20), 1000, 4000)
+    assert (r > 0).all()
+
+
+def test_copies_are_sampled_one_by_one(spark):
+    docs = spark.range(4000).selectExpr("if(id < 2000, id, 1) as doc_id", "'the same text' as text")
+    labels = spark.range(2000).selectExpr("id as doc_id", "cast(id = 1 as int) as toxic")
+    rows = training_rows(docs, labels)
+    n = rows.where("toxic = 1").count()
+    assert n > 1900 and abs(sampled(rows, 0.2, 0.0).count() / n - 0.2) < 0.05
+
+
 def test_nulls_repeated_rows_and_missing_labels(spark, corpus):
     docs, labels = corpus
     odd = spark.createDataFrame([(None, None), (1, ""), (1, ""), (2, "x" * 200_000)], "doc_id long, text string")
