@@ -2,10 +2,12 @@
 
 All rules are compiled into one minimised transition array (``automaton.py``). A batch of texts is cut at bytes that no rule can
 contain, where the automaton is at its start whatever came before; the pieces then run through the array side by side, one byte of
-each per step. Where the automaton reports a hit, the automata of the single kinds read the surrounding piece for exact spans.
+each per step. Where the automaton reports a hit, the automata of the single kinds read the surrounding piece for exact spans. A key
+block goes on over line breaks: behind its first line the rest is read from the text.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -21,12 +23,16 @@ from regulus.llm.words import slices, utf8
 
 
 class Rule(NamedTuple):
-    """``base`` gives the leftmost longest spans, ``valid`` those that count; ``trigger`` ends in every text that has a valid span."""
+    """``base`` gives the leftmost longest spans, ``valid`` those that count; ``trigger`` ends in every text that has a valid span.
+
+    ``tails`` are expressions over bytes, none beyond ASCII: the first that matches right behind a span, line breaks included, belongs to it.
+    """
 
     kind: str
     base: str
     valid: str
     trigger: str
+    tails: tuple[bytes, ...] = ()
 
 
 _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]"""
@@ -35,11 +41,18 @@ BASE_RULES = (
     Rule("access", "AKIA[A-Z0-9]+", "AKIA[A-Z0-9]{16,}", "AKIA[A-Z0-9]{4}"),
     Rule("hex", "[0-9a-f]+", "[0-9a-f]{24,}", "[0-9a-f]{16}"),
 )
+#: The body of a key: up to the END line, or as far as base64 lines go and one shorter last line. Breaks may be escaped, blank or quoted.
+_BREAK = rb"(?:[ \t>\"'+,]*+(?:\r?\n|\\r|\\n))++[ \t>\"']*+"
+_PEM_TAILS = (
+    rb"(?:[A-Za-z0-9+/=\s:,.>\"'\\]|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----",
+    rb"(?:" + _BREAK + rb"(?:Proc-Type|DEK-Info):[\x20-\x7e]*+)*+(?:(?:" + _BREAK + rb"|[ \t]++)[A-Za-z0-9+/]{16,}+={0,2})*+"
+    rb"(?:" + _BREAK + rb"[A-Za-z0-9+/]++={0,2}(?=[ \t\"',]*(?:[\r\n\\]|\Z)))?",
+)
 MORE_RULES = (
     Rule("github", "gh[oprsu]_[A-Za-z0-9]+", "gh[oprsu]_[A-Za-z0-9]{36,}", "gh[oprsu]_[A-Za-z0-9]"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", "xox[abprs]-[A-Za-z0-9-]{10,}", "xox[abprs]-[A-Za-z0-9-]"),
     Rule("google", "AIza[A-Za-z0-9_-]+", "AIza[A-Za-z0-9_-]{35,}", "AIza[A-Za-z0-9_-]"),
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "BEGIN [A-Z ]*PRIVATE KEY"),
+    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "BEGIN [A-Z ]*PRIVATE KEY", _PEM_TAILS),
 )
 RULES = BASE_RULES + MORE_RULES
 SPANS = ArrayType(StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType())]))
@@ -53,6 +66,7 @@ class Scanner:
         self.all = compiled([r.trigger for r in rules], anywhere=True)
         self.base = [compiled([r.base], anywhere=False) for r in rules]
         self.valid = [compiled([r.valid], anywhere=False) for r in rules]
+        self.tails = [[re.compile(t) for t in r.tails] for r in rules]
         self.first = [np.flatnonzero(a.first_bytes()).tolist() for a in self.base]
         cut = (self.all.table == self.all.start)[1:].all(axis=0)
         for a in self.base:
@@ -92,6 +106,10 @@ class Scanner:
                 at = end
         return sorted(found)
 
+    def behind(self, kind: int, data: memoryview, at: int, end: int) -> int:
+        """How many bytes behind a span its rule's tails add to it."""
+        return next((m.end() - at for t in self.tails[kind] if (m := t.match(data, at, end))), 0)
+
     def scan(self, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
         """Spans, in code points, of the texts that have any, by the number of the text."""
         lengths = np.diff(offsets)
@@ -101,7 +119,7 @@ class Scanner:
         inside[ends] = False
         joined[inside] = data[offsets[0]:offsets[-1]]
         cuts = np.flatnonzero(self.cut[joined])
-        hits = self.hits(joined, cuts)
+        hits, whole = self.hits(joined, cuts), memoryview(joined)
         after = np.unique(np.searchsorted(cuts, hits))
         out: dict[int, list[tuple[int, int, int]]] = {}
         for c in after:
@@ -114,7 +132,8 @@ class Scanner:
                 before = int(np.count_nonzero((joined[head:begin] & 0xC0) != 0x80))
                 piece = (joined[begin:end] & 0xC0) != 0x80
                 points = np.concatenate([[0], np.cumsum(piece)])
-                out.setdefault(doc, []).extend((before + int(points[s]), k, before + int(points[e])) for s, k, e in spans)
+                out.setdefault(doc, []).extend((before + int(points[s]), k, before + int(points[e]) + self.behind(k, whole, begin + e, int(ends[doc])))
+                                               for s, k, e in spans)
         return out
 
 

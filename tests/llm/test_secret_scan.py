@@ -67,6 +67,33 @@ def test_rows_pass_through(spark):
     assert find_secrets(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_whole_key_blocks(spark):
+    lines = [("Ab3+/xYz" * 8), ("Qr7/kLmN" * 8), "c2hvcnQ="]
+    head, foot = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    block = "\n".join([head, *lines, foot])
+    texts = {
+        f"é vor\n{block}\nnach é": "é vor\n[pem]\nnach é",
+        f"{block}\nund\n{block}": "[pem]\nund\n[pem]",
+        block.replace("\n", "\r\n") + " x": "[pem] x",
+        '{"key": "' + block.replace("\n", "\\n") + '\\n", "id": 1}': '{"key": "[pem]\\n", "id": 1}',
+        block.replace("\n", " ") + " x": "[pem] x",
+        "\n".join([head, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", "", *lines, foot, "x"]): "[pem]\nx",
+        "\n".join([head, *lines, "No end: two words."]): "[pem]\nNo end: two words.",
+        "\n".join([head, "Proc-Type: 4,ENCRYPTED", "", *lines[:1], "", "Öl"]): "[pem]\n\nÖl",
+        f"{head} is how, (it) begins": "[pem] is how, (it) begins",
+        head + "\nQQ==": "[pem]",
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, block[:60]])], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in redact(df).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+    assert got[len(texts)] == "[pem]"
+
+
+def test_many_key_headers_end():
+    texts = ["-----BEGIN PRIVATE KEY-----\n" * 3000, "-----BEGIN PRIVATE KEY-----" + "\n " * 30_000 + "(", "-----BEGIN PRIVATE KEY-----" + "QUJD" * 50_000]
+    assert scan(texts) == [[], [], []]
+
+
 def test_query_against_brute_force(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = QUERIES["op3_secret_scans"](spark, sf_dir).collect()
