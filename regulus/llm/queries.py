@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from regulus.llm.binary_output import records_of
 from regulus.llm.html_extraction import extract
 from regulus.llm.jaccard_join import similar
+from regulus.llm.lexical_search import search
 from regulus.llm.mixing import mix
 from regulus.llm.packing import pack
 from regulus.llm.quality_rules import STOP_WORDS, quality
@@ -148,3 +149,26 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+_SEARCH_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT row_number() OVER () AS iid, item_id, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+      FROM benchmark),
+c AS (SELECT count(*) AS nn, sum(len(w)) AS ll FROM d WHERE len(w) > 0),
+m AS (SELECT rid, doc_id, 50 + (50 * len(w) * nn) // ll AS m FROM d, c WHERE len(w) > 0),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY rid, term),
+df AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY term),
+s AS (SELECT iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS score
+      FROM q JOIN df USING (term) JOIN tf USING (term) JOIN m USING (rid) GROUP BY iid, item_id, rid, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 50
+"""
+
+
+@query("op13_lexical_search", _SEARCH_SQL)
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
