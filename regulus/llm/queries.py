@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from regulus.llm.binary_output import records_of
 from regulus.llm.html_extraction import extract
 from regulus.llm.jaccard_join import similar
+from regulus.llm.language_id import held_out as not_learnt
+from regulus.llm.language_id import identify
+from regulus.llm.language_id import train as language_model
 from regulus.llm.lexical_search import search
 from regulus.llm.mixing import mix
 from regulus.llm.packing import pack
@@ -172,3 +175,11 @@ FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id)
 def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", not_learnt().alias("held_out"), "lang_pred", "score", "second", "ambiguous")
