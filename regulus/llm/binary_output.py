@@ -7,6 +7,7 @@ its own attempt and renames them at the end, so an attempt repeated after a loss
 """
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from regulus.llm.store import shared_path, written
 from regulus.llm.tokens import encoded, vocabulary_path
+from regulus.session import removed_at_exit
 
 #: The id behind every document.
 END = 2
@@ -61,6 +63,11 @@ def unframed(read) -> tuple[int | None, np.ndarray] | None:
     return doc_id if present else None, np.frombuffer(payload, dtype=f"<u{width}", offset=_PAYLOAD.size).astype("<u4")
 
 
+def _store(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder, and its path there. Arrow knows Spark's s3a and s3n paths as s3; file, hdfs, gs and abfs(s) have one name in both."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", folder))
+
+
 def write_records(df: DataFrame, folder: str, text: str = "text", doc_id: str = "doc_id", vocabulary: str | None = None, end: int = END) -> DataFrame:
     """Write the texts of ``df`` in ascending order of id (null first, equal ids by text) and return the manifest, one row per file.
 
@@ -74,7 +81,7 @@ def write_records(df: DataFrame, folder: str, text: str = "text", doc_id: str =
     def write(batches):
         task = TaskContext.get()
         name = f"part-{task.partitionId():06d}"
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = _store(folder)
         store.create_dir(base, recursive=True)
         trial = f"{base}/{name}-{task.taskAttemptId()}"
         records = tokens = at = 0
@@ -105,7 +112,7 @@ def read_records(manifest: DataFrame, folder: str) -> DataFrame:
     files = manifest.select("name", "n_records", F.coalesce(before, F.lit(0)).alias("before")).repartition(F.col("name"))
 
     def read(batches):
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = _store(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 start, found, n = row["before"], [], 0
@@ -131,7 +138,7 @@ def _records(found: list[tuple]) -> pa.RecordBatch:
 
 def read_at(folder: str, name: str, numbers: list[int]) -> list[tuple[int | None, np.ndarray]]:
     """Records of one file by number, in the order asked for, found through the index."""
-    store, base = fs.FileSystem.from_uri(folder)
+    store, base = _store(folder)
     out = []
     with store.open_input_file(f"{base}/{name}.index") as index, store.open_input_file(f"{base}/{name}.records") as records:
         for k in numbers:
@@ -143,6 +150,8 @@ def read_at(folder: str, name: str, numbers: list[int]) -> list[tuple[int | None
 
 
 def records_of(df: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Write the documents and read them back."""
+    """Write the documents and read them back. The files go with the session."""
     folder = shared_path(df.sparkSession, "records")
-    return read_records(write_records(df, folder, vocabulary=vocabulary), folder)
+    manifest = write_records(df, folder, vocabulary=vocabulary)
+    removed_at_exit(df.sparkSession, folder)
+    return read_records(manifest, folder)

@@ -11,7 +11,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -80,8 +79,11 @@ def pack(df: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",)
     """One row per piece: the columns named in ``carry``, start, length, ids_crc32, doc_tokens, sequence_id and offset.
 
     Every document ends with the id ``end``; a null or empty text is that id alone. Repeated rows are packed each on its own. Columns not
-    carried are left out, so none can clash. An empty table gives an empty one.
+    carried are left out, so none can clash; a carried one may not have a name of the result. An empty table gives an empty one.
     """
+    clash = {*carry} & {*[n for n, _ in PIECE], "is_open", "part", "ids"}
+    if clash or len({*carry}) < len(carry):
+        raise ValueError(f"these columns cannot be carried under their names: {sorted(clash) or list(carry)}")
     carried_fields = [df.schema[c] for c in carry]
     schema = StructType([*carried_fields, *[StructField(n, t) for n, t in PIECE],
                          StructField("is_open", BooleanType()), StructField("part", IntegerType()), StructField("ids", BinaryType())])
@@ -125,7 +127,7 @@ def pack(df: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",)
             break
         last = most < merged
         merging = rest.withColumn("part", F.floor(F.col("part") / merged).cast("int"))
-        rest = written(merging.groupBy("part").applyInPandas(_merge(carry, schema, length, open_windows, round_, last), schema), "merged")
+        rest = written(merging.groupBy("part").applyInArrow(_merge(carry, schema, length, open_windows, round_, last), schema), "merged")
         done.append(rest.where("not is_open"))
         if last:
             break
@@ -138,11 +140,10 @@ def pack(df: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",)
 
 def _merge(carry, schema: StructType, length: int, open_windows: int, round_: int, last: bool):
     """Repack the open pieces of a group of partitions: at most ``merged`` x ``open_windows`` windows."""
-    names = schema.names
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["sequence_id", "offset"], kind="stable")
-        part = int(pdf["part"].iloc[0])
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+        part = table["part"][0].as_py()
         # in the last round pieces may be cut at any place, so one open window is enough and only the last sequence is not full
         windows = Windows(length, 1 if last else open_windows, (1 << 62) + (round_ << 56) + (part << 32))
         rows = []
@@ -151,10 +152,11 @@ def _merge(carry, schema: StructType, length: int, open_windows: int, round_: in
             for p in pieces:
                 rows.append([*p[0], *_row(p), is_open, part, p[2].astype("<u4").tobytes() if is_open else None])
 
-        for value in pdf[[*carry, "start", "doc_tokens", "ids"]].itertuples(index=False, name=None):
-            ids = np.frombuffer(value[-1], dtype="<u4")
-            keep(windows.add([None if pd.isna(v) else v for v in value[:-3]], int(value[-3]), ids, int(value[-2])), False)
+        values = list(zip(*[table[c].to_pylist() for c in carry])) if carry else [()] * table.num_rows
+        for value, start, total, ids in zip(values, table["start"].to_pylist(), table["doc_tokens"].to_pylist(), table["ids"].to_pylist()):
+            keep(windows.add(value, start, np.frombuffer(ids, dtype="<u4"), total), False)
         keep(list(windows.rest()), not last)
-        return pd.DataFrame(rows, columns=names)
+        kinds = [table.schema.field(name).type for name in schema.names]
+        return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=schema.names)
 
     return run

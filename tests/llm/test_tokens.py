@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -33,10 +34,18 @@ def test_units_encode_as_whole_texts(plain, texts):
 
 
 def test_bounded_units(plain, monkeypatch):
+    """Units of the old generation come back, those of an older one are learnt anew."""
     monkeypatch.setattr("regulus.llm.tokens._MOST_UNITS", 3)
     own = Encoder(vocabulary_path())
-    texts = ["one two three four", "five six seven one", "eight two nine"]
-    assert [own.encode([t])[0].tolist() for t in texts] == [plain(t) for t in texts]
+    texts = ["one two, three four", "five six seven one", "eight two, nine", "one\ntwo three", "öne two... thrée\nfour4 don't", "eight two, nine"]
+    for t in texts:
+        assert own.encode(pa.array([t], pa.large_string()))[0].tolist() == plain(t)
+        assert len(own.young.units) <= 3 + 6
+
+
+def test_given_texts_encode_as_whole_texts(plain, sf_dir):
+    texts = pq.read_table(f"{sf_dir}/documents.parquet", columns=["text"])["text"].combine_chunks()
+    assert [x.tolist() for x in encoded(texts, vocabulary_path(), 1 << 16)] == [plain(t) for t in texts.to_pylist()]
 
 
 ROWS = [(1, "a b c"), (1, "a b c"), (None, "null id"), (3, None), (2, ""), (5, "word " * 3000 + "end"), (4, "x" * 5000), (None, None)]
@@ -129,3 +138,20 @@ def test_empty_tables(spark):
     assert pack(df).collect() == []
     from regulus.llm.binary_output import records_of
     assert records_of(df).collect() == []
+
+
+def test_packing_keeps_great_ids_beside_null(spark, plain):
+    """Ids above 2^53 and arrays come back as they are, next to nulls."""
+    great = 9007199254740993
+    rows = [(great, "a b", [1, 2]), (None, "c", None), (7, "d e f", [great]), (great + 2, "g", []), (-great, "h i", [None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tags array<long>").repartition(4)
+    got = pack(df, carry=("doc_id", "tags")).collect()
+    assert sorted(((r.doc_id, r.tags, r.ids_crc32) for r in got), key=str) == sorted(((i, t, crc(plain(x) + [0])) for i, x, t in rows), key=str)
+    assert len({r.sequence_id for r in got}) == 1
+
+
+@pytest.mark.parametrize("carry", [("start",), ("doc_id", "part"), ("doc_id", "doc_id")])
+def test_carried_names_that_clash_are_refused(spark, carry):
+    df = spark.createDataFrame([(1, "a", 2, 3)], "doc_id long, text string, start long, part long")
+    with pytest.raises(ValueError, match="cannot be carried"):
+        pack(df, carry=carry)
