@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import time
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from regulus.plans import oracle as o
 from regulus.plans import reports as r
 from regulus.plans.indicators import points
 from regulus.plans.registry import query
-from regulus.session import scratch_dir
+from regulus.session import new_folder, removed_at_exit
 from regulus.sources import gold, tables
 from regulus.streaming import audit_log, enrichment
 
@@ -236,13 +235,32 @@ def _(spark, d):
 @query("t11_audit_batches", "SELECT query_id, username, state, audit_day FROM a_log")
 def _(spark, d):
     """The same events through the audit stream, in batches of one file."""
-    root = f"{scratch_dir(spark)}/audit-{uuid.uuid4().hex}"
+    root = removed_at_exit(spark, new_folder(spark, "audit"))
     query_events(spark, d).repartition(3).write.text(f"{root}/in")
     stream = spark.readStream.schema("payload string").option("maxFilesPerTrigger", 1).text(f"{root}/in")
     audit_log.start_audit(stream, f"{root}/log", f"{root}/checkpoint").awaitTermination()
     return audit_log.read_audit(spark, f"{root}/log").select("query_id", "username", "state", "audit_day")
 
 
+@query("t11_flushed_events", """SELECT 'size' AS reason, CAST(count(*) // 5 AS BIGINT) AS flushes, CAST(5 * (count(*) // 5) AS BIGINT) AS events FROM a_log HAVING count(*) >= 5
+ UNION ALL SELECT 'age', CAST(1 AS BIGINT), CAST(count(*) % 5 AS BIGINT) FROM a_log HAVING count(*) % 5 > 0""")
+def _(spark, d):
+    """The same events through a buffer that is handed on at five events, or when the oldest has waited a second."""
+    root = removed_at_exit(spark, new_folder(spark, "flushes"))
+    events = query_events(spark, d)
+    events.write.text(f"{root}/in")
+    n, until = events.count(), time.monotonic() + 300
+    stream = spark.readStream.schema("payload string").text(f"{root}/in")
+    running = audit_log.start_flushing(stream, f"{root}/log", f"{root}/checkpoint", seconds=1, trigger="0 seconds")
+    try:
+        while audit_log.read_raw(spark, f"{root}/log").count() < n and running.isActive and time.monotonic() < until:
+            time.sleep(0.5)
+    finally:
+        running.stop()
+    flushes = audit_log.read_raw(spark, f"{root}/log").groupBy("flush", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return flushes.groupBy("reason").agg(F.count(F.lit(1)).alias("flushes"), F.sum("n").alias("events"))
+
+
 def _register_lookup(entity: str) -> dict:
     """Stands for a registry: one kind of entity it refuses, another it never answers for."""
     if int(entity) % 30 == 0:

@@ -1,8 +1,6 @@
 """Queries on the streamed tables: envelopes in, silver, quarantine and measurements out."""
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,16 +10,17 @@ from regulus.operators import latest
 from regulus.plans import oracle as o
 from regulus.plans.facts import ROUNDED, neat
 from regulus.plans.registry import query
-from regulus.session import scratch_dir
+from regulus.session import new_folder, removed_at_exit
 from regulus.sources import gold
-from regulus.streaming import changelog, operations
+from regulus.streaming import changelog, operations, retractions
 from regulus.streaming.medallion import Medallion
 
 DAY = 86_400_000
 REPEAT_EVERY, GROUPS = 7, 50
 #: What the last delivery does to the records of every fiftieth application: delete, turn invalid, turn valid, correct late.
 DELETED, SPOILT, MENDED, MOVED = 0, 1, 2, 3
-_streams: dict[tuple[str, str], tuple[Medallion, object]] = {}
+_streams: dict[tuple[str, str], tuple[Medallion, int]] = {}
+_retractions: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def _group():
@@ -48,28 +47,35 @@ def corrections(current: DataFrame) -> DataFrame:
             .select(*current.columns))
 
 
-def streamed(spark: SparkSession, sf_dir: str) -> tuple[Medallion, object]:
-    """Tables fed by a change log of four deliveries, and the time after the first. Fed once per application.
+def streamed(spark: SparkSession, sf_dir: str) -> tuple[Medallion, int]:
+    """Tables fed by a change log of four deliveries, and the commit of the first. Fed once per application.
 
     The deliveries are the first two revisions; the later ones with repeated old events; deletes and corrections; and under a
-    new checkpoint the whole log once more.
+    new checkpoint the whole log once more. The first two are folded into the base, so that reads meet a base and deltas.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _streams and _streams[key][0].last_commit(spark) is not None:
         return _streams[key]
-    root = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
+    root = removed_at_exit(spark, new_folder(spark, "stream"))
     history, current = gold.history(spark, sf_dir), gold.activities(spark, sf_dir)
     repeated = history.filter(F.col("record_id").cast("long") % REPEAT_EVERY == 0)
     deliveries = (
         envelopes(history.filter("revision <= 2"), "u", 0),
         envelopes(history.filter("revision > 2"), "u", 0).unionByName(envelopes(repeated, "u", 100_000_000_000)),
         envelopes(current.filter(_group() == DELETED), "d", 500_000_000_000).unionByName(envelopes(corrections(current), "u", 0)))
-    medallion, first = Medallion(f"{root}/lake"), None
+    medallion, first, runs = Medallion(f"{root}/lake"), None, []
+    log = operations.watch(spark, f"{root}/progress")
     for number, events in enumerate(deliveries):
         events.write.json(f"{root}/log/delivery={number}")
-        medallion.start(changelog.file_source(spark, f"{root}/log/*"), f"{root}/checkpoint").awaitTermination()
+        runs.append(medallion.start(changelog.file_source(spark, f"{root}/log/*"), f"{root}/checkpoint"))
+        runs[-1].awaitTermination()
         first = first or medallion.last_commit(spark)
-    medallion.start(changelog.file_source(spark, f"{root}/log/*"), f"{root}/checkpoint-2").awaitTermination()
+        if number == 1:
+            medallion.fold(spark)
+    runs.append(medallion.start(changelog.file_source(spark, f"{root}/log/*"), f"{root}/checkpoint-2"))
+    runs[-1].awaitTermination()
+    operations.recorded(spark, f"{root}/progress", runs)
+    spark.streams.removeListener(log)
     _streams[key] = medallion, first
     return _streams[key]
 
@@ -166,10 +172,88 @@ def _(spark, d):
         "process_code", "age_minutes", "fresh")
 
 
-@query("s03_pinned_snapshot", """SELECT record_id, revision FROM (SELECT * FROM f_history WHERE revision<=2
- QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY revision DESC)=1) WHERE """ + o.VALID
-       + " AND cohort_month>='1997-01'")
+_PINNED = """SELECT record_id, revision FROM (SELECT * FROM f_history WHERE revision<=2
+ QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY revision DESC)=1) WHERE """ + o.VALID + " AND cohort_month>='1997-01'"
+
+
+@query("t12_commit_freshness", f"""SELECT 'medallion_activities' AS name, CAST(4 AS BIGINT) AS commits, CAST(2*count(*) AS BIGINT) AS rows,
+ CAST(0 AS BIGINT) AS running, CAST(0 AS BIGINT) AS failed, true AS fresh FROM (SELECT record_id FROM f_history
+ UNION ALL SELECT record_id FROM f_history WHERE CAST(record_id AS BIGINT)%{REPEAT_EVERY}=0
+ UNION ALL SELECT record_id FROM f_activities WHERE {_G} IN ({DELETED},{SPOILT},{MENDED},{MOVED}))""")
+def _(spark, d):
+    """What the stored progress tells of the query that fed the tables; it has committed within a day."""
+    root = streamed(spark, d)[0].root.removesuffix("/lake")
+    return operations.commit_freshness(spark, f"{root}/progress", max_age_minutes=1440).select(
+        "name", "commits", "rows", "running", "failed", "fresh")
+
+
+def retracted(spark: SparkSession, sf_dir: str) -> str:
+    """The retraction log of the same deliveries, in several batches. Written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    source = streamed(spark, sf_dir)[0].root.removesuffix("/lake")
+    if _retractions.get(key, ("", ""))[0] != source:
+        root = removed_at_exit(spark, new_folder(spark, "retractions"))
+        retractions.start_retractions(changelog.file_source(spark, f"{source}/log/*", 12), root, f"{root}/checkpoint").awaitTermination()
+        _retractions[key] = source, root
+    return _retractions[key][1]
+
+
+@query("t04_retraction_log", f"SELECT {ROUNDED} FROM h_valid")
+def _(spark, d):
+    """Silver from the log of what entered and what left it."""
+    return neat(retractions.table(spark, retracted(spark, d), "silver"))
+
+
+@query("t02_retraction_quarantine", f"""SELECT record_id, revision, cohort_month FROM h_last
+ WHERE NOT coalesce({o.VALID}, false) AND {_G}<>{DELETED}""")
+def _(spark, d):
+    """Quarantine from the same log."""
+    return retractions.table(spark, retracted(spark, d), "quarantine").select("record_id", "revision", "cohort_month")
+
+
+@query("t07_measurement_events", "SELECT " + ", ".join(
+    f"{o.rnd(n)} AS {n}" if n == "measured_value" else n for n in MEASUREMENT_COLUMNS) + " FROM h_measurements")
+def _(spark, d):
+    """The measurements from the log of those that came and went."""
+    return retractions.measured(spark, retracted(spark, d)).withColumn("measured_value", x.rounded("measured_value"))
+
+
+@query("s03_pinned_snapshot", _PINNED)
 def _(spark, d):
     """The tables as the first delivery left them, from one cohort on."""
     medallion, first = streamed(spark, d)
     return medallion.silver(spark, as_of=first, since="1997-01").select("record_id", "revision")
+
+
+@query("s03_pinned_after_fold", _PINNED)
+def _(spark, d):
+    """The same pin after everything that waits has been folded into the base."""
+    medallion, first = streamed(spark, d)
+    medallion.fold(spark)
+    return medallion.silver(spark, as_of=first, since="1997-01").select("record_id", "revision")
+
+
+@query("w12_state_intervals", f"""WITH s AS (
+ SELECT record_id, max(revision) AS revision, 1 AS c FROM f_history WHERE revision<=2 GROUP BY 1
+ UNION ALL SELECT record_id, max(revision), 2 FROM f_history GROUP BY 1 HAVING max(revision)>2 OR CAST(record_id AS BIGINT)%{REPEAT_EVERY}=0
+ UNION ALL SELECT record_id, revision, 3 FROM h_last WHERE {_G} IN ({DELETED},{SPOILT},{MENDED},{MOVED}))
+ SELECT record_id AS record_key, CAST(revision AS INT) AS revision, CAST(c AS BIGINT) AS from_commit,
+ CAST(lead(c) OVER (PARTITION BY record_id ORDER BY c) AS BIGINT) AS upto_commit FROM s""")
+def _(spark, d):
+    """Every state that ever was current, with the commits from which and up to which it held."""
+    return streamed(spark, d)[0].intervals(spark).select("record_key", "revision", "from_commit", "upto_commit")
+
+
+@query("k11_compacted_tables", f"""SELECT cohort_month, disposition, count(*) AS records, CAST(1 AS BIGINT) AS files FROM (
+ SELECT cohort_month, CASE WHEN {_G}={DELETED} THEN 'deleted' WHEN coalesce({o.VALID}, false) THEN 'valid' ELSE 'quarantine' END AS disposition FROM h_last)
+ GROUP BY 1, 2""")
+def _(spark, d):
+    """Four deliveries in small files, compacted: one file for each month and kind of state."""
+    root = removed_at_exit(spark, new_folder(spark, "compacted"))
+    source = streamed(spark, d)[0].root.removesuffix("/lake")
+    small = Medallion(f"{root}/lake")
+    small.start(changelog.file_source(spark, f"{source}/log/*", 8), f"{root}/checkpoint").awaitTermination()
+    small.compact(spark)
+    rows = small.base_files(spark).filter(F.col("table") != "past")
+    return rows.groupBy("cohort_month", F.col("table").alias("disposition")).agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("file").alias("files"))

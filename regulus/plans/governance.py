@@ -305,11 +305,9 @@ def _(spark, d):
 @query("k08_export_file", _EXPORTED)
 def _(spark, d):
     """The same rows from the one CSV file they are written to."""
-    import uuid
-
-    from regulus.session import scratch_dir
+    from regulus.session import new_folder, removed_at_exit
     from regulus.sources.export import write_csv
-    path = f"{scratch_dir(spark)}/export-{uuid.uuid4().hex}"
+    path = removed_at_exit(spark, new_folder(spark, "export")) + "/rows"
     write_csv(exported(spark, d), path)
     rows = spark.read.option("header", True).csv(path)
     return rows.toDF("record_id", "cohort_month", "status", "revision").withColumn("revision", F.col("revision").cast("int"))

@@ -501,9 +501,7 @@ def _(spark, d):
 @query("s04_document_source", _POINTS_SQL)
 def _(spark, d):
     """Documents written as JSON and read back with all required sections: the flattened points are the ones that went in."""
-    import uuid
-
-    from regulus.session import scratch_dir
-    path = f"{scratch_dir(spark)}/document-{uuid.uuid4().hex}"
+    from regulus.session import new_folder, removed_at_exit
+    path = removed_at_exit(spark, new_folder(spark, "document")) + "/rows"
     document.documents(sections(spark, d)).write.json(path)
     return document.flatten(document.read_documents(spark, path)).withColumn("value", x.rounded("value"))

@@ -58,6 +58,14 @@ def removed_at_exit(spark: SparkSession, path: str) -> str:
     return path
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new, still empty folder below the shared one."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    store, folder = _file_system(spark, path)
+    store.mkdirs(folder)
+    return path
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     store, folder = _file_system(spark, path)
     store.delete(folder, True)

@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.readwriter import DataFrameWriter
 
+#: State of arbitrary stateful operators is kept in this store; it spills to local disk and is checkpointed to the shared folder.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
 
 def batch_folder(batch: DataFrame, batch_id: int, run: str | None = None) -> str:
     """The relative folder of a batch; ``run`` is the id of the streaming query that runs it, unless given."""
@@ -22,18 +25,42 @@ def replacing(df: DataFrame) -> DataFrameWriter:
     return df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
 
 
+def _at(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def folders(spark: SparkSession, pattern: str) -> list[str]:
     """Existing files or folders that a pattern matches."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return [status.getPath().toString() for status in found or []]
+    store, path = _at(spark, pattern)
+    return [status.getPath().toString() for status in store.globStatus(path) or []]
+
+
+def bytes_below(spark: SparkSession, paths: list[str]) -> int:
+    """The length of all files below some folders."""
+    total = 0
+    for name in paths:
+        store, path = _at(spark, name)
+        total += store.getContentSummary(path).getLength()
+    return total
 
 
 def remove(spark: SparkSession, paths: list[str]) -> int:
     """Delete files or folders on whatever file system holds them; returns how many were there."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
     for name in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        removed += bool(path.getFileSystem(conf).delete(path, True))
+        store, path = _at(spark, name)
+        removed += bool(store.delete(path, True))
     return removed
+
+
+def write_text(spark: SparkSession, name: str, text: str) -> None:
+    """A small file with some text; readers see it when it is whole."""
+    store, path = _at(spark, name)
+    trial = spark._jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}")
+    out = store.create(trial, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    store.rename(trial, path)

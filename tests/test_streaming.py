@@ -9,8 +9,8 @@ from regulus.contract import FACT_COLUMNS, MEASUREMENT_COLUMNS
 from regulus.operators import quality
 from regulus.operators.measurements import measurements
 from regulus.sources import tables
-from regulus.streaming import audit_log, changelog, enrichment, operations, retention
-from regulus.streaming.medallion import Medallion
+from regulus.streaming import audit_log, changelog, enrichment, operations, retention, runs
+from regulus.streaming.medallion import Medallion, PinLost
 
 
 def medallion(tmp_path):
@@ -193,20 +193,118 @@ def test_bronze_and_audit_keep_the_rows_of_an_old_checkpoint(spark, tmp_path):
     assert sorted(r["query_id"] for r in audit_log.read_audit(spark, str(tmp_path / "log")).collect()) == ["x", "y"]
 
 
-def test_fold_compaction_and_pins(spark, tmp_path):
+def months_written(spark, m):
+    return {f.split("cohort_month=")[1]: f for f in runs.folders(spark, f"{m.path}/base/upto=*/kept=*/table=valid/cohort_month=*/*.parquet")}
+
+
+def delivered(spark, tmp_path, m, k, *events):
+    m.apply(raw_of(spark, str(tmp_path / f"b{k}"), *events, offset=10 * k), k, "r")
+
+
+def test_fold_and_pins(spark, tmp_path):
+    """Every pin gives the same rows before and after folds, or is refused; no delta folder is left."""
+    m = medallion(tmp_path)
+    assert m.last_commit(spark) is None and m.silver(spark).isEmpty() and m.fold(spark) == []
+    pins = {}
+    for k in range(4):
+        delivered(spark, tmp_path, m, k, envelope("u", done("r1", k + 1)), envelope("u", done("r2", k + 1, cohort_month="2026-02")),
+                  envelope("d" if k else "c", done("r3", k + 1)), envelope("u", done(f"n{k}", 1, touch_days=1.0 - 2 * (k % 2))))
+        pins[m.last_commit(spark)] = (ids(m.silver(spark)), ids(m.quarantine(spark)), sorted(map(str, m.measurements(spark).collect())))
+        if k == 1:
+            assert m.fold(spark) == ["2026-01", "2026-02"]
+    assert list(pins) == [1, 2, 3, 4] and pins[1][0] == [("n0", 1), ("r1", 1), ("r2", 1), ("r3", 1)]
+    want = sorted(map(str, m.intervals(spark).collect()))
+
+    def check(commits):
+        for commit in commits:
+            silver, quarantine, kpis = pins[commit]
+            assert ids(m.silver(spark, as_of=commit)) == silver and ids(m.quarantine(spark, as_of=commit)) == quarantine
+            assert sorted(map(str, m.measurements(spark, as_of=commit).collect())) == kpis
+        assert sorted(map(str, m.measurements(spark).collect())) == pins[4][2] and ids(m.silver(spark)) == pins[4][0]
+        assert ids(m.silver(spark, since="2026-02")) == [("r2", 4)] and ids(m.silver(spark, since="2026-02", as_of=2)) == [("r2", 2)]
+
+    check(pins)
+    m.fold(spark)
+    check(pins)
+    assert sorted(map(str, m.intervals(spark).collect())) == want and runs.folders(spark, f"{m.path}/delta/commit=*") == []
+    for commit in (0, 5):
+        with pytest.raises(PinLost):
+            m.silver(spark, as_of=commit)
+    delivered(spark, tmp_path, m, 4, envelope("u", done("r1", 5)), envelope("u", done("r2", 9, cohort_month="2026-02")))
+    m.fold(spark, keep_from=4)
+    with pytest.raises(PinLost, match="there are 4 to 5"):
+        m.silver(spark, as_of=3)
+    assert ids(m.silver(spark, as_of=4)) == pins[4][0] and ids(m.silver(spark, since="2026-02")) == [("r2", 9)]
+
+
+def test_a_fold_writes_touched_months_only(spark, tmp_path):
+    m = medallion(tmp_path)
+    delivered(spark, tmp_path, m, 0, *[envelope("c", done(f"r{i}", 1, cohort_month=f"2026-0{1 + i % 3}")) for i in range(9)])
+    m.fold(spark)
+    before = months_written(spark, m)
+    delivered(spark, tmp_path, m, 1, envelope("u", done("r1", 2, cohort_month="2026-02")))
+    assert m.compact(spark) == [] and m.compact(spark, commits=0) == ["2026-02"]
+    after = months_written(spark, m)
+    assert len(before) == 3
+    changed = {f for f in after.values()} - {f for f in before.values()}
+    assert len(after) == 3 and len(changed) == 1 and "cohort_month=2026-02" in changed.pop()
+    assert ids(m.silver(spark)) == [("r0", 1), ("r1", 2), *[(f"r{i}", 1) for i in range(2, 9)]]
+
+
+def test_a_read_neither_shuffles_nor_ranks_the_base(spark, tmp_path):
+    m = medallion(tmp_path)
+    delivered(spark, tmp_path, m, 0, *[envelope("c", done(f"r{i}", 1, cohort_month=f"2026-0{1 + i % 3}")) for i in range(9)])
+    m.fold(spark)
+    assert "Exchange" not in plan_of(m.silver(spark)) and "Exchange" not in plan_of(m.measurements(spark))
+    delivered(spark, tmp_path, m, 1, envelope("u", done("r1", 2, cohort_month="2026-02")))
+    for df in (m.silver(spark), m.quarantine(spark), m.measurements(spark)):
+        old, new = plan_of(df).split("BroadcastExchange")[:2]
+        assert "LeftAnti" in old and "Exchange hashpartitioning" not in old and "Window" not in old  # the base's side of the union
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_fold_that_stops_half_way(spark, tmp_path, monkeypatch):
+    """Before the generation is complete reads stay with the deltas, after it with the base; the next fold ends it either way."""
+    for stop in ("measurements", "remove"):
+        m = Medallion(str(tmp_path / stop))
+        delivered(spark, tmp_path / stop, m, 0, envelope("c", done("r1", 1)), envelope("c", done("r2", 1)))
+        m.fold(spark)
+        delivered(spark, tmp_path / stop, m, 1, envelope("u", done("r1", 2)), envelope("d", done("r2", 2)))
+        with monkeypatch.context() as broken:
+            def fail(*args, **kwargs):
+                raise RuntimeError("stopped")
+            broken.setattr(f"regulus.streaming.medallion.{stop}", fail)
+            with pytest.raises(RuntimeError, match="stopped"):
+                m.fold(spark)
+        for _ in range(2):
+            assert ids(m.silver(spark)) == [("r1", 2)] and ids(m.silver(spark, as_of=1)) == [("r1", 1), ("r2", 1)]
+            assert m.measurements(spark).count() == 2 and m.state(spark).count() == 2
+            delivered(spark, tmp_path / stop, m, 2, envelope("u", done("r1", 1)))
+            m.fold(spark)
+        assert runs.folders(spark, f"{m.path}/delta/commit=*") == []
+
+
+def test_many_deltas_fold_by_themselves(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("regulus.streaming.medallion.DELTA_COMMITS", 2)
     m = medallion(tmp_path)
-    for k in range(3):
-        m.apply(raw_of(spark, str(tmp_path / f"b{k}"), envelope("u", done("r1", k + 1)), envelope("u", done("r2", k + 1, cohort_month="2026-02")),
-                       envelope("d" if k else "c", done("r3", k + 1)), offset=10 * k), k, "r")
-        first = m.last_commit(spark) if k == 0 else first
-    assert ids(m.silver(spark, as_of=first)) == [("r1", 1), ("r2", 1), ("r3", 1)] and ids(m.silver(spark, since="2026-02")) == [("r2", 3)]
-    before = sorted(map(str, m.state(spark).collect()))
-    assert m.changes(spark).count() == 9
-    m.fold(spark, ["2026-01"])
-    assert m.changes(spark).count() == 5 and sorted(map(str, m.state(spark).collect())) == before
-    assert m.compact(spark, target_bytes=1) == []  # no month has more files than its bytes ask for
-    assert m.compact(spark) == ["2026-02"] and m.changes(spark).count() == 3
-    assert sorted(map(str, m.state(spark).collect())) == before and m.compact(spark) == []
+    for k in range(4):
+        delivered(spark, tmp_path, m, k, envelope("u", done("r1", k + 1)), envelope("c", done(f"n{k}", 1, cohort_month="")))
+        assert len(m.stored(spark).deltas) <= 2
+    assert ids(m.silver(spark)) == [*[(f"n{k}", 1) for k in range(4)], ("r1", 4)]
+    m.fold(spark)
+    delivered(spark, tmp_path, m, 9, envelope("d", done("n1", 2, cohort_month="")))
+    assert {r["cohort_month"] for r in m.measurements(spark).filter("activity_id like 'n%'").collect()} == {""}
+    assert sorted({r["activity_id"] for r in m.measurements(spark).collect()}) == ["n0", "n2", "n3", "r1"]
+    # beyond the bound in bytes deltas are not sent to all tasks, with the same result
+    monkeypatch.setattr("regulus.streaming.medallion.DELTA_COMMITS", 64)
+    delivered(spark, tmp_path, m, 4, envelope("u", done("r1", 5)))
+    monkeypatch.setattr("regulus.streaming.medallion.DELTA_BYTES", 1)
+    assert ("r1", 5) in ids(m.silver(spark))
+    delivered(spark, tmp_path, m, 5, envelope("u", done("r1", 6)))
+    assert m.stored(spark).deltas == {} and ("r1", 6) in ids(m.silver(spark))
 
 
 def test_erasure_reaches_every_place(spark, tmp_path):
@@ -233,7 +331,8 @@ def test_freshness_and_single_writer(spark, tmp_path):
     m = medallion(tmp_path)
     m.apply(raw_of(spark, str(tmp_path / "in"), envelope("c", done("r1", 1))), 0, "r")
     changes = m.changes(spark).withColumn("family", F.lit(m.family))
-    for now, fresh in ((m.last_commit(spark), True), ("2100-01-01 00:00:00", False)):
+    last = changes.agg(F.max("committed_at")).first()[0]
+    for now, fresh in ((last, True), ("2100-01-01 00:00:00", False)):
         got = operations.freshness(changes, ["family"], F.col("committed_at"), now).collect()
         assert [(r["family"], r["fresh"]) for r in got] == [("activities", fresh)]
     with pytest.raises(RuntimeError, match="expected one running"):
