@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from regulus import contract as c
 from regulus.functions.columns import masked
 from regulus.operators.measurements import inline
-from regulus.operators.quantiles import running_total_before
+from regulus.operators.quantiles import prefix_sums
 
 
 # ---- masking ------------------------------------------------------------------------------------
@@ -177,9 +177,8 @@ def sandbox_plan(items: DataFrame, as_of_ms: int, ttl_days: int, quota_mb: float
     rows = items.filter(F.col("kind") == "TABLE").withColumn("old", old)
     totals = rows.groupBy("schema_name").agg(F.sum("megabytes").alias("total"))
     changed = F.coalesce("last_changed", F.lit(-c.DAY_MS))
-    freed = running_total_before(
-        rows.withColumn("_at", changed), ["schema_name"], F.floor(F.col("_at") / c.DAY_MS),
-        ["_at", "name"], F.when(F.col("old"), 0.0).otherwise(F.col("megabytes")), "freed")
+    freed = prefix_sums(rows.withColumn("_at", changed), ["schema_name"], ["_at", "name"],
+                        F.when(F.col("old"), 0.0).otherwise(F.col("megabytes")), "freed")
     over = (F.col("total") > quota_mb) & (F.col("total") - F.col("freed") > quota_mb)
     return (freed.join(totals, "schema_name").select(
         "schema_name", "name", "megabytes",

@@ -74,6 +74,58 @@ def multiset_difference(expected: DataFrame, actual: DataFrame, columns: list[st
             .filter(F.col("expected_copies") != F.col("actual_copies")))
 
 
+def _row_hashes(df: DataFrame, columns: list[str]) -> list[Column]:
+    """Two 64-bit hashes of a row that tell nulls, and the places of equal values, apart; zeros of either sign are equal."""
+    parts = []
+    for name, kind in df.select(*columns).dtypes:
+        value = F.col(name)
+        parts += [value.isNull(), F.when(value == 0, F.lit(0).cast(kind)).otherwise(value) if kind in ("double", "float") else value]
+    return [F.xxhash64(F.lit(mark), *parts) for mark in ("first", "second")]
+
+
+def fingerprints(df: DataFrame, cohort: str, columns: list[str]) -> DataFrame:
+    """(cohort, rows, first, second): what equal multisets of rows have in common, whatever their order.
+
+    A fingerprint is the number of rows and the sums of two hashes of each, so tasks add up their own rows and one row per cohort
+    moves. Different multisets agree by chance only, with odds of about one in 2^128.
+    """
+    first, second = (F.sum(h.cast("decimal(20,0)")) for h in _row_hashes(df, columns))
+    return df.groupBy(F.col(cohort).alias("cohort")).agg(F.count(F.lit(1)).alias("rows"), first.alias("first"), second.alias("second"))
+
+
+def differing_cohorts(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """The cohorts whose fingerprints differ, those that one side lacks included."""
+    e, a = (side.select("cohort", F.struct("rows", "first", "second").alias(name)) for side, name in ((expected, "e"), (actual, "a")))
+    both = e.join(a, e["cohort"].eqNullSafe(a["cohort"]), "full").select(F.coalesce(e["cohort"], a["cohort"]).alias("cohort"), "e", "a")
+    return both.filter(~F.col("e").eqNullSafe(F.col("a"))).select("cohort")
+
+
+#: Differing cohorts up to which they are named in the scans' filters; more of them are joined.
+MOST_NAMED = 1000
+
+
+def reconcile(expected: DataFrame, actual: DataFrame, cohort: str, columns: list[str],
+              fingerprints_of: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Rows whose number of copies differs, with both counts; only rows of cohorts with different fingerprints are compared.
+
+    Where a table is partitioned by cohort, the others are not even read in the comparison. ``fingerprints_of`` takes fingerprints that
+    are stored with the tables; they must be of these columns. Columns of one name must have one type on both sides.
+    """
+    kinds = [dict(df.select(cohort, *columns).dtypes) for df in (expected, actual)]
+    if kinds[0] != kinds[1]:
+        raise ValueError(f"types differ: {sorted(set(kinds[0].items()) ^ set(kinds[1].items()))}")
+    stored = fingerprints_of or tuple(fingerprints(df, cohort, columns) for df in (expected, actual))
+    cohorts = differing_cohorts(*stored)
+    named = [r["cohort"] for r in cohorts.limit(MOST_NAMED + 1).collect()]
+    if len(named) > MOST_NAMED:
+        sides = [df.join(cohorts.withColumnRenamed("cohort", "_c"), df[cohort].eqNullSafe(F.col("_c")), "left_semi") for df in (expected, actual)]
+    else:
+        wanted = F.col(cohort).isin([n for n in named if n is not None])
+        wanted = wanted | F.col(cohort).isNull() if None in named else wanted
+        sides = [df.filter(wanted) for df in (expected, actual)]
+    return multiset_difference(*sides, [cohort, *[n for n in columns if n != cohort]])
+
+
 def submission_reasons() -> Column:
     """Why an intake row is refused; an empty array means accepted."""
     f = F.col

@@ -145,12 +145,27 @@ def _(spark, d):
 def _(spark, d):
     """Source history reduced to its last state against the stored table: no row may differ."""
     columns = ["record_id", "status", "revision"]
-    source = latest.latest_state(gold.history(spark, d).select("application_id", *columns),
+    source = latest.latest_state(gold.history(spark, d).select("application_id", "cohort_month", *columns),
                                  ["application_id", "record_id"], ["revision"])
-    return q.multiset_difference(source, gold.activities(spark, d), columns).agg(
+    return q.reconcile(source, gold.activities(spark, d), "cohort_month", columns).agg(
         F.count(F.lit(1)).alias("rows")).select(F.lit("differing").alias("kind"), "rows")
 
 
+_SPOILT = "cohort_month IN ('1996-03', '1997-05') AND CAST(application_id AS BIGINT)%3=0"
+
+
+@query("g10_changed_cohorts", f"""SELECT * FROM (SELECT cohort_month, record_id, status, CAST(1 AS BIGINT) AS expected_copies, CAST(0 AS BIGINT) AS actual_copies
+ FROM f_activities WHERE {_SPOILT} AND cohort_month='1996-03'
+ UNION ALL SELECT cohort_month, record_id, status || '?', 0, 1 FROM f_activities WHERE {_SPOILT} AND cohort_month='1996-03'
+ UNION ALL SELECT cohort_month, record_id, status, 1, 2 FROM f_activities WHERE {_SPOILT} AND cohort_month='1997-05')""")
+def _(spark, d):
+    """A copy in which some rows of one cohort are altered and some of another doubled: fingerprints name the cohorts, and only those are compared."""
+    good = gold.activities(spark, d)
+    altered = good.withColumn("status", F.when(F.expr(f"{_SPOILT} AND cohort_month='1996-03'"), F.concat("status", F.lit("?"))).otherwise(F.col("status")))
+    copy = altered.unionByName(good.filter(f"{_SPOILT} AND cohort_month='1997-05'"))
+    return q.reconcile(good, copy, "cohort_month", ["record_id", "status"])
+
+
 @query("u07_multiset_equality", """SELECT process_code, activity_type, route, expected_copies, actual_copies FROM
  (SELECT process_code, activity_type, route, count(*) AS expected_copies FROM f_activities GROUP BY 1,2,3)
  JOIN (SELECT process_code, activity_type, route, count(*) AS actual_copies FROM f_valid GROUP BY 1,2,3)

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from regulus.functions import columns as x
-from regulus.operators import graph, inventory as inv, lineage
+from regulus.operators import graph, inventory as inv, lineage, postings as post
 from regulus.plans import oracle as o
 from regulus.plans.registry import query
 from regulus.sources import gold, tables
@@ -480,12 +480,20 @@ def _(spark, d):
 _TERMS = ("the", "and", "of")
 
 
+def index(spark, d):
+    """The postings of all documents and how many documents each term has, built once."""
+    stored = gold.stored(spark, d, "postings", lambda: post.postings(tables.read(spark, d, "documents"), "doc_id", "text"), "bucket", ("term",))
+    return stored, gold.stored(spark, d, "frequencies", lambda: post.frequencies(stored), "bucket", ("term",))
+
+
 @query("n07_all_terms_search", """SELECT doc_id, source, CAST(len(hits) AS INT) AS score FROM (SELECT doc_id, source,
  list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w IN ('the','and','of')) AS hits FROM documents)
  WHERE len(list_distinct(hits))=3""")
 def _(spark, d):
-    """Documents that contain every term, over their whole text."""
-    return inv.keyword_search(tables.read(spark, d, "documents"), list(_TERMS), "doc_id", "text", "source")
+    """Documents that contain every term, over their whole text; the texts are read once, when the index is built."""
+    hits = post.search(*index(spark, d), list(_TERMS), "doc_id")
+    return tables.read(spark, d, "documents").select("doc_id", "source").join(hits, "doc_id").select(
+        "doc_id", "source", F.col("score").cast("int").alias("score"))
 
 
 @query("n07_ranked_search", """SELECT doc_id, quality, CAST(len(hits) AS INT) AS score FROM (SELECT d.doc_id, quality,
@@ -493,6 +501,6 @@ def _(spark, d):
  WHERE len(list_distinct(hits))=2 ORDER BY quality DESC NULLS LAST, score DESC, doc_id LIMIT 20""")
 def _(spark, d):
     """The twenty best hits: better tier first, then more occurrences; documents without a tier come last."""
-    texts = tables.read(spark, d, "documents").join(tables.read(spark, d, "labels"), "doc_id", "left")
-    return (inv.keyword_search(texts, ["and", "the"], "doc_id", "text", "quality")
+    hits = post.search(*index(spark, d), ["and", "the"], "doc_id").join(tables.read(spark, d, "labels"), "doc_id", "left")
+    return (hits.select("doc_id", "quality", F.col("score").cast("int").alias("score"))
             .orderBy(F.desc_nulls_last("quality"), F.desc("score"), "doc_id").limit(20))

