@@ -2,8 +2,10 @@
 
 A source whose target is t and whose size is s takes each document t / s times on average: the whole part for certain, the rest as an
 inclusion probability. The cube method moves the probabilities of a block of documents through the null space of the balancing
-constraints (tokens and documents) until all but a few are 0 or 1, so both totals stay what they were. The few of all blocks form the
-next round's blocks, until one small landing problem per source remains. Sources of any size are split into blocks of bounded size.
+constraints (tokens and documents) until all but a few are 0 or 1, so both totals stay what they were. The few of all blocks, and some of every
+size that no flight moved, form the next round's blocks, until one small landing problem per source remains: of the roundings of its
+units one that comes near to the totals. Sources of any size are split into blocks of bounded size; rows that are equal in everything
+are numbered and dealt to blocks by their number, so that many of them make many blocks.
 """
 from __future__ import annotations
 
@@ -11,7 +13,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regulus.llm.store import row_key, written
@@ -21,8 +23,10 @@ from regulus.llm.words import SPACES
 WEIGHTS = (5, 2, 1)
 #: No document is taken more often.
 MOST_TIMES = 3
-#: Documents of a block.
-BLOCK = 2_000
+#: Documents of a block, those of a block that no flight moves but that are kept for the landing, and those whose roundings are all tried.
+BLOCK, KEPT, TRIED = 2_000, 64, 12
+#: Orders in which a landing is tried.
+ORDERS = 64
 _EDGE = 1e-9
 
 
@@ -64,18 +68,48 @@ def flight(p: np.ndarray, sizes: np.ndarray, random: np.random.Generator) -> np.
     return np.clip(np.array(value), 0.0, 1.0)
 
 
+def kept_back(p: np.ndarray, sizes: np.ndarray, most: int = KEPT) -> np.ndarray:
+    """The fractional units that wait for the landing: some of every size, so that their roundings make up for almost any number of tokens."""
+    open_ = np.flatnonzero((p > _EDGE) & (p < 1 - _EDGE))
+    if len(open_) <= most:
+        return open_
+    by_size = open_[np.argsort(sizes[open_], kind="stable")]
+    return by_size[np.unique(np.linspace(0, len(by_size) - 1, most).round().astype(int))]
+
+
+def settled(p: np.ndarray, sizes: np.ndarray, last: bool, random: np.random.Generator) -> np.ndarray:
+    """One flight over all units but those kept back, and in the last round the landing of what is left."""
+    moved = np.ones(len(p), dtype=bool)
+    moved[kept_back(p, sizes)] = False
+    p = p.copy()
+    if moved.any():
+        p[moved] = flight(p[moved], sizes[moved], random)
+    return landing(p, sizes, random) if last else p
+
+
 def landing(p: np.ndarray, sizes: np.ndarray, random: np.random.Generator) -> np.ndarray:
-    """Settle the last few units: of all roundings the one whose tokens, then documents, come nearest to what was expected."""
+    """Settle the last units. In many orders, the larger ones are rounded one by one, each to where the tokens then come nearest to what was
+    expected, and all roundings of the smallest ones are tried; the outcome whose tokens, then documents, come nearest is taken."""
     open_ = np.flatnonzero((p > _EDGE) & (p < 1 - _EDGE))
     if len(open_) == 0:
         return np.round(p)
-    choices = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
-    tokens = np.abs(choices @ sizes[open_] - p[open_] @ sizes[open_])
-    number = np.abs(choices.sum(axis=1) - p[open_].sum())
-    best = np.lexsort((random.random(len(choices)), number, tokens))[0]
-    p = p.copy()
-    p[open_] = choices[best]
-    return np.round(p)
+    open_ = open_[np.lexsort((random.random(len(open_)), -sizes[open_]))]
+    large, small = open_[:max(0, len(open_) - TRIED)], open_[max(0, len(open_) - TRIED):]
+    choices = (np.arange(1 << len(small))[:, None] >> np.arange(len(small))) & 1
+    tokens, number = choices @ sizes[small] - p[small] @ sizes[small], choices.sum(axis=1) - p[small].sum()
+    best = None
+    for turn in range(ORDERS if len(large) else 1):
+        out, off, more = p.copy(), 0.0, 0.0
+        for i in large if turn == 0 else random.permutation(large):
+            up, down = off + (1 - p[i]) * sizes[i], off - p[i] * sizes[i]
+            out[i] = float(abs(up) < abs(down))
+            off, more = (up, more + 1 - p[i]) if out[i] else (down, more - p[i])
+        k = np.lexsort((random.random(len(choices)), np.abs(more + number), np.abs(off + tokens)))[0]
+        out[small] = choices[k]
+        missed = abs(off + tokens[k]), abs(more + number[k])
+        if best is None or missed < best[0]:
+            best = missed, out
+    return np.round(best[1])
 
 
 def _seed(*parts: object) -> np.random.Generator:
@@ -119,11 +153,10 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_
 def _settle(units: DataFrame, block, last: bool, seed: str) -> DataFrame:
     """One round over blocks of (source, block)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["key", "copy"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["key", "equal"], kind="stable").reset_index(drop=True)
         random = _seed(seed, pdf["source_key"].iloc[0], pdf["block"].iloc[0], len(pdf))
         sizes = pdf["size"].to_numpy(dtype=float)
-        p = flight(pdf["p"].to_numpy(dtype=float), sizes, random)
-        pdf["p"] = landing(p, sizes, random) if last else p
+        pdf["p"] = settled(pdf["p"].to_numpy(dtype=float), sizes, last, random)
         return pdf
 
     return units.withColumn("block", block).groupBy("source_key", "block").applyInPandas(run, units.withColumn("block", block).schema)
@@ -151,10 +184,10 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", weights: tupl
     rated = (_with_targets(rows, targets)
              .withColumn("whole", whole).withColumn("p", F.greatest(F.lit(0.0), rate - F.col("whole"))))
     open_ = F.when(F.col("size") > 0, F.col("p")).otherwise(F.lit(0.0)) > _EDGE
-    units = rated.where(open_).select(source_key.alias("source_key"), "key", "copy", "size", "p", "n")
+    units = _numbered(rated.where(open_).select(source_key.alias("source_key"), "key", "copy", "size", "p", "n"))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / block))
     round_, seeds = 0, f"{seed}-0"
-    current = written(_settle(units, F.pmod(F.xxhash64("key", F.lit(seeds)), blocks).cast("long"), False, seeds), "flight")
+    current = written(_settle(units, F.pmod(F.xxhash64("key", "equal", F.lit(seeds)), blocks).cast("long"), False, seeds), "flight")
     done = [current.where((F.col("p") < _EDGE) | (F.col("p") > 1 - _EDGE))]
     rest = current.where((F.col("p") >= _EDGE) & (F.col("p") <= 1 - _EDGE))
     while True:
@@ -165,8 +198,8 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", weights: tupl
         last = most <= block
         units = rest.drop("n", "block").join(left, "source_key")
         blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / block))
-        current = written(_settle(units.select("source_key", "key", "copy", "size", "p", "n"),
-                                  F.pmod(F.xxhash64("key", F.lit(seeds)), blocks).cast("long"), last, seeds), "flight")
+        current = written(_settle(units.select("source_key", "key", "copy", "size", "p", "n", "equal"),
+                                  F.pmod(F.xxhash64("key", "equal", F.lit(seeds)), blocks).cast("long"), last, seeds), "flight")
         if last:
             done.append(current)
             break
@@ -182,6 +215,22 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", weights: tupl
                     F.when(F.col("size") > 0, F.col("whole") + F.coalesce(F.col("extra"), F.lit(0))).otherwise(F.lit(0)).cast("long").alias("times")))
 
 
+def _numbered(units: DataFrame) -> DataFrame:
+    """``units`` with ``equal``, their number among equal rows. Rows of a task are numbered first, and then the tasks of each key, so
+    no task sees all of many equal rows."""
+    part = F.shiftrightunsigned("copy", 33)
+    rows = units.withColumn("part", part)
+    counts = rows.groupBy("key", "part").agg(F.count("*").alias("m"))
+    many = counts.groupBy("key").agg(F.sum("m").alias("all")).where(F.col("all") > 1).select("key")
+    # most rows have no equal
+    before = F.sum("m").over(Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.join(many, "key", "left_semi").select("key", "part", F.coalesce(before, F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("key", "part").orderBy("copy")) - 1
+    again = rows.join(starts, ["key", "part"]).select(*units.columns, (own + F.col("before")).cast("long").alias("equal"))
+    alone = rows.join(many, "key", "left_anti").select(*units.columns, F.lit(0).cast("long").alias("equal"))
+    return written(alone.unionByName(again), "units")
+
+
 def _with_targets(rows: DataFrame, targets: DataFrame) -> DataFrame:
     own = targets.select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("__key"), "source_size", "target", "n")
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
