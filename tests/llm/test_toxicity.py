@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 
 from regulus.llm.queries import QUERIES
-from regulus.llm.toxicity import BUCKETS, THRESHOLD, features, held_out, ratios, sampled, score, train, training_rows
+from regulus.llm.toxicity import BUCKETS, LENGTHS, THRESHOLD, features, held_out, ratios, sampled, score, train, training_rows
 
 
 def is_held_out(doc_id):
@@ -86,3 +87,51 @@ def test_query(spark, sf_dir):
     n = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     got = QUERIES["op8_toxicity"](spark, sf_dir).collect()
     assert len(got) == n and all(r.held_out == is_held_out(r.doc_id) and r.predicted == (r.score >= 0.3) for r in got)
+
+
+def buckets_of(text):
+    """The definition of the features in plain integers: bytes of the lower-cased text, ASCII marks and spaces alike."""
+    data = [b if b >= 128 or chr(b).isalnum() else 32 for b in f" {(text or '').lower()} ".encode()]
+    out = set()
+    for n in LENGTHS:
+        for i in range(len(data) - n + 1):
+            h = 0
+            for b in data[i:i + n]:
+                h = (h * 0x01000193 + zlib.crc32(bytes([b]))) & 0xFFFFFFFF
+            out.add((((h ^ (h >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF) >> 14)
+    return out
+
+
+def test_against_brute_force(spark, corpus):
+    """Features, counts, ratios, fit and scores again, without any of the operator's own steps."""
+    docs, labels = corpus
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    learnt = [(buckets_of(texts[r.doc_id]), int(r.toxic > 0)) for r in labels.collect()
+              if r.doc_id in texts and r.toxic is not None and not is_held_out(r.doc_id)]
+    n = [sum(t == k for _, t in learnt) for k in (0, 1)]
+    held = {}
+    for found, t in learnt:
+        for b in found:
+            held.setdefault(b, [0, 0])[t] += 1
+    ratio, sure = {}, {}
+    for b, (other, toxic) in held.items():
+        r = math.log((toxic + 1) / (n[1] + 2)) - math.log((other + 1) / (n[0] + 2))
+        if toxic + other >= 5:
+            ratio[b], sure[b] = r, abs(r) / math.sqrt(1 / (toxic + 1) + 1 / (other + 1))
+    ranked = sorted(sure, key=lambda b: (-sure[b], b))
+    used = sorted(b for k, b in enumerate(ranked) if sure[b] >= 4 or sure[b] >= 1.5 and k < 1000)
+    # the sample of 12,000 rows takes all of these: a dense logistic regression by the same steps
+    x = np.array([[ratio[b] if b in found else 0.0 for b in used] for found, _ in learnt])
+    y = np.array([t for _, t in learnt], dtype=float)
+    w, mean, square = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    for step in range(1, 81):
+        error = (1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))) - y) / len(y)
+        slope = np.append(x.T @ error + 2e-3 * w[:-1], error.sum())
+        mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope ** 2
+        w = w - 0.05 * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-8)
+    weight = {b: v * ratio[b] for b, v in zip(used, w[:-1])}
+    model = train(docs, labels)
+    assert set(np.flatnonzero(model.weights).tolist()) <= set(used) and model.intercept == pytest.approx(w[-1], abs=1e-4)
+    for r in score(docs, model).collect():
+        z = w[-1] + sum(weight.get(b, 0.0) for b in buckets_of(r.text))
+        assert r.toxicity == pytest.approx(1 / (1 + math.exp(-z)), abs=2e-3)
