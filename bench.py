@@ -4,7 +4,7 @@ Every query gets one warm-up run and then the median of three runs into a sink t
 ``gold_build`` is the time to write the gold tables from the given tables once, after a warm-up on
 the smallest tables; the other queries read those tables, as reports read a lakehouse.
 ``operational`` holds the two published operational numbers: looking up 321 entities in eight tasks
-of sixteen calls (a call answers after 0.05 to 1.2 s and one in twenty fails), and erasing one entity
+of three calls at a time (a call answers after 0.05 to 1.2 s and one in twenty fails), and erasing one entity
 from the streamed tables.
 """
 from __future__ import annotations

@@ -333,7 +333,7 @@ class Managed(NamedTuple):
     rule: str = "declared"
 
 
-# Published types, attributes and scopes.
+# Published types and attributes. The scope of the identity objects is a neutral name of our own.
 MANAGED = (
     Managed("^keycloak_group$", "keycloak", "group", "name", "internal"),
     Managed("^keycloak_user$", "keycloak", "user", "username", "internal"),
