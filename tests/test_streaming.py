@@ -325,6 +325,10 @@ def test_erasure_reaches_every_place(spark, tmp_path):
     assert changelog.bronze(spark, path).filter("payload like '%\"e1\"%'").isEmpty() and changelog.bronze(spark, path).count() == 20
     again = retention.erase_everywhere(spark, [activities, steps], path, looked_up, gone)
     assert {r["rows_removed"] for r in again.collect()} == {0}
+    # entities read from the table itself, while a delta waits
+    delivered(spark, tmp_path, activities, 1, envelope("c", done("n1", 1, entity_id="e9")))
+    report = activities.erase(spark, activities.silver(spark).filter("entity_id = 'e9'"))
+    assert [tuple(r) for r in report.collect()] == [("valid", 1)] and activities.silver(spark).count() == 20
 
 
 def test_freshness_and_single_writer(spark, tmp_path):
