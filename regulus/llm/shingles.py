@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import hashlib
+from math import comb
 
 import numpy as np
 
@@ -41,18 +42,29 @@ class Banding:
     def recall(self, similarity: float) -> float:
         return 1 - (1 - similarity ** self.rows) ** self.bands
 
-    def of(self, sets: list[np.ndarray]) -> np.ndarray:
-        """A 64-bit hash of every band, a row for each set; sets may not be empty."""
+    def least_agreeing(self, similarity: float, loss: float = 1e-9) -> int:
+        """The number of MinHash values that two sets of this similarity share, but for a chance of at most ``loss``."""
+        n, below = self.bands * self.rows, 0.0
+        for agreeing in range(n + 1):
+            below += comb(n, agreeing) * similarity ** agreeing * (1 - similarity) ** (n - agreeing)
+            if below > loss:
+                return agreeing
+        return n
+
+    def of(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """A 64-bit hash of every band and a byte of every MinHash value, a row for each set; sets may not be empty."""
         if not sets:
-            return np.zeros((0, self.bands), dtype=np.int64)
+            return np.zeros((0, self.bands), dtype=np.int64), np.zeros((0, self.bands * self.rows), dtype=np.uint8)
         joined = np.concatenate(sets)
         starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
         out = np.zeros((len(sets), self.bands), dtype=np.uint64)
+        values = np.zeros((len(sets), self.bands * self.rows), dtype=np.uint8)
         scratch = np.empty_like(joined)
         for k in range(self.bands * self.rows):
             np.multiply(joined, self.factor[k], out=scratch)
             np.add(scratch, self.shift[k], out=scratch)
             least = np.minimum.reduceat(scratch, starts)
             band = k // self.rows
+            values[:, k] = (least >> np.uint64(16)) & np.uint64(255)
             out[:, band] = (out[:, band] ^ (least >> np.uint64(7))) * self.mix[k % self.rows]
-        return (out ^ (out >> np.uint64(29))).view(np.int64)
+        return (out ^ (out >> np.uint64(29))).view(np.int64), values

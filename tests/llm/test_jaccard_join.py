@@ -3,10 +3,11 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from regulus.llm.components import components
-from regulus.llm.jaccard_join import banding_for, similar
+from regulus.llm.jaccard_join import SIMILARITY, _candidates, _signed, banding_for, similar
 from regulus.llm.queries import QUERIES
 
 
@@ -77,8 +78,32 @@ def test_families_in_blocks(spark, family, block):
     assert seen(similar(df, block=block)) == brute(family)
 
 
+def test_buckets_in_blocks_and_refused_names(spark, family):
+    banding = banding_for(0.8)
+    df = spark.createDataFrame(family, "doc_id long, text string")
+    sets = _signed(df, "text", ("doc_id",), 5, banding).where("set_id is not null").dropDuplicates(["set_id"]).cache()
+    whole, cut = (sorted((bytes(r.node), bytes(r.root)) for r in _candidates(sets, banding, SIMILARITY, block).collect()) for block in (2048, 7))
+    assert whole == cut and len(whole) > 50
+    for name in ("class_id", "Minima", "text"):
+        with pytest.raises(ValueError):
+            similar(df, carry=(name,))
+
+
+def test_texts_a_little_alike_form_no_groups(spark):
+    """A chain of texts, each of similarity 0.4 to the next: many share a band, none is a candidate."""
+    draw = random.Random(2)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(9000)]
+    rows = [(i, " ".join(words[43 * i:43 * i + 104])) for i in range(200)]
+    banding = banding_for(0.8)
+    sets = _signed(spark.createDataFrame(rows, "doc_id long, text string"), "text", ("doc_id",), 5, banding).cache()
+    bands = [np.frombuffer(r.bands, dtype=np.int64) for r in sets.orderBy("doc_id").collect()]
+    assert sum((a == b).any() for a, b in zip(bands, bands[1:])) > 10
+    assert _candidates(sets, banding, SIMILARITY).collect() == []
+    assert all(r.n_links == 0 and r.class_id == r.doc_id for r in similar(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
 def test_recall_and_components(spark):
-    assert banding_for(0.8).recall(0.8) >= 0.99999 and banding_for(0.8).bands < 60
+    assert banding_for(0.8).recall(0.8) >= 0.99999 and banding_for(0.8).bands < 60 and 140 < banding_for(0.8).least_agreeing(0.8) < 155
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7), (None, 3), (200, 201), (201, 200)]
     got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100, 200: 200, 201: 200}
