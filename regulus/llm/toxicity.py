@@ -7,7 +7,6 @@ bounded sample, gives the weights. A score is one sum over the features of the w
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-#: Lengths of the n-grams in bytes, and buckets.
+#: Lengths of the n-grams in characters (code points), and buckets.
 LENGTHS, BUCKETS = (4, 5, 6), 1 << 18
 #: Rows of the training sample, at most half of them toxic; the ratios are counted over all training rows.
 SAMPLE = 12_000
@@ -31,15 +30,14 @@ _ROWS = 128
 MOST_SENT = 1_000_000
 THRESHOLD = 0.3
 
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[[c for c in range(128) if not chr(c).isalnum()]] = 0x20
-_CODE = np.array([zlib.crc32(bytes([b])) for b in range(256)], dtype=np.uint32)
+_MARKS = np.array([c < 128 and not chr(c).isalnum() for c in range(129)])
 
 
 def features(text: str | None, seen: np.ndarray) -> np.ndarray:
     """The buckets of a text's n-grams, each once. ``seen``: a cleared array of BUCKETS flags, cleared again on return."""
-    data = _FOLD[np.frombuffer(f" {(text or '').lower()} ".encode(), dtype=np.uint8)]
-    code = _CODE[data]
+    data = np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le"), dtype=np.uint32)
+    code = np.where(_MARKS[np.minimum(data, 128)], np.uint32(0x20), data) * np.uint32(0x9E3779B1)
+    code ^= code >> np.uint32(16)
     rolled = np.zeros(len(code), dtype=np.uint32)
     for n in range(1, max(LENGTHS) + 1):
         rolled = rolled[:len(code) - n + 1] * np.uint32(0x01000193) + code[n - 1:]
@@ -71,11 +69,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, place, toxic) of the labelled documents that are not held out. Rows without an id or a label teach nothing."""
+    """(doc_id, text, toxic) of the labelled documents that are not held out. Rows without an id or a label teach nothing.
+
+    A document labelled twice counts twice, and so does a repeated row. Empty tables give no rows.
+    """
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out()).select(
         F.col("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     few = known.count() <= MOST_SENT
-    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("place")).join(F.broadcast(known) if few else known, "doc_id")
+    return docs.select("doc_id", "text").join(F.broadcast(known) if few else known, "doc_id")
 
 
 def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
@@ -137,9 +138,20 @@ def fit(buckets: list[np.ndarray], toxic: np.ndarray, ratio: np.ndarray, rounds:
 
 
 def sampled(rows: DataFrame, toxic: float, other: float) -> DataFrame:
-    """About these shares of the toxic and of the other rows, each row by itself: copies of a text or of a row do not come together."""
+    """About these shares of the toxic and of the other rows: (text, toxic).
+
+    A row is drawn by its content and its number among equal rows, so copies do not come together, and the same rows come back however the
+    files are split. Equal rows are counted, not collected; only the drawn ones are sent to all executors, and their texts are taken once.
+    """
     most = 1 << 30
-    return rows.where(F.pmod(F.xxhash64("doc_id", "place", F.lit("sample")), F.lit(most)) < F.when(F.col("toxic") == 1, int(toxic * most)).otherwise(int(other * most)))
+    equal = ["doc_id", "__hash", "toxic"]
+    hashed = rows.select("doc_id", "text", "toxic", F.xxhash64("text").alias("__hash"))
+    limit = F.when(F.col("toxic") == 1, int(toxic * most)).otherwise(int(other * most))
+    counted = hashed.groupBy(*equal).agg(F.count("*").alias("n"))
+    drawn = F.filter(F.sequence(F.lit(1), F.col("n")), lambda k: F.pmod(F.xxhash64("doc_id", "__hash", k, F.lit("sample")), F.lit(most)) < limit)
+    picked = counted.withColumn("times", F.size(drawn)).where("times > 0").select(*equal, "times")
+    once = hashed.join(F.broadcast(picked), equal).groupBy(*equal).agg(F.first("text").alias("text"), F.first("times").alias("times"))
+    return once.select("text", "toxic", F.explode(F.sequence(F.lit(1), F.col("times")))).select("text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:

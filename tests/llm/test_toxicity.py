@@ -72,6 +72,20 @@ def test_copies_are_sampled_one_by_one(spark):
     assert n > 1900 and abs(sampled(rows, 0.2, 0.0).count() / n - 0.2) < 0.05
 
 
+def test_sample_does_not_depend_on_the_split(spark, corpus):
+    docs, labels = corpus
+    docs = docs.unionByName(docs.limit(50))
+    a, b = (train(docs.repartition(n), labels, sample=200) for n in (1, 7))
+    assert np.array_equal(a.weights, b.weights) and a.intercept == b.intercept
+    assert 0 < sampled(training_rows(docs, labels), 0.3, 0.1).count() < 200
+
+
+def test_features_are_characters():
+    seen = np.zeros(BUCKETS, dtype=bool)
+    for text in ("日本語のテキスト", "Füße übel", "a\U0001f600b c", "x"):
+        assert set(features(text, seen).tolist()) == buckets_of(text)
+
+
 def test_nulls_repeated_rows_and_missing_labels(spark, corpus):
     docs, labels = corpus
     odd = spark.createDataFrame([(None, None), (1, ""), (1, ""), (2, "x" * 200_000)], "doc_id long, text string")
@@ -90,14 +104,15 @@ def test_query(spark, sf_dir):
 
 
 def buckets_of(text):
-    """The definition of the features in plain integers: bytes of the lower-cased text, ASCII marks and spaces alike."""
-    data = [b if b >= 128 or chr(b).isalnum() else 32 for b in f" {(text or '').lower()} ".encode()]
+    """The definition of the features in plain integers: characters of the lower-cased text, ASCII marks and spaces alike."""
+    data = [ord(c) if ord(c) >= 128 or c.isalnum() else 32 for c in f" {(text or '').lower()} "]
+    data = [x ^ x >> 16 for x in (c * 0x9E3779B1 & 0xFFFFFFFF for c in data)]
     out = set()
     for n in LENGTHS:
         for i in range(len(data) - n + 1):
             h = 0
             for b in data[i:i + n]:
-                h = (h * 0x01000193 + zlib.crc32(bytes([b]))) & 0xFFFFFFFF
+                h = (h * 0x01000193 + b) & 0xFFFFFFFF
             out.add((((h ^ (h >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF) >> 14)
     return out
 
