@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Values of the hash by which the rows of a page are counted.
+SLOTS_A_PAGE = 64
 BOM = "﻿"
 
 
@@ -18,6 +20,28 @@ def guarded(df: DataFrame, limit: int) -> DataFrame:
     return df
 
 
+def guarded_pages(df: DataFrame, limit: int, by: str) -> list[DataFrame]:
+    """All rows of the frame, in pages that each pass the guard.
+
+    Rows are counted per hash of ``by``, and neighbouring hashes share a page as long as it keeps the limit. Rows of one value are never
+    parted, so more of them than the limit are refused.
+    """
+    rows = df.count()
+    if rows <= limit:
+        return [guarded(df, limit)]
+    slots = F.pmod(F.xxhash64(by), F.lit(SLOTS_A_PAGE * -(-rows // limit)))
+    pages, held = [], limit
+    for slot, n in sorted((r["slot"], r["n"]) for r in df.groupBy(slots.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()):
+        if n > limit:
+            raise TooManyRows(f"more than {limit} rows; narrow the range")
+        if held + n > limit:
+            pages.append([slot, slot])
+            held = 0
+        pages[-1][1] = slot
+        held += n
+    return [df.filter(slots.between(first, last)) for first, last in pages]
+
+
 def export_rows(df: DataFrame, layer: str, since: str, limit: int, row_limit: int) -> DataFrame:
     """The first rows in a fixed order, at most the requested and the permitted number; bronze has no cohort to filter on."""
     cap = min(limit, row_limit or 0)

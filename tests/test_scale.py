@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from regulus.sources import gold, tables
+from regulus.sources import export, gold, tables
 
 
 def rows(df):
@@ -52,3 +52,14 @@ def test_lines_are_shuffled_once_and_not_sorted_before(spark, sf_dir):
     gold.activities(spark, sf_dir)
     placed = gold.lines(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in placed and "/cohort_month=" in "".join(gold.lines(spark, sf_dir).inputFiles())
+
+
+def test_pages_pass_the_guard_and_leave_nothing_out(spark):
+    df = spark.range(1000).selectExpr("cast(id as string) AS k", "id")
+    pages = export.guarded_pages(df, 150, "k")
+    sizes = [p.count() for p in pages]
+    assert max(sizes) <= 150 and sum(sizes) == 1000
+    assert sorted(r["id"] for p in pages for r in p.collect()) == list(range(1000))
+    assert len(export.guarded_pages(df, 1000, "k")) == 1
+    with pytest.raises(export.TooManyRows):
+        export.guarded_pages(spark.range(20).selectExpr("'one' AS k"), 10, "k")
