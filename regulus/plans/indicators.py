@@ -75,11 +75,14 @@ def _checked(spark, d, keys: list[str]):
     return sketches.within_bound(sketches.merged(stored, keys), facts, keys, x.whole_days("received_at", "completed_at"))
 
 
-@query("a03_approximate_median", """SELECT process_code, count(*) AS n, true AS within_bound FROM f_valid
- WHERE completed_at IS NOT NULL GROUP BY 1""")
-def _(spark, d):
-    """Medians of whole processes from the monthly sketches, checked against the facts: their rank is within the stated bound."""
-    return _checked(spark, d, ["process_code"])
+@query("a03_approximate_median", """SELECT process_code, CAST(quantile_disc(CAST((completed_at-received_at)//86400000
+ AS BIGINT), 0.5) AS BIGINT) AS median_days, count(*) AS n, true AS within_bound FROM f_valid WHERE completed_at IS NOT NULL GROUP BY 1""")
+def _(spark, d):
+    """Approximate medians of whole processes over the facts; those from the monthly sketches are checked against the facts too."""
+    facts = gold.valid_activities(spark, d).filter(F.col("completed_at").isNotNull())
+    medians = facts.groupBy("process_code").agg(F.percentile_approx(x.whole_days("received_at", "completed_at"), 0.5, 10000).alias("median_days"))
+    checked = _checked(spark, d, ["process_code"]).withColumnRenamed("process_code", "_p")
+    return medians.join(checked, F.col("process_code").eqNullSafe(F.col("_p"))).select("process_code", "median_days", "n", "within_bound")
 
 
 @query("a10_rolled_up_medians", """SELECT substr(cohort_month, 1, 4) AS arrival_year, process_code, route, count(*) AS n, true AS within_bound

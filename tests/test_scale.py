@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from regulus.plans import QUERIES
 from regulus.sources import export, gold, tables
 
 
@@ -63,3 +64,9 @@ def test_pages_pass_the_guard_and_leave_nothing_out(spark):
     assert len(export.guarded_pages(df, 1000, "k")) == 1
     with pytest.raises(export.TooManyRows):
         export.guarded_pages(spark.range(20).selectExpr("'one' AS k"), 10, "k")
+
+
+def test_approximate_medians_are_returned(spark, sf_dir):
+    found = QUERIES["a03_approximate_median"](spark, sf_dir)
+    assert found.columns == ["process_code", "median_days", "n", "within_bound"]
+    assert all(r["median_days"] is not None for r in found.collect())
