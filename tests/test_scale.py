@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from regulus.plans import QUERIES
+from regulus.plans import QUERIES, changes
 from regulus.sources import export, gold, tables
+from regulus.streaming.runs import folders
 
 
 def rows(df):
@@ -72,3 +73,9 @@ def test_approximate_medians_are_returned(spark, sf_dir):
     found = QUERIES["a03_approximate_median"](spark, sf_dir)
     assert found.columns == ["process_code", "median_days", "n", "within_bound"]
     assert all(r["median_days"] is not None for r in found.collect())
+
+
+def test_the_log_is_compressed(spark, sf_dir):
+    root = changes.streamed(spark, sf_dir)[0].root.removesuffix("/lake")
+    files = folders(spark, f"{root}/log/delivery=*/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
