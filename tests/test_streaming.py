@@ -342,3 +342,38 @@ def test_freshness_and_single_writer(spark, tmp_path):
     with pytest.raises(RuntimeError, match="expected one running"):
         operations.assert_one_running(spark, "medallion_activities")
     assert DAY == 86_400_000
+
+
+def test_batches_and_folds_go_through_their_months_in_slices(spark, tmp_path, monkeypatch):
+    """The same tables, pins and files with a slice per month; a slice that fails leaves no complete commit."""
+    deliveries = [[envelope("c", done(f"r{i}", 1, cohort_month=f"2026-0{1 + i % 4}")) for i in range(12)],
+                  [*[envelope("u", done(f"r{i}", 2 - i % 2, touch_days=-1.0 if i > 7 else 1.0, cohort_month=f"2026-0{1 + i % 4}")) for i in range(12)],
+                   envelope("d", done("r0", 3, cohort_month="2026-01"))],
+                  [envelope("u", done("r5", 7, cohort_month="2026-02"))]]
+
+    def run_all(name):
+        m = Medallion(str(tmp_path / name))
+        for k, events in enumerate(deliveries):
+            delivered(spark, tmp_path / name, m, k, *events)
+            if k:
+                m.fold(spark)
+        return m, [sorted(map(str, df.drop("committed_at").collect())) for df in (
+            m.intervals(spark), m.measurements(spark), m.quarantine(spark), m.silver(spark, as_of=1), m.silver(spark))]
+
+    whole, want = run_all("whole")
+    moved = []
+    monkeypatch.setattr("regulus.streaming.medallion.SLICE_BYTES", 1)
+    write = Medallion._write
+    monkeypatch.setattr(Medallion, "_write", lambda self, rows, *args: (moved.append({r[0] for r in rows.select("cohort_month").distinct().collect()}), write(self, rows, *args))[1])
+    sliced, got = run_all("sliced")
+    assert got == want and max(map(len, moved)) == 1 and len(moved) == 9
+    assert set(months_written(spark, sliced)) and len(months_written(spark, sliced)) == len(months_written(spark, whole))
+    with monkeypatch.context() as broken:
+        def fail(self, rows, folder, last):
+            if last:
+                raise RuntimeError("stopped")
+            write(self, rows, folder, last)
+        broken.setattr(Medallion, "_write", fail)
+        with pytest.raises(RuntimeError, match="stopped"):
+            delivered(spark, tmp_path / "broken", sliced, 7, *[envelope("u", done(f"r{i}", 9, cohort_month=f"2026-0{1 + i % 4}")) for i in range(2)])
+    assert sorted(map(str, sliced.silver(spark).drop("committed_at").collect())) == want[-1]
