@@ -79,3 +79,15 @@ def test_the_log_is_compressed(spark, sf_dir):
     root = changes.streamed(spark, sf_dir)[0].root.removesuffix("/lake")
     files = folders(spark, f"{root}/log/delivery=*/part-*")
     assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_streams_keep_no_gold_table_that_only_they_need(spark, small):
+    fresh = small + "/"  # a folder of its own to the registry
+    gold.lines(spark, fresh)
+    changes._deliver(spark, fresh, f"{small}/log")
+    assert gold.kept(spark, fresh) == {"lines"}  # it was there before
+    gold.forget(spark, fresh)
+    changes._deliver(spark, fresh, f"{small}/log-2")
+    assert gold.kept(spark, fresh) == set()
+    logs = [rows(spark.read.text([*folders(spark, f"{small}/{log}/delivery={n}")])) for log in ("log", "log-2") for n in range(3)]
+    assert logs[:3] == logs[3:] and sum(logs[0].values()) and sum(logs[2].values())

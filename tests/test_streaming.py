@@ -377,3 +377,63 @@ def test_batches_and_folds_go_through_their_months_in_slices(spark, tmp_path, mo
         with pytest.raises(RuntimeError, match="stopped"):
             delivered(spark, tmp_path / "broken", sliced, 7, *[envelope("u", done(f"r{i}", 9, cohort_month=f"2026-0{1 + i % 4}")) for i in range(2)])
     assert sorted(map(str, sliced.silver(spark).drop("committed_at").collect())) == want[-1]
+
+
+def test_a_fold_replaces_its_months_slice_by_slice(spark, tmp_path, monkeypatch):
+    """Before a slice begins, the earlier ones have dropped what they replaced; a fold that stops there leaves every read and pin right, and is ended later."""
+    monkeypatch.setattr("regulus.streaming.medallion.SLICE_BYTES", 1)
+    m, months = medallion(tmp_path), ["2026-01", "2026-02", "", "2026-04"]
+    for k in range(2):
+        delivered(spark, tmp_path, m, k, *[envelope("u", done(f"r{i}", k + 1, cohort_month=months[i % 4])) for i in range(8)])
+        if k == 0:
+            m.fold(spark)
+    want = [[sorted(map(str, df.collect())) for df in (m.silver(spark, as_of=pin), m.measurements(spark, as_of=pin), m.silver(spark), m.measurements(spark), m.intervals(spark))]
+            for pin in (1, 2)]
+    sizes, made = [], []
+    from regulus.streaming import medallion as module
+    facts_of = module.facts_of
+
+    def counted(rows):
+        sizes.append(len(runs.folders(spark, f"{m.path}/base/upto=*/kept=*/table=valid/cohort_month=*")))
+        if len(sizes) == 3:
+            raise RuntimeError("stopped")
+        return facts_of(rows)
+
+    with monkeypatch.context() as broken:
+        broken.setattr("regulus.streaming.medallion.facts_of", counted)
+        with pytest.raises(RuntimeError, match="stopped"):
+            m.fold(spark)
+    assert sizes == [5, 5, 5]  # four months, and the one that is being written
+    at = m.stored(spark)
+    assert at.folded == 1 and at.commit == 2 and at.reached == 2 and len(at.delta_months) == 2
+    for end in (False, True):
+        if end:
+            made += m.fold(spark)
+        got = [[sorted(map(str, df.collect())) for df in (m.silver(spark, as_of=pin), m.measurements(spark, as_of=pin), m.silver(spark), m.measurements(spark))] for pin in (1, 2)]
+        assert got == [w[:4] for w in want]
+    assert len(made) == 2 and sorted(map(str, m.intervals(spark).collect())) == want[0][4]
+    assert m.stored(spark).folded == 2 and runs.folders(spark, f"{m.path}/delta/commit=*") == []
+
+
+def test_only_newer_changes_are_kept_in_full(spark, tmp_path, monkeypatch):
+    """A batch that repeats what a large base holds is known by key and order; the same rows are stored either way."""
+    from regulus.streaming import medallion as module
+    staged, stage = [], module._staged
+    first = [envelope("c", done(f"r{i}", 1, cohort_month=f"2026-0{1 + i % 3}")) for i in range(9)] + [envelope("c", done(None, 1))]
+    later = [*first, envelope("u", done("r1", 2, cohort_month="2026-02")), envelope("u", done("r1", 3, cohort_month="2026-02")), envelope("d", done("r2", 2, cohort_month="2026-03")),
+             envelope("u", done("new", None)), envelope("c", done("other", 1))]
+
+    def tables(name, bound, sent):
+        monkeypatch.setattr(module, "SLICE_BYTES", bound)
+        monkeypatch.setattr(module, "SENT_KEYS", sent)
+        m = Medallion(str(tmp_path / name))
+        m.apply(raw_of(spark, str(tmp_path / name / "first"), *first), 0, "r")
+        m.fold(spark)
+        with monkeypatch.context() as seen:
+            seen.setattr(module, "_staged", lambda rows, folder: (staged.append((name, folder.rsplit("/", 1)[1], rows.count())), stage(rows, folder)))
+            m.apply(raw_of(spark, str(tmp_path / name / "later"), *later), 1, "r")
+        return [sorted(map(str, df.drop("committed_at").collect())) for df in (m.changes(spark), m.measurements(spark), m.silver(spark, as_of=1))]
+
+    assert tables("large", 1, 500_000) == tables("small", 1 << 30, 500_000) == tables("many", 1, 0)
+    assert staged[:2] == [("large", "order", 15), ("large", "rows", 4)]
+    assert staged[2:] == [("small", "rows", 15), ("many", "order", 15), ("many", "rows", 15)]
