@@ -1,9 +1,10 @@
-"""Main text of web pages: structure first, and suffix arrays over the pages of a host where the structure does not tell.
+"""Main text of web pages: suffix arrays over the pages of a host, checked against the structure of the page.
 
-A page is read into blocks of text. Where it marks its article, the article's blocks outside menus, adverts and the like are the text. Where it
-does not, the blocks are judged by the host: the token streams of its pages (what lies outside of marked articles) are concatenated, the
-suffixes sorted, and long substrings that stand on distinct pages are boilerplate; the runs in between are kept. Hosts with many pages are
-split into shards of bounded size, and what no shard could see is settled by a count of their windows over the whole host.
+A page is read into blocks of text. The token streams of all pages of a host are concatenated and the suffixes sorted; long substrings that stand
+on distinct pages are taken for boilerplate. The structure then checks every page: blocks that are menus, adverts and the like by their markup go
+in any case, and where a page marks its article, the prose in it stays although other pages repeat it; of its other blocks (bare divisions, lists of
+links) those that are repeated go, as share lines and notices without a telling class do. Where no article is marked the runs in between repeats are
+kept. Hosts with many pages are split into shards of bounded size, and what no shard could see is settled by a count of their windows over the whole host.
 """
 from __future__ import annotations
 
@@ -16,12 +17,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, ByteType, StringType, StructField, StructType
 
 from regulus.llm.store import row_key, written
+from regulus.llm.words import grams, words_of
 
 #: Tokens of a long substring (a power of two), tokens of a shard, and the share of repeated tokens that makes a page a copy.
 RUN, SHARD, COPY = 16, 500_000, 0.8
+#: Kinds of blocks: out by the markup, of a page without a marked article, prose of a marked article, anything else in one.
+CLOSED, OPEN, PROSE, DOUBTFUL = range(4)
 
 #: A quoted value stands behind an equals sign and may hold anything; a quote elsewhere, or one that nothing closes, is a character.
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?)*+)(>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
@@ -43,13 +47,15 @@ _HINTS = frozenset("""ad ads adv advert adverts advertisement advertising adsens
     notifications alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations
     comment comments commentlist discussion disqus reply replies respond widget widgets toolbar pagination pager skip search searchbox tags
     banner outbrain taboola""".split())
+#: Elements whose text in an article is the article's.
+_PROSE = _HEADING | frozenset("p li dd dt blockquote pre td th caption figcaption summary".split())
 _CONTENT = frozenset("article articlebody post entry story content main maincontent".split())
 
 
 class Page(NamedTuple):
-    main: str | None         # the text, where the page marks its article
-    blocks: list[str]        # else blocks outside of articles, in page order
-    open: list[bool]         # whether a block may belong to the text
+    main: str | None         # the text by structure alone, where the page marks its article
+    blocks: list[str]        # all blocks in page order
+    kinds: list[int]         # and what the structure says of each
 
 
 class _Nodes:
@@ -160,7 +166,7 @@ def parse(html: str | None) -> Page:
     for i in range(n - 1, 0, -1):
         size[nodes.parent[i]] += size[i]
     chosen = _chosen(nodes, aside, size)
-    main, outside, is_open = [], [], []
+    found, prose, bare, linked = [], [False] * n, [False] * n, [False] * n
     if chosen:
         wrapped = {a for c in chosen for a in nodes.above(c)}
         state = [0] * n  # 0 outside, 1 in the article, 2 left out
@@ -171,26 +177,26 @@ def parse(html: str | None) -> Page:
                 state[i] = 3
             if up == 3:
                 state[i] = 1 if nodes.tag[i] in _HEADING else 3
+            # bare: in the article itself, and in no block below
+            bare[i] = i in chosen or nodes.candidate[i] > 0 or nodes.tag[i] not in _BLOCK and bare[nodes.parent[i]]
+            prose[i] = nodes.tag[i] in _PROSE or prose[nodes.parent[i]]
+    for i in range(1, n):
+        linked[i] = nodes.tag[i] == "a" or linked[nodes.parent[i]]
     for block in blocks:
+        links = _joined(t for node, t in block if linked[node])
         if chosen:
             text = _joined(t for node, t in block if state[node] == 1)
-            if text:
-                main.append(text)
             rest = _joined(t for node, t in block if state[node] != 1)
-            if rest:
-                outside.append(rest)
-                is_open.append(False)
-            continue
-        free = _joined(t for node, t in block if not _left_out(nodes, aside, node))
-        links = _joined(t for node, t in block if any(nodes.tag[a] == "a" for a in nodes.above(node)))
-        rest = _joined(t for node, t in block if _left_out(nodes, aside, node))
-        if free:
-            outside.append(free)
-            is_open.append(len(links) < 0.8 * len(free))
-        if rest:
-            outside.append(rest)
-            is_open.append(False)
-    return Page("\n".join(main) if chosen else None, outside, is_open)
+            sure = len(links) < 0.8 * len(text) and any(prose[node] or bare[node] for node, t in block if state[node] == 1 and not t.isspace())
+            found.append((text, PROSE if sure else DOUBTFUL))
+        else:
+            free = _joined(t for node, t in block if not _left_out(nodes, aside, node))
+            rest = _joined(t for node, t in block if _left_out(nodes, aside, node))
+            found.append((free, OPEN if len(links) < 0.8 * len(free) else CLOSED))
+        found.append((rest, CLOSED))
+    found = [(text, kind) for text, kind in found if text]
+    main = "\n".join(text for text, kind in found if kind in (PROSE, DOUBTFUL)) if chosen else None
+    return Page(main, [text for text, _ in found], [kind for _, kind in found])
 
 
 def _left_out(nodes: _Nodes, aside: list[bool], node: int) -> bool:
@@ -209,10 +215,11 @@ def _chosen(nodes: _Nodes, aside: list[bool], size: list[int]) -> set[int]:
     return set()
 
 
-def _covered(pages: list[list[str]], run: int = RUN) -> list[np.ndarray]:
+def _covered(pages: list[list[str]], run: int = RUN, inner: list[np.ndarray] | None = None) -> list[np.ndarray]:
     """For each page, a flag for every token: whether it lies in a substring of at least ``run`` tokens that stands on another page too.
 
-    Suffixes of the concatenated streams are sorted by their first ``run`` tokens by doubling the sorted prefix.
+    Suffixes of the concatenated streams are sorted by their first ``run`` tokens by doubling the sorted prefix. ``inner`` flags the tokens of marked
+    articles: a substring without such tokens has to stand on another page outside of its article, as an article is no boilerplate of the pages that quote it.
     """
     lengths = np.array([len(p) for p in pages])
     if not lengths.sum():
@@ -229,37 +236,59 @@ def _covered(pages: list[list[str]], run: int = RUN) -> list[np.ndarray]:
         _, rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)
         step *= 2
     whole = np.flatnonzero(left >= run)
-    order = whole[np.lexsort((page[whole], rank[whole]))]
+    order = whole[np.argsort(rank[whole], kind="stable")]  # equal ones by page
     r, p = rank[order], page[order]
     starts = np.flatnonzero(np.append(True, r[1:] != r[:-1])) if len(r) else np.zeros(0, dtype=np.int64)
     depth = np.zeros(n + 1, dtype=np.int64)
     if len(starts):
-        ends = np.append(starts[1:], len(r)) - 1
-        shared = np.repeat(p[starts] != p[ends], ends - starts + 1)
+        sizes = np.diff(np.append(starts, len(r)))
+        shared = np.repeat(p[starts] != p[starts + sizes - 1], sizes)
+        if inner is not None:
+            inside = _any_of_run(np.concatenate(inner), run)[order]
+            first = np.minimum.reduceat(np.where(inside, len(pages), p), starts)
+            last = np.maximum.reduceat(np.where(inside, -1, p), starts)
+            shared &= inside | np.repeat(first < last, sizes)
         np.add.at(depth, order[shared], 1)
         np.add.at(depth, order[shared] + run, -1)
     flags = np.cumsum(depth)[:-1] > 0
     return np.split(flags, np.cumsum(lengths)[:-1])
 
 
+def _any_of_run(flags: np.ndarray, run: int) -> np.ndarray:
+    """Whether any of the ``run`` tokens from each place on is flagged."""
+    sums = np.concatenate([[0], np.cumsum(flags)])
+    at = np.arange(len(flags))
+    return sums[np.minimum(at + run, len(flags))] > sums[at]
+
+
 def tokens_of(blocks: list[str]) -> list[str]:
     """The words of the blocks with a mark behind each block."""
     return [t for b in blocks for t in (*b.split(), "\n")]
 
 
-def _text(blocks: list[str], is_open: list[bool], covered: np.ndarray) -> str:
-    """The open blocks without covered words; whole, if nearly all of them is covered and the page is a copy of another."""
-    words, flags, at = [], [], 0
-    for block, own in zip(blocks, is_open):
-        n = len(block.split())
-        if own:
-            words.append(block.split())
+def _inner(blocks: list[str], kinds: list[int]) -> np.ndarray:
+    """Which tokens belong to a marked article."""
+    return np.repeat(np.array(kinds, dtype=np.int64) >= PROSE, np.array([b.count(" ") + 2 for b in blocks], dtype=np.int64))
+
+
+def _text(blocks: list[str], kinds: list[int], covered: np.ndarray) -> str:
+    """What the structure leaves without what is covered; whole, if nearly all of it is covered and the page is a copy of another.
+
+    Of open blocks the covered words go. Of a marked article the prose stays, and doubtful blocks go that are covered from end to end.
+    """
+    words, flags, own, at = [], [], [], 0
+    for block, kind in zip(blocks, kinds):
+        n = block.count(" ") + 1
+        if kind != CLOSED:
+            words.append(block.split(" "))
             flags.append(covered[at:at + n])
+            own.append(kind)
         at += n + 1
     total = sum(map(len, words))
     if total and sum(int(f.sum()) for f in flags) >= COPY * total:
         return "\n".join(" ".join(w) for w in words)
-    kept = (" ".join(w for w, f in zip(ws, fs.tolist()) if not f) for ws, fs in zip(words, flags))
+    kept = (" ".join(w for w, f in zip(ws, fs.tolist()) if not f) if kind == OPEN else "" if kind == DOUBTFUL and fs.all() else " ".join(ws)
+            for ws, fs, kind in zip(words, flags, own))
     return "\n".join(k for k in kept if k)
 
 
@@ -274,77 +303,87 @@ def extract(df: DataFrame, html: str = "html", url: str = "url", carry: tuple[st
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url).cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     pages = df.select(*carry, host.alias("host"), F.col(html).cast("string").alias("__html"), row_key(url, html).alias("key"))
     fields = [pages.schema[c] for c in carry]
-    schema = StructType([*fields, StructField("key", BinaryType()), StructField("host", StringType()), StructField("main", StringType()),
-                         StructField("blocks", ArrayType(StringType())), StructField("is_open", ArrayType(BooleanType())), StructField("n", IntegerType())])
+    schema = StructType([*[StructField(f.name, f.dataType) for f in fields], StructField("key", BinaryType()), StructField("host", StringType()),
+                         StructField("blocks", ArrayType(StringType())), StructField("kinds", ArrayType(ByteType())),
+                         StructField("asked", BooleanType()), StructField("out", BooleanType())])
 
     def read(batches):
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
-                found = [parse(x) for x in part.column("__html").to_pylist()]
+                found = [parse(x) if brings else None for x, brings in zip(part.column("__html").to_pylist(), part.column("brings").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in carry], part.column("key"), part.column("host"), pa.array([p.main for p in found], pa.string()),
-                     pa.array([p.blocks for p in found], pa.list_(pa.string())), pa.array([p.open for p in found], pa.list_(pa.bool_())),
-                     pa.array([sum(len(b.split()) + 1 for b in p.blocks) for p in found], pa.int32())], names=schema.names)
-
-    parsed = written(pages.mapInArrow(read, schema), "parsed")
-    marked = parsed.where("main is not null").select(*carry, F.col("main").alias("text"))
-    unmarked = parsed.where("main is null")
-    covered = written(_host_runs(parsed, run, shard), "covered")
-
-    def settle(batches):
-        for batch in batches:
-            texts = []
-            for blocks, is_open, flags, n in zip(*(batch.column(c).to_pylist() for c in ("blocks", "is_open", "flags", "n"))):
-                own = np.zeros(n, dtype=bool)
-                if flags:
-                    own[flags] = True
-                texts.append(_text(blocks, is_open, own))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], pa.array(texts, pa.string())], names=[*carry, "text"])
-
-    rest = (unmarked.join(covered, "key", "left").select(*carry, "blocks", "is_open", "flags", "n")
-            .mapInArrow(settle, StructType([*fields, StructField("text", StringType())])))
-    return marked.unionByName(rest)
-
-
-def _host_runs(parsed: DataFrame, run: int, shard: int) -> DataFrame:
-    """(key, flags) of the pages without a marked article: the places of the tokens that are repeated on other pages of the host."""
-    streams = parsed.select("key", "host", "blocks", "n", F.col("main").isNull().alias("asked")).where("n > 0").dropDuplicates(["key"])
-    sizes = streams.groupBy("host").agg(F.sum("n").alias("tokens"), F.max("asked").alias("any_asked"))
-    # a host all of whose pages mark their article has no question to answer
-    placed = (streams.join(sizes.where("any_asked"), "host").withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("tokens") / shard)))
-              .withColumn("shard", F.pmod(F.xxhash64("key"), F.col("shards"))))
-    placed = written(placed.select("key", "host", "blocks", "asked", "shards", "shard"), "streams")
-
-    def cover(table: pa.Table) -> pa.Table:
-        flags = _covered([tokens_of(b) for b in table["blocks"].to_pylist()], run)
-        asked = table["asked"].to_pylist()
-        rows = [i for i, a in enumerate(asked) if a and flags[i].any()]
-        return pa.table([table["key"].take(pa.array(rows, pa.int64())), pa.array([np.flatnonzero(flags[i]).astype(np.int32) for i in rows], pa.list_(pa.int32()))],
-                        names=["key", "flags"])
-
-    near = placed.select("key", "host", "shard", "blocks", "asked").groupBy("host", "shard").applyInArrow(cover, "key binary, flags array<int>")
-
-    # pages of other shards: the windows of hosts that were split, counted over the host
+                    [*[part.column(c) for c in (*carry, "key", "host")], pa.array([p and p.blocks for p in found], pa.list_(pa.string())),
+                     pa.array([p and p.kinds for p in found], pa.list_(pa.int8())),
+                     pa.array([bool(p) and (OPEN in p.kinds or DOUBTFUL in p.kinds) for p in found], pa.bool_()), part.column("out")], names=schema.names)
+
+    # the marks and white space of a page are at least about as many as its tokens
+    near_n = F.length("__html") - F.length(F.translate("__html", " \t\r\n<", "")) + 1
+    heads = written(pages.groupBy("host", "key").agg(F.count("*").alias("rows"), F.max(F.coalesce(near_n, F.lit(1))).alias("n")), "heads")
+    repeated = written(heads.where("rows > 1").select("key", F.lit(True).alias("again")), "repeated")
+    # every one of these hosts holds more than a shard, so they are few
+    large = written(heads.groupBy("host").agg(F.sum("n").alias("size")).where(F.col("size") > shard).select("host", F.ceil(F.col("size") / shard).alias("shards")), "large")
+    rows = pages.withColumns({"brings": F.lit(True), "out": F.lit(True)})
+    if not repeated.isEmpty():
+        # repeated rows travel without their page, which one more row brings
+        one = (pages.join(repeated, "key", "left_semi").groupBy("key", "host").agg(F.first("__html").alias("__html"))
+               .withColumns({"brings": F.lit(True), "out": F.lit(False)}))
+        again = pages.join(repeated, "key", "left").withColumns({"brings": F.col("again").isNull(), "out": F.lit(True)})
+        rows = again.withColumn("__html", F.when(F.col("brings"), F.col("__html"))).drop("again").unionByName(one, allowMissingColumns=True)
+
+    def parsed(some: DataFrame) -> DataFrame:
+        return some.select(*carry, "host", "__html", "key", "brings", "out").mapInArrow(read, schema)
+
+    placed = (parsed(rows).join(F.broadcast(large), "host", "left")
+              .withColumn("shard", F.pmod(F.xxhash64("key"), F.coalesce("shards", F.lit(1)))).withColumn("far", F.lit(None).cast("array<int>")))
+    split = rows.where("brings").join(F.broadcast(large), "host", "left_semi")
+    if not large.isEmpty():
+        unsettled = written(parsed(split).where("asked").select("host").distinct(), "unsettled")
+        if not unsettled.isEmpty():
+            asking = parsed(split.join(F.broadcast(unsettled), "host", "left_semi")).select("key", "host", "blocks", "kinds", "asked")
+            asking = written(asking.withColumn("row", F.monotonically_increasing_id()), "asking")
+            far = written(_far(asking, run).join(asking.select("row", "key"), "row").select("key", "far"), "far")
+            placed = placed.drop("far").join(far, "key", "left")
+
+    def judge(group: pa.Table) -> pa.Table:
+        blocks, kinds, far, keys = (group[c].to_pylist() for c in ("blocks", "kinds", "far", "key"))
+        heads = [i for i, own in enumerate(blocks) if own is not None]
+        flags = _covered([tokens_of(blocks[i]) for i in heads], run, [_inner(blocks[i], kinds[i]) for i in heads])
+        texts = {}
+        for i, covered in zip(heads, flags):
+            if far[i]:
+                covered[far[i]] = True
+            texts[keys[i]] = _text(blocks[i], kinds[i], covered)
+        out = group.filter(group["out"])
+        return pa.table([*[out[c] for c in carry], pa.array([texts[k] for k in out["key"].to_pylist()], pa.string())], names=[*carry, "text"])
+
+    return (placed.select(*carry, "key", "host", "shard", "blocks", "kinds", "out", "far").groupBy("host", "shard")
+            .applyInArrow(judge, StructType([*fields, StructField("text", StringType())])))
+
+
+def _far(pages: DataFrame, run: int) -> DataFrame:
+    """(row, far) of the pages that ask: the places of their tokens that lie in a run on any other page of the host.
+
+    A run is known by two 64-bit hashes of its tokens. Runs outside of articles ask for others such, as in ``_covered``.
+    """
     def windows(batches):
         for batch in batches:
-            keys, places, texts = [], [], []
-            for i, blocks in enumerate(batch.column("blocks").to_pylist()):
-                tokens = tokens_of(blocks)
-                for k in range(len(tokens) - run + 1):
-                    keys.append(i)
-                    places.append(k)
-                    texts.append(" ".join(tokens[k:k + run]))
-            rows = pa.array(keys, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(rows), batch.column("host").take(rows), batch.column("asked").take(rows),
-                                              pa.array(places, pa.int32()), pa.array(texts, pa.string())], names=["key", "host", "asked", "place", "window"])
-
-    split = placed.where("shards > 1").select("key", "host", "asked", "blocks")
-    every = split.mapInArrow(windows, "key binary, host string, asked boolean, place int, window string").select(
-        "key", "asked", "place", F.md5(F.concat_ws("\x00", "host", "window").cast("binary")).alias("window"))
-    shared = every.groupBy("window").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("window")
-    far = (every.where("asked").join(shared, "window", "left_semi").groupBy("key").agg(F.collect_set("place").alias("places"))
-           .select("key", F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + run - 1)))).alias("flags")))
-    return near.unionByName(far).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("flags"))).alias("flags"))
-
-
+            blocks, kinds = batch.column("blocks").to_pylist(), batch.column("kinds").to_pylist()
+            for words in words_of(pa.array([" ".join(f"{b} \x1c" for b in own) for own in blocks], pa.string())):
+                page = np.repeat(np.arange(len(words.bounds) - 1), np.diff(words.bounds))
+                hashes = words.hashes()
+                at = np.flatnonzero(words.bounds[1:][page] - np.arange(len(page)) >= run)
+                inner = np.concatenate([_inner(blocks[words.first + i], kinds[words.first + i]) for i in range(len(words.bounds) - 1)])
+                rows = pa.array(page[at] + words.first)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).take(rows) for c in ("host", "row", "asked")], pa.array((at - words.bounds[page[at]]).astype(np.int32)),
+                     pa.array(grams(hashes, run)[at].view(np.int64)), pa.array(grams(hashes[::-1], run)[::-1][at].view(np.int64)), pa.array(_any_of_run(inner, run)[at])],
+                    names=["host", "row", "asked", "place", "window", "back", "inner"])
+
+    name = ["host", "window", "back"]
+    every = pages.withColumn("host", F.xxhash64("host")).mapInArrow(windows, "host long, row long, asked boolean, place int, window long, back long, inner boolean")
+    outer = F.when(~F.col("inner"), F.col("row"))
+    shared = (every.groupBy(*name).agg(F.min("row").alias("a"), F.max("row").alias("b"), F.coalesce(F.min(outer) < F.max(outer), F.lit(False)).alias("outside"))
+              .where("a < b").select(*name, "outside"))
+    hits = every.where("asked").join(shared, name).where(F.col("inner") | F.col("outside")).groupBy("row").agg(F.collect_set("place").alias("places"))
+    return hits.select("row", F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + run - 1)))).alias("far"))

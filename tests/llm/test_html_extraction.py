@@ -103,6 +103,34 @@ def test_unmarked_pages_of_a_host(spark, shard):
         assert r.text == want[r.page_id], r.page_id
 
 
+@pytest.mark.parametrize("shard", [500_000, 60])
+def test_marked_pages_go_through_the_arrays(spark, shard):
+    draw = random.Random(6)
+    words = lambda n: " ".join("".join(draw.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n))
+    share, links, quote, note, foot = words(20), words(18), words(25), words(6), words(22)
+    rows, want = [], {}
+    for i in range(12):
+        own = [words(70), words(8), words(20)]
+        want[i] = "\n".join([own[0], quote, own[1], own[2]])
+        rows.append((i, "http://one.example/x", f"<article><h2>{own[0]}</h2><div>{share}</div><p>{quote}</p><ul><li><a>{links}</a></li></ul><p>{own[1]}</p>"
+                     f"<section>{own[2]}</section><div>{note}</div></article><div>{foot}</div>"))
+    rows += [(20, "http://two.example/", f"<article><p>{words(70)}</p><div>{share}</div></article>")]
+    want[20] = rows[-1][2].replace("</p>", "\n").replace("<article><p>", "").replace("<div>", "").replace("</div></article>", "")  # no other page of its host has it
+    same = f"<article><div>{words(40)}</div></article>"
+    rows += [(30, "http://one.example/a", same), (31, "http://one.example/b", same)]
+    want[30] = want[31] = same[14:-16]  # a copy is no boilerplate
+    # what an article says is no boilerplate of a page that quotes it
+    own = words(40)
+    rows += [(40, "http://one.example/c", f"<p>{quote}</p><p>{own}</p><div>{foot}</div>")]
+    want[40] = f"{quote}\n{own}"
+    rows += [rows[3], (41, *rows[0][1:]), (99, *rows[4][1:])]
+    want[41], want[99] = want[0], want[4]
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), shard=shard).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.text == want[r.page_id], r.page_id
+
+
 def test_query(spark, sf_dir):
     pages = {r.page_id: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     got = QUERIES["op1_html_extraction"](spark, sf_dir).collect()
