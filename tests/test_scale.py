@@ -9,7 +9,7 @@ import pytest
 
 from regulus.plans import QUERIES, changes
 from regulus.sources import export, gold, tables
-from regulus.streaming.runs import folders
+from regulus.streaming.runs import folders, write_text
 
 
 def rows(df):
@@ -91,3 +91,15 @@ def test_streams_keep_no_gold_table_that_only_they_need(spark, small):
     assert gold.kept(spark, fresh) == set()
     logs = [rows(spark.read.text([*folders(spark, f"{small}/{log}/delivery={n}")])) for log in ("log", "log-2") for n in range(3)]
     assert logs[:3] == logs[3:] and sum(logs[0].values()) and sum(logs[2].values())
+
+
+def test_what_reads_the_log_alone_feeds_no_other_tables(spark, small):
+    key = (spark.sparkContext.applicationId, small)
+    found = changes.retracted(spark, small)
+    assert key not in changes._streams and folders(spark, f"{found}/*")
+    root = changes.delivered(spark, small)
+    assert [f.rsplit("/", 1)[1] for f in folders(spark, f"{root}/*")] == ["log"]
+    write_text(spark, f"{root}/checkpoint/x", "")  # a feed that stopped half-way begins anew, with a log of its own
+    medallion = changes.streamed(spark, small)[0]
+    assert medallion.root == f"{changes.delivered(spark, small)}/lake" != f"{root}/lake"
+    assert medallion.state(spark).count() == 5
