@@ -105,3 +105,18 @@ def test_the_deliveries_write_the_history_alone(spark, sf_dir, tmp_path, monkeyp
     assert sorted(r["payload"] for r in read.collect()) == sorted(r["payload"] for r in last.collect())
     assert runs.folders(spark, f"{tmp_path}/log/delivery=2/_SUCCESS")
     gold.forget(spark, fresh)
+
+
+def test_many_newer_changes_meet_the_stored_states_once(spark, tmp_path, monkeypatch):
+    """By key and order alone; the rows in full then meet only the keys that were found newer, whether those are sent or not."""
+    want = state_of(spark, fed(spark, tmp_path / "usual", 4))
+    monkeypatch.setattr(f"{MODULE}.SLICE_BYTES", 1)
+    monkeypatch.setattr(f"{MODULE}.SENT_KEYS", 0)
+    m, met, newest = Medallion(str(tmp_path / "lake")), [], Medallion._newest
+    monkeypatch.setattr(Medallion, "_newest", lambda self, spark, at, rows, months: (met.append("entity_id" in rows.columns), newest(self, spark, at, rows, months))[1])
+    for k, events in enumerate(batches(4)):
+        m.apply(raw_of(spark, str(tmp_path / f"b{k}"), 100 * k, *events), k, "r")
+        if k == 0:
+            m.fold(spark)
+            met.clear()
+    assert met == [False] * 9 and state_of(spark, m) == want
