@@ -4,7 +4,7 @@ from __future__ import annotations
 import pytest
 
 from changes import done, envelope, write_batch
-from regulus.plans import changes
+from regulus.plans import QUERIES, changes
 from regulus.sources import gold
 from regulus.streaming import changelog, retractions, runs
 from regulus.streaming.medallion import Medallion
@@ -120,3 +120,13 @@ def test_many_newer_changes_meet_the_stored_states_once(spark, tmp_path, monkeyp
             m.fold(spark)
             met.clear()
     assert met == [False] * 9 and state_of(spark, m) == want
+
+
+def test_a_log_of_one_batch_is_compacted_too(spark, sf_dir, tmp_path, monkeypatch):
+    """However many files the log has, the query's rows are those of one file for each month and kind; an empty base has no files."""
+    assert Medallion(str(tmp_path / "none")).base_files(spark).collect() == []
+    want = sorted(map(tuple, QUERIES["k11_compacted_tables"](spark, sf_dir).collect()))
+    root = changes.delivered(spark, sf_dir)
+    spark.read.schema(changelog.RAW_SCHEMA).json(f"{root}/log/*").coalesce(1).write.json(f"{tmp_path}/log/delivery=0")
+    monkeypatch.setattr(changes, "delivered", lambda *args: str(tmp_path))
+    assert sorted(map(tuple, QUERIES["k11_compacted_tables"](spark, sf_dir).collect())) == want and {r[3] for r in want} == {1}
